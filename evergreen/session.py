@@ -31,14 +31,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     as good as shared; on a cluster a machine-local folder would lose data with
     the machine, so that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="evergreen-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="evergreen-checkpoint-"))
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
