@@ -18,6 +18,7 @@ def build_session(master: str, app: str = "evergreen", partitions: int | None =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if partitions:
         b = b.config("spark.sql.shuffle.partitions", str(partitions))

@@ -39,12 +39,12 @@ def read_exports(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def link_rows(exports: DataFrame) -> DataFrame:
-    """Keyed links: kt, kp, url, duration_ms, release_year, file_ord, ord."""
+    """Keyed links: kt, kp, spotify_url, duration_ms, release_year, file_ord, ord."""
     known = exports.filter(F.col("title").isNotNull() & F.col("artist").isNotNull())
     return known.select(
         link_title_key(F.col("title")).alias("kt"),
         primary_artist(F.col("artist")).alias("kp"),
-        track_url(F.col("uri")).alias("url"),
+        track_url(F.col("uri")).alias("spotify_url"),
         F.col("duration_ms").try_cast("bigint").alias("duration_ms"),
         release_year(F.col("release_date")).alias("release_year"),
         "file_ord",
@@ -54,7 +54,7 @@ def link_rows(exports: DataFrame) -> DataFrame:
 
 def links_by_pair(links: DataFrame) -> DataFrame:
     """First link per (title, primary artist)."""
-    return first_per_key(links, ["kt", "kp"], ["file_ord", "ord", "url"])
+    return first_per_key(links, ["kt", "kp"], ["file_ord", "ord", "spotify_url"])
 
 
 def links_by_title(by_pair: DataFrame) -> DataFrame:

@@ -50,3 +50,10 @@ def floor_table(playlists: dict[str, DataFrame], settings: Settings) -> DataFram
     if not frames:
         return None
     return first_per_key(reduce(DataFrame.unionByName, frames), KEYS, ["priority"]).drop("priority")
+
+
+def in_playlist(songs: DataFrame, keys: DataFrame, flag: str) -> DataFrame:
+    """Flag the songs whose key is in a playlist's distinct keys."""
+    return songs.join(keys.select(*KEYS, F.lit(True).alias(flag)), KEYS, "left").withColumn(
+        flag, F.coalesce(flag, F.lit(False))
+    )
