@@ -1,10 +1,13 @@
 """Text normalisation as native column expressions.
 
-Every pattern carries ``U`` (Unicode classes) and ``d`` (only ``\\n`` ends a
-line).  Word characters are spelled ``\\p{L}\\p{N}_`` so that accented letters
-count and combining marks do not.  Canonical decomposition has no SQL function;
-the ICU library that ships with Spark is reached through the built-in
-``java_method``, which keeps the whole chain in the JVM.
+Word characters are spelled ``\\p{L}\\p{N}_`` so that accented letters count and
+combining marks do not; ``d`` makes ``\\n`` the only line end.  Canonical
+decomposition has no SQL function; the ICU library that ships with Spark is
+reached through the built-in ``java_method``, which keeps the chain in the JVM.
+
+Regular expressions dominate the cost of a run, so plain ASCII names, which most
+are, skip the chain after one test, and cuts that all run to the end of the line
+share one pattern where their order cannot matter.
 """
 
 from __future__ import annotations
@@ -14,20 +17,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
 # Separators, suffixes and characters that decide when two credits are equal.
-SPACE = r"[\s\x1c-\x1f]"
+SPACE = r"\s\x1c-\x1f\x85\p{Z}"
+NOT_WORD_OR_SPACE = rf"[^\p{{L}}\p{{N}}_{SPACE}]+"
 PARENTHESISED = r"\([^)]*\)"
 BRACKETED = r"\[[^\]]*\]"
-EDITION_SUFFIX = r" - .*$"
-NOT_WORD_OR_SPACE = r"[^\p{L}\p{N}_\s\x1c-\x1f]"
-LEADING_THE = r"^the\s+"
-FROM_PARENTHESIS = r"\(.*"
-FROM_FEATURING = r"\b(feat\.?|ft\.?|featuring)\b.*"
-FROM_WITH = r"\bwith\b.*"
-FROM_VERSUS = r"\bvs\.?\b.*"
-FROM_COMMA = r",.*"
-FROM_AND_OR_X = r"[ \t][&x][ \t]\S.*"
-FROM_SLASH = r"/.*"
+EDITION_OR_PUNCTUATION = rf" - .*$|{NOT_WORD_OR_SPACE}"
+LEADING_THE_OR_GUESTS = r"(?U)^the\s+|(?:[(,]|(?=[fvw])\b(?:feat\.?|ft\.?|featuring|with|vs\.?)\b).*"
+AND_OR_X_OR_SLASH_OR_PUNCTUATION = rf"(?:[ \t][&x][ \t][^{SPACE}]|/).*|{NOT_WORD_OR_SPACE}"
+PLAIN_TITLE = r"^[a-z0-9]+(?: [a-z0-9]+)*$"
+PLAIN_NAME = r"^(?=[a-z0-9]+(?: [a-z0-9]+)*$)"
+PLAIN_ARTIST = rf"{PLAIN_NAME}(?!the )(?!(?:.* )?(?:feat|ft|featuring|with|vs)(?: |$))(?!.* x )"
+PLAIN_PRIMARY = rf"{PLAIN_NAME}(?!(?:.* )?(?:feat|ft|featuring|with|and|x)(?: |$))"
 PRIMARY_KEYWORD = r"\b(?:featuring|feat\.?|ft\.?|with)\b.*"
 PRIMARY_PUNCTUATION = r"[;,:].*"
 PRIMARY_AMBIGUOUS = r"(?:\b(?:and|x)\b(?=\s*\S).*|&.*)"
@@ -40,13 +43,13 @@ ATOMIC_ACTS = ("AC/DC", "HUNTR/X")
 SLASH_STAND_IN = "⁄"
 
 
-def _sub(c: Column, pattern: str, to: str = "", flags: str = "Ud") -> Column:
+def _sub(c: Column, pattern: str, to: str = "", flags: str = "d") -> Column:
     return F.regexp_replace(c, f"(?{flags}){pattern}", to)
 
 
-def _sub_once(c: Column, pattern: str, flags: str = "Udi") -> Column:
-    """Delete the leftmost match only (the lazy prefix is anchored at the start)."""
-    return F.regexp_replace(c, rf"(?{flags})\A((?s:.*?)){pattern}", "$1")
+def _cut_once(c: Column, pattern: str) -> Column:
+    """Delete the leftmost match, which runs to the end of its line; keep the following lines."""
+    return F.regexp_replace(c, rf"(?Udi){pattern}((?s:\n.*)?)\z", "$1")
 
 
 def _chain(c: Column, patterns: list[str]) -> Column:
@@ -54,16 +57,19 @@ def _chain(c: Column, patterns: list[str]) -> Column:
 
 
 def strip_space(c: Column) -> Column:
-    """Trim any Unicode white space (``trim`` removes blanks only)."""
-    return _sub(c, f"^{SPACE}+|{SPACE}+$")
+    """Trim any Unicode white space (plain ``trim`` removes blanks only)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def squeeze(c: Column) -> Column:
-    return F.trim(_sub(c, f"{SPACE}+", " "))
+    return F.trim(_sub(c, f"[{SPACE}]+", " "))
+
 
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
 
-def strip_marks(c: Column) -> Column:
-    """Canonical decomposition without the nonspacing marks; null becomes ''."""
+
+def _drop_marks(c: Column) -> Column:
     nfd = F.java_method(
         F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), F.coalesce(c, F.lit("")), F.lit(False)
     )
@@ -71,43 +77,48 @@ def strip_marks(c: Column) -> Column:
 
 
 def strip_accents(c: Column) -> Column:
-    return F.when(c.isNotNull(), strip_marks(c))
+    """Canonical decomposition without the nonspacing marks."""
+    return F.when(_is_ascii(c), c).when(c.isNotNull(), _drop_marks(c))
+
 
+_TITLE_TAIL = [PARENTHESISED, BRACKETED, EDITION_OR_PUNCTUATION]
 
-_TITLE_TAIL = [PARENTHESISED, BRACKETED, EDITION_SUFFIX, NOT_WORD_OR_SPACE]
+
+def _plain_or(c: Column, plain: str, full: Column) -> Column:
+    """``c`` lowered when that is already its key, else ``full``; null stays null."""
+    lowered = F.lower(c)
+    return F.when(F.rlike(lowered, F.lit(plain)), lowered).when(c.isNotNull(), full)
 
 
 def title_key(c: Column) -> Column:
     """Key of a title; a null title has a null key and is never matched."""
-    return F.when(c.isNotNull(), squeeze(_chain(strip_marks(strip_space(F.lower(c))), _TITLE_TAIL)))
+    base = strip_space(F.lower(c))
+    base = F.when(_is_ascii(c), base).otherwise(_drop_marks(base))
+    return _plain_or(c, PLAIN_TITLE, squeeze(_chain(base, _TITLE_TAIL)))
+
+
+def _link_tail(raw: Column, c: Column) -> Column:
+    base = F.when(_is_ascii(raw), c).otherwise(_drop_marks(c))
+    return squeeze(_chain(strip_space(F.lower(base)), _TITLE_TAIL))
 
 
 def link_title_key(c: Column) -> Column:
     """Title key of the link tables: marks are dropped before lowering."""
-    return F.when(c.isNotNull(), squeeze(_chain(strip_space(F.lower(strip_marks(c))), _TITLE_TAIL)))
+    return _plain_or(c, PLAIN_TITLE, _link_tail(c, c))
 
 
 def artist_key(c: Column) -> Column:
     """Key of the primary artist of a credit, before aliases."""
-    base = F.replace(strip_marks(strip_space(F.lower(c))), F.lit("$"), F.lit("s"))
-    cuts = [
-        LEADING_THE,
-        FROM_PARENTHESIS,
-        FROM_FEATURING,
-        FROM_WITH,
-        FROM_VERSUS,
-        FROM_COMMA,
-        FROM_AND_OR_X,
-        FROM_SLASH,
-        NOT_WORD_OR_SPACE,
-    ]
-    return F.when(c.isNotNull(), squeeze(_chain(base, cuts)))
+    base = strip_space(F.lower(c))
+    base = F.when(_is_ascii(c), base).otherwise(_drop_marks(base))
+    cuts = [LEADING_THE_OR_GUESTS, AND_OR_X_OR_SLASH_OR_PUNCTUATION]
+    return _plain_or(c, PLAIN_ARTIST, squeeze(_chain(F.replace(base, F.lit("$"), F.lit("s")), cuts)))
 
 
 def primary_artist(c: Column) -> Column:
     """Link-table key of the first credited artist; each cut happens at most once."""
-    cut = reduce(_sub_once, [PRIMARY_KEYWORD, PRIMARY_PUNCTUATION, PRIMARY_AMBIGUOUS], c)
-    return F.when(c.isNotNull(), link_title_key(cut))
+    cut = reduce(_cut_once, [PRIMARY_KEYWORD, PRIMARY_PUNCTUATION, PRIMARY_AMBIGUOUS], c)
+    return _plain_or(c, PLAIN_PRIMARY, _link_tail(c, cut))
 
 
 def apply_aliases(df: DataFrame, col: str, aliases: dict[str, str]) -> DataFrame:

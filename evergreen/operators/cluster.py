@@ -45,34 +45,43 @@ def _nodes(rows: DataFrame) -> DataFrame:
     )
 
 
-def _is_stars(links: DataFrame) -> bool:
-    """Every child has one parent and no parent is a child."""
+def _state(links: DataFrame) -> tuple[int, bool]:
+    """Number of links, and whether they are stars: one parent per child, no parent a child."""
     ends = F.explode(
         F.array(
             F.struct(F.col("child").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")),
             F.struct(F.col("parent").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")),
         )
     )
-    return (
+    broken = (F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0))
+    row = (
         links.select("key_title", ends.alias("e"))
         .groupBy("key_title", "e.x")
         .agg(F.sum("e.down").alias("down"), F.max("e.up").alias("up"))
-        .filter((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0)))
-        .isEmpty()
+        .agg(F.coalesce(F.sum("down"), F.lit(0)).alias("links"), F.count_if(broken).alias("broken"))
+        .first()
     )
+    return row["links"], row["broken"] == 0
 
 
-def _contract(links: DataFrame, hot_rows: int) -> DataFrame:
+def _contract(links: DataFrame, total: int, hot_rows: int) -> DataFrame:
     """One large-star and one small-star step on (child, parent) links with parent < child."""
     least = links.groupBy("key_title", "child").agg(F.min("parent").alias("least"), F.count(F.lit(1)).alias("n"))
     fan_in = links.groupBy("key_title", "parent").agg(F.count(F.lit(1)).alias("n"))
     grand = least.select("key_title", F.col("child").alias("parent"), "least")
-    lifted = skew_join(links, grand, ["key_title", "parent"], fan_in, ["child"], "left", hot_rows).select(
+    lifted = skew_join(links, grand, ["key_title", "parent"], fan_in, ["child"], "left", hot_rows, total).select(
         "key_title", "child", F.coalesce("least", "parent").alias("parent")
     )
     lowest = lifted.groupBy("key_title", "child").agg(F.min("parent").alias("least"))
     met = skew_join(
-        lifted, lowest, ["key_title", "child"], least.select("key_title", "child", "n"), ["parent"], "inner", hot_rows
+        lifted,
+        lowest,
+        ["key_title", "child"],
+        least.select("key_title", "child", "n"),
+        ["parent"],
+        "inner",
+        hot_rows,
+        total,
     )
     pairs = F.explode(
         F.array(
@@ -109,6 +118,7 @@ def cluster_changes(rows: DataFrame, aliases: dict[str, str], hot_rows: int = HO
             ["node"],
             "inner",
             hot_rows,
+            edges.count(),
         )
         .select("key_title", F.col("node").alias("child"), "parent")
         .filter(F.col("child") != F.col("parent"))
@@ -116,11 +126,12 @@ def cluster_changes(rows: DataFrame, aliases: dict[str, str], hot_rows: int = HO
     )
     links = materialize(links, "links")
     for _ in range(MAX_ROUNDS):
-        if _is_stars(links):
+        total, settled = _state(links)
+        if settled:
             return links.select(
                 "key_title", F.col("child.key_artist").alias("key_artist"), F.col("parent.key_artist").alias("canonical")
             )
-        links = materialize(_contract(links, hot_rows), "links")
+        links = materialize(_contract(links, total, hot_rows), "links")
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 

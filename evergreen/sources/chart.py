@@ -34,14 +34,24 @@ def chart_rows(raw: DataFrame) -> DataFrame:
 
 
 def chart_aggregate(rows: DataFrame, settings: Settings) -> DataFrame:
-    """One row per song: first credit, best position, debut year, distinct chart dates."""
-    keyed = with_keys(rows, settings.aliases)
+    """One row per song: first credit, best position, debut year, distinct chart dates.
+
+    Rows are folded per spelled credit and date first.  That step has only
+    fixed-width aggregates, so it hashes on the map side, drops repeated rows,
+    and spreads the costlier normalisation evenly.  The exact distinct count
+    groups by (song, date) before it groups by song, so a hot song never meets
+    a single task with all its rows.
+    """
+    folded = rows.groupBy("title", "artist", "date").agg(
+        F.min("ord").alias("ord"), F.min("peak_pos").alias("peak_pos")
+    )
+    keyed = with_keys(folded, settings.aliases)
     return (
         keyed.groupBy(*KEYS)
         .agg(
             F.min(F.struct("ord", "title", "artist")).alias("_first"),
             F.min("peak_pos").alias("bb_peak"),
-            F.min("year").alias("year"),
+            F.year(F.min("date")).alias("year"),
             F.count_distinct("date").cast("int").alias("bb_chart_weeks"),
         )
         .select(*KEYS, "_first.title", "_first.artist", "bb_peak", "year", "bb_chart_weeks")
