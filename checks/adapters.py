@@ -8,6 +8,8 @@ tables: the flags of a line decide which source it feeds, nothing is sampled.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from evergreen.config import DEFAULT_ALIASES, DEFAULT_MEASURES, Floor, MeasureDim, Settings
@@ -96,7 +98,9 @@ FROM {part} p""",
 MEASURE_VIEWS = {"streams": "streams_src", "videos": "video_src", "store": "store_src", "subscription": "sub_src"}
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table; its footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -43,10 +43,11 @@ def running_counts(hist: DataFrame, group: list[str], value: str, value_bits: in
                 "total": F.sum("n").over(W.partitionBy(*group)),
             }
         )
-    block = [*group, "_block"]
-    cut = hist.withColumn("_block", F.shiftright(value, DIGIT_BITS))
+    high = f"_high_{value}"
+    block = [*group, high]
+    cut = hist.withColumn(high, F.shiftright(value, DIGIT_BITS))
     blocks = cut.groupBy(*block).agg(F.sum("n").alias("n"))
-    offsets = running_counts(blocks, group, "_block", value_bits - DIGIT_BITS).select(
+    offsets = running_counts(blocks, group, high, value_bits - DIGIT_BITS).select(
         *block, F.col("below").alias("_offset"), "total"
     )
     inside = W.partitionBy(*block).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
