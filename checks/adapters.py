@@ -56,10 +56,11 @@ FROM (SELECT ord, quantity, act AS artist, CASE WHEN status = 'O' THEN name ELSE
       FROM ({TRACKS}) t WHERE flag = 'R') r
 GROUP BY title, artist""",
     "video_src": f"""
-SELECT ord, concat(name, ' [Official]') AS title,
-       CASE WHEN quantity >= 40 THEN guest WHEN quantity >= 35 THEN concat(act, ' & ', guest) ELSE act END AS artist,
-       CAST(quantity * 100 AS BIGINT) + size AS youtube_views
-FROM ({TRACKS}) t WHERE flag = 'A'""",
+SELECT min(ord) AS ord, title, artist, CAST(sum(quantity) * 100 AS BIGINT) + max(size) AS youtube_views
+FROM (SELECT ord, quantity, size, concat(name, ' [Take ', CAST(line AS VARCHAR(2)), ']') AS title,
+             CASE WHEN quantity >= 40 THEN guest WHEN quantity >= 35 THEN concat(act, ' & ', guest) ELSE act END AS artist
+      FROM ({TRACKS}) t WHERE flag = 'A') v
+GROUP BY title, artist""",
     "store_src": f"""
 SELECT min(ord) AS ord, name AS title, act AS artist, CAST(sum(quantity) AS BIGINT) AS itunes_total
 FROM ({TRACKS}) t WHERE flag = 'N' GROUP BY name, act""",
@@ -71,12 +72,14 @@ SELECT DISTINCT name AS title, concat(act, ';', brand) AS artists FROM ({TRACKS}
     "playlist_lo": f"""
 SELECT DISTINCT name AS title, concat(act, ';', brand) AS artists FROM ({TRACKS}) t WHERE price BETWEEN 60000 AND 85000""",
     "link_src": f"""
-SELECT ord, uri, concat(upper(name), CASE WHEN line IN (3, 6) THEN ' - Remastered 2011' ELSE '' END) AS title,
-       CASE WHEN quantity <= 3 THEN concat(brand, ';', type) ELSE concat(act, ';', brand) END AS artist,
-       CAST(size * 1000 AS VARCHAR(20)) AS duration_ms,
-       CASE WHEN line <= 2 THEN concat(CAST(1960 + size AS VARCHAR(4)), '-05-01')
-            WHEN line <= 4 THEN CAST(1960 + size AS VARCHAR(4)) WHEN line = 5 THEN 'unknown' ELSE NULL END AS release_date
-FROM ({TRACKS}) t""",
+SELECT min(ord) AS ord, min(uri) AS uri, title, artist, duration_ms, release_date FROM (
+  SELECT ord, uri, concat(upper(name), CASE WHEN line IN (3, 6) THEN ' - Remastered 2011' ELSE '' END) AS title,
+         CASE WHEN quantity <= 3 THEN concat(brand, ';', type) ELSE concat(act, ';', brand) END AS artist,
+         CAST(size * 1000 AS VARCHAR(20)) AS duration_ms,
+         CASE WHEN line <= 2 THEN concat(CAST(1960 + size AS VARCHAR(4)), '-05-01')
+              WHEN line <= 4 THEN CAST(1960 + size AS VARCHAR(4)) WHEN line = 5 THEN 'unknown' ELSE NULL END AS release_date
+  FROM ({TRACKS}) t) l
+GROUP BY title, artist, duration_ms, release_date""",
     "credit_src": """
 SELECT p_partkey AS ord, p_name AS title, CASE p_partkey % 8
   WHEN 0 THEN concat(p_brand, ' Featuring ', p_type)   WHEN 1 THEN concat(p_brand, ', ', p_type, ' & ', p_name)

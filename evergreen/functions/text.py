@@ -38,6 +38,7 @@ FEATURED_SPLIT = r"[ \t](?:featuring|feat\.?|ft\.?)[ \t]"
 COLLABORATOR_SPLIT = "|".join(
     [r"\s*,\s*", r"\s*&\s*", r"\s*/\s*", r"\s*:\s*", r"\s+x\s+", r"\s+with\s+", r"\s+vs\.?\s+", FEATURED_SPLIT]
 )
+SINGLE_NAME = r"(?Ui)^(?!.*\s(?:x|with|vs\.?|featuring|feat\.?|ft\.?)\s)[^,&/:⁄\"“”‘’'\n]+$"
 QUOTES = "\"“”‘’'"
 ATOMIC_ACTS = ("AC/DC", "HUNTR/X")
 SLASH_STAND_IN = "⁄"
@@ -157,6 +158,11 @@ def collaborators(c: Column) -> Column:
     return F.filter(names, lambda n: n != "")
 
 
+def is_single_name(c: Column) -> Column:
+    """No separator and no quote: the credit is its only name."""
+    return F.rlike(c, F.lit(SINGLE_NAME))
+
+
 def collaborators_joined(c: Column) -> Column:
     return F.array_join(collaborators(c), ";")
 

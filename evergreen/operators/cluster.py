@@ -12,18 +12,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evergreen.functions.text import apply_aliases, artist_key, collaborators
+from evergreen.functions.text import apply_aliases, artist_key, collaborators, is_single_name
 from evergreen.operators.skew import HOT_ROWS, skew_join
 from evergreen.session import materialize
 
 MAX_ROUNDS = 60
 
 
-def artist_tokens(df: DataFrame, aliases: dict[str, str], keep: list[str], artist: str = "artist") -> DataFrame:
-    """One (keep, token) row per distinct, normalised name in the credit."""
-    names = df.select(*keep, F.explode(collaborators(F.col(artist))).alias("_name"))
-    tokens = apply_aliases(names.select(*keep, artist_key(F.col("_name")).alias("token")), "token", aliases)
-    return tokens.filter(F.col("token") != "").distinct()
+def artist_tokens(
+    df: DataFrame, aliases: dict[str, str], keep: list[str], artist: str = "artist", own_key: str | None = None
+) -> DataFrame:
+    """One (keep, token) row per distinct, normalised name in the credit.
+
+    ``own_key`` names the column with the credit's key, if known: a credit that
+    is a single name has that key as its only token, which saves deriving it again.
+    """
+    names = collaborators(F.col(artist))
+    own = F.lit(None).cast("string")
+    if own_key:
+        own = F.col(own_key)
+        names = F.when(is_single_name(F.col(artist)), F.array(F.lit(None).cast("string"))).otherwise(names)
+    split = df.select(*keep, own.alias("_own"), F.explode(names).alias("_name"))
+    tokens = apply_aliases(split.withColumn("token", artist_key(F.col("_name"))), "token", aliases)
+    return (
+        tokens.select(*keep, F.when(F.col("_name").isNull(), F.col("_own")).otherwise(F.col("token")).alias("token"))
+        .filter(F.col("token") != "")
+        .distinct()
+    )
 
 
 def _nodes(rows: DataFrame) -> DataFrame:
@@ -103,7 +118,7 @@ def cluster_changes(rows: DataFrame, aliases: dict[str, str], hot_rows: int = HO
     ``rows``: key_title, key_artist, artist, source_ord, value, at most one row
     per key and source.
     """
-    edges = materialize(artist_tokens(_nodes(rows), aliases, ["key_title", "node"]), "credits")
+    edges = materialize(artist_tokens(_nodes(rows), aliases, ["key_title", "node"], own_key="node.key_artist"), "credits")
     owners = (
         edges.groupBy("key_title", "token")
         .agg(F.min("node").alias("parent"), F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from evergreen.config import Settings
 from evergreen.functions.text import with_keys
 from evergreen.operators.percentile import decade, rolling_percentiles
-from evergreen.sources.files import to_number
+from evergreen.sources.files import calendar_date, whole_number
 from evergreen.session import materialize
 
 KEYS = ["key_title", "key_artist"]
@@ -21,11 +21,11 @@ def chart_rows(raw: DataFrame) -> DataFrame:
     """
     return (
         raw.select(
-            F.try_to_date(F.col("date").cast("string")).alias("date"),
+            calendar_date(raw, "date").alias("date"),
             "title",
             "artist",
-            to_number(F.col("peak_pos")).alias("peak_pos"),
-            to_number(F.col("weeks_on_chart")).alias("weeks_on_chart"),
+            whole_number(raw, "peak_pos").alias("peak_pos"),
+            whole_number(raw, "weeks_on_chart").alias("weeks_on_chart"),
             "ord",
         )
         .withColumn("year", F.year("date"))

@@ -57,5 +57,19 @@ def to_number(c: Column, kind: str = "int") -> Column:
     return c.try_cast("double").try_cast(kind)
 
 
+def whole_number(df: DataFrame, col: str) -> Column:
+    """``col`` as int: numbers keep their type's cast, text is coerced."""
+    if dict(df.dtypes)[col] in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(col).try_cast("int")
+    return to_number(F.col(col))
+
+
+def calendar_date(df: DataFrame, col: str) -> Column:
+    """``col`` as date: a date or timestamp column as it is, text is parsed."""
+    if dict(df.dtypes)[col] in ("date", "timestamp", "timestamp_ntz"):
+        return F.col(col).cast("date")
+    return F.try_to_date(F.col(col).cast("string"))
+
+
 def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)

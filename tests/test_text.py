@@ -150,3 +150,18 @@ def test_display(spark):
     df = spark.createDataFrame([(1234567, True), (None, None)], "n long, f boolean")
     rows = df.select(D.grouped_int(F.col("n"), F.col("f")), D.plain_int(F.col("n"), prefix="#")).collect()
     assert [tuple(r) for r in rows] == [("1,234,567+", "#1234567"), ("—", "—")]
+
+
+def test_single_names_are_their_own_token(spark):
+    """The shortcut must agree with splitting for every credit it accepts."""
+    import itertools
+
+    bits = ["the ", "a", " x ", "x", " & ", " feat. ", "ft", " with ", "vs", ",", "/", "(", '"', "’", ":", "é", "$", " "]
+    texts = ["".join(c) for c in itertools.product(bits, repeat=3)]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").filter(T.is_single_name(F.col("v")))
+    names = F.transform(T.collaborators(F.col("v")), lambda n: n)
+    got = df.select("v", names.alias("n"), T.artist_key(F.col("v")).alias("k")).collect()
+    first = df.select("v", T.artist_key(F.get(T.collaborators(F.col("v")), F.lit(0))).alias("k")).collect()
+    assert len(got) > 500 and all(len(r.n) <= 1 for r in got)
+    assert [(r.v, r.k) for r in first if r.k is not None] == [(r.v, r.k) for r in got if r.n]
+    assert all(r.k == "" for r in got if not r.n)
