@@ -6,7 +6,7 @@ import dataclasses
 import os
 import uuid
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +26,40 @@ Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ["key_title", "key_artist"]
 
 
+# Tables that several queries start from, written once per session, as a run writes
+# its scores once and every later step reads them.  ``popularity_index``,
+# ``score_missing_source``, ``songs_only`` and ``quick_run`` compute everything themselves.
+
+
+@lru_cache(maxsize=None)
+def _rows(spark: SparkSession, d: str) -> DataFrame:
+    return scores.source_rows(sources(spark, d), SETTINGS)
+
+
+@lru_cache(maxsize=None)
+def _chart(spark: SparkSession, d: str) -> DataFrame:
+    return materialize(_chart_agg(spark, d), "chart")
+
+
+def _plain_rows(spark: SparkSession, d: str) -> DataFrame:
+    return _rows(spark, d).withColumn("own_artist", F.col("key_artist"))
+
+
+@lru_cache(maxsize=None)
+def _songs(spark: SparkSession, d: str) -> DataFrame:
+    return materialize(scores.merged_songs(sources(spark, d), SETTINGS, rows=_plain_rows(spark, d)), "songs")
+
+
+@lru_cache(maxsize=None)
+def _weighted(spark: SparkSession, d: str) -> DataFrame:
+    return materialize(scores.score_songs(_songs(spark, d), sources(spark, d), SETTINGS), "weighted")
+
+
+@lru_cache(maxsize=None)
 def _index(spark: SparkSession, d: str, cluster_songs: bool = True) -> DataFrame:
-    return scores.popularity_index(sources(spark, d), SETTINGS, cluster_songs)
+    if cluster_songs:
+        return scores.popularity_index(sources(spark, d), SETTINGS)
+    return scores.rank_songs(_weighted(spark, d))
 
 
 def _credits(spark: SparkSession, d: str) -> DataFrame:
@@ -197,19 +229,17 @@ def chart_aggregate(spark, d):
 
 
 def merge_measures(spark, d):
-    src = sources(spark, d)
-    return scores.merge_sources(scores.unclustered_rows(src, SETTINGS), src, SETTINGS).drop("spotify_streams_is_floor")
+    merged = scores.merge_sources(_plain_rows(spark, d), sources(spark, d), SETTINGS)
+    return merged.drop("spotify_streams_is_floor")
 
 
 def playlist_membership(spark, d):
     keys = measures.playlist_keys(view(spark, d, "playlist_hi"), SETTINGS)
-    return measures.in_playlist(_chart_agg(spark, d).select(*KEYS), keys, "in_playlist")
+    return measures.in_playlist(_chart(spark, d).select(*KEYS), keys, "in_playlist")
 
 
 def link_lookup(spark, d):
-    src = sources(spark, d)
-    songs = materialize(scores.merge_sources(scores.unclustered_rows(src, SETTINGS), src, SETTINGS), "songs")
-    return links_plan.link_songs(songs, exports(spark, d))
+    return links_plan.link_songs(_songs(spark, d), exports(spark, d))
 
 
 def unambiguous_titles(spark, d):
@@ -237,15 +267,11 @@ def alias_map(spark, d):
 
 
 def year_value_hist(spark, d):
-    return percentile.histogram(_chart_agg(spark, d), ["year"], "bb_peak")
-
-
-def _weighted(spark, d):
-    return scores.weighted_songs(sources(spark, d), SETTINGS, cluster=False)
+    return percentile.histogram(_chart(spark, d), ["year"], "bb_peak")
 
 
 def scale_to_100(spark, d):
-    return ranking.scale_to_100(materialize(_weighted(spark, d), "weighted"), "final_score").select(*KEYS, "final_score")
+    return ranking.scale_to_100(_weighted(spark, d), "final_score").select(*KEYS, "final_score")
 
 
 def audit_counts(spark, d):
@@ -267,8 +293,12 @@ def rolling_percentile_high(spark, d):
     return _chart_scored(spark, d).select(*KEYS, "year", "bb_chart_weeks", "weeks_pct")
 
 
+def _score(spark, d):
+    return scores.score_songs(_songs(spark, d), sources(spark, d), SETTINGS)
+
+
 def decade_percentile(spark, d):
-    return _weighted(spark, d).select(*KEYS, "decade", *[m.score_col for m in SETTINGS.measures])
+    return _score(spark, d).select(*KEYS, "decade", *[m.score_col for m in SETTINGS.measures])
 
 
 def best_per_key(spark, d):
@@ -286,7 +316,7 @@ def authoritative_flag(spark, d):
 
 
 def final_rank(spark, d):
-    return _index(spark, d, False).select("rank", *KEYS, "final_score")
+    return scores.rank_songs(_weighted(spark, d)).select("rank", *KEYS, "final_score")
 
 
 # sorts and limits
@@ -306,9 +336,7 @@ def top_n_measure(spark, d):
 
 
 def song_list(spark, d):
-    src = sources(spark, d)
-    rows = scores.unclustered_rows(src, SETTINGS)
-    return scores.merge_sources(rows, src, SETTINGS).select(*KEYS, "title", "artist")
+    return scores.merge_sources(_plain_rows(spark, d), sources(spark, d), SETTINGS).select(*KEYS, "title", "artist")
 
 
 def candidate_pool(spark, d):
@@ -325,12 +353,12 @@ def artist_tokens(spark, d):
 
 
 def entity_clusters(spark, d):
-    rows = scores.source_rows(sources(spark, d), SETTINGS)
+    rows = _rows(spark, d)
     return cluster.cluster_map(rows, cluster.cluster_changes(rows, SETTINGS.aliases))
 
 
 def apply_clusters(spark, d):
-    rows = scores.clustered_rows(sources(spark, d), SETTINGS)
+    rows = cluster.to_canonical(_rows(spark, d), cluster.cluster_changes(_rows(spark, d), SETTINGS.aliases))
     order = [*dedup.largest_first("bb_score"), (-F.col("value")).alias("_by_value"), "own_artist"]
     best = dedup.first_per_key(rows, ["source", *KEYS], order)
     return best.select("source", *KEYS, "own_artist", "title", "artist", "value", "bb_score")
@@ -344,12 +372,12 @@ def chart_score(spark, d):
 
 
 def stream_floors(spark, d):
-    songs = scores.merged_songs(sources(spark, d), SETTINGS, cluster=False)
+    songs = scores.merged_songs(sources(spark, d), SETTINGS, rows=_plain_rows(spark, d))
     return songs.select(*KEYS, "spotify_streams", "spotify_streams_is_floor")
 
 
 def weighted_score(spark, d):
-    return _weighted(spark, d).select(*KEYS, "final_score")
+    return _score(spark, d).select(*KEYS, "final_score")
 
 
 # scalar functions
@@ -434,7 +462,7 @@ def display_format(spark, d):
 
 
 def popularity_index(spark, d):
-    return _index(spark, d)
+    return scores.popularity_index(sources(spark, d), SETTINGS)
 
 
 def resolve_links(spark, d):

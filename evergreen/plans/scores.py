@@ -136,9 +136,12 @@ def merge_sources(
     return songs.drop("_floor")
 
 
-def merged_songs(sources: Sources, settings: Settings, cluster: bool = True) -> DataFrame:
-    """Merged songs with their decade, floors applied."""
-    rows = clustered_rows(sources, settings) if cluster else unclustered_rows(sources, settings)
+def merged_songs(
+    sources: Sources, settings: Settings, cluster: bool = True, rows: DataFrame | None = None
+) -> DataFrame:
+    """Merged songs with their decade, floors applied; ``rows`` are the source rows if already there."""
+    if rows is None:
+        rows = clustered_rows(sources, settings) if cluster else unclustered_rows(sources, settings)
     songs = merge_sources(rows, sources, settings, floor_table(sources.playlists, settings))
     return songs.withColumn("decade", decade(F.col("year")))
 
@@ -148,9 +151,11 @@ def song_list(sources: Sources, settings: Settings) -> DataFrame:
     return merge_sources(clustered_rows(sources, settings), sources, settings).select("title", "artist")
 
 
-def weighted_songs(sources: Sources, settings: Settings, cluster: bool = True, **limits: int) -> DataFrame:
-    """Songs with era percentiles and the unscaled weighted mean ``final_score``."""
-    songs = materialize(merged_songs(sources, settings, cluster), "songs")
+def score_songs(songs: DataFrame, sources: Sources, settings: Settings, **limits: int) -> DataFrame:
+    """Era percentiles and the unscaled weighted mean ``final_score`` for merged songs.
+
+    ``songs`` is read more than once: pass a written table.
+    """
     dims = sources.dims(settings)
     scored = group_percentiles(songs, KEYS, "decade", {d.value_col: d.score_col for d in dims}, **limits)
     parts = [("bb_score", settings.chart_weight, None)] if sources.chart is not None else []
@@ -158,9 +163,14 @@ def weighted_songs(sources: Sources, settings: Settings, cluster: bool = True, *
     return scored.withColumn("final_score", weighted_mean(parts, F.col("year")))
 
 
+def rank_songs(weighted: DataFrame) -> DataFrame:
+    """Scale to a best score of 100 and number all songs; ``weighted`` is a written table."""
+    order = [F.col("final_score").desc(), F.col("key_title"), F.col("key_artist")]
+    return ranked(scale_to_100(weighted, "final_score"), order)
+
+
 def popularity_index(sources: Sources, settings: Settings | None = None, cluster: bool = True) -> DataFrame:
     """All songs with rank 1..N, scaled to a best score of 100."""
     settings = settings or Settings()
-    weighted = materialize(weighted_songs(sources, settings, cluster), "weighted")
-    order = [F.col("final_score").desc(), F.col("key_title"), F.col("key_artist")]
-    return ranked(scale_to_100(weighted, "final_score"), order)
+    songs = materialize(merged_songs(sources, settings, cluster), "songs")
+    return rank_songs(materialize(score_songs(songs, sources, settings), "weighted"))
