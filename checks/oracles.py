@@ -543,8 +543,9 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
         "calendar_weeks": WEEKS,
         "pending_weeks": f"SELECT week_date FROM ({WEEKS}) w WHERE week_date NOT IN (SELECT CAST(o_orderdate AS DATE) "
         "FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')",
-        "flatten_snapshot": "SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, "
-        "l_partkey, l_suppkey) AS INT) AS position, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem",
+        "flatten_snapshot": "SELECT doc_id, CAST(position AS INT) AS position, line, CAST(length(line) AS INT) AS size FROM ("
+        "SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS position FROM "
+        "(SELECT doc_id, string_split(text, chr(10)) AS l FROM documents) d) t",
         "json_defaults": PAYLOAD,
         "json_positive": f"SELECT * FROM ({PAYLOAD}) p WHERE playcount > 0",
         # sinks

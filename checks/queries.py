@@ -119,22 +119,16 @@ def extract_page_items(spark, d):
 
 
 def _table_pages(spark, d):
-    """The line view laid out as pages of a two-column table, fifty rows each."""
-    row = F.concat(
+    """Every line of the view as a page whose table also has a short row."""
+    html = F.concat(
+        F.lit("<html><table><thead><tr><th>Name</th></tr></thead><tbody><tr><td>no number</td></tr>\n"),
         F.lit('<tr><td class="text"><div><a href="x">'),
         "raw",
         F.lit("</a></div></td>\n<td> "),
         "num",
-        F.lit(" </td></tr>\n"),
-    )
-    lines = view(spark, d, "raw_line_src").select(F.floor(F.col("ord") / 50).alias("page"), F.struct("ord", row.alias("r")).alias("e"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["r"]), "")
-    html = F.concat(
-        F.lit("<html><table><thead><tr><th>Name</th></tr></thead><tbody>"),
-        body,
-        F.lit("<tr><td>total</td></tr></tbody></table></html>"),
+        F.lit(" </td></tr>\n</tbody></table></html>"),
     )
-    return lines.groupBy("page").agg(html.alias("html"))
+    return view(spark, d, "raw_line_src").select(F.col("ord").alias("page"), html.alias("html"))
 
 
 def extract_table_totals(spark, d):
@@ -162,10 +156,10 @@ def pending_weeks(spark, d):
 
 
 def flatten_snapshot(spark, d):
-    """Lines nested per order (an order has few), then flattened again."""
-    entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    nested = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    return snapshots.flatten_snapshots(nested, ["l_orderkey"])
+    """A text as a nested list of its lines, flattened."""
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("line"), F.length(x).alias("size")))
+    nested = table(spark, d, "documents").select("doc_id", lines.alias("entries"))
+    return snapshots.flatten_snapshots(nested, ["doc_id"])
 
 
 def json_defaults(spark, d):
@@ -249,7 +243,7 @@ def unambiguous_titles(spark, d):
 
 def validated_join(spark, d):
     left = view(spark, d, "chart_src").select("ord", "title", "artist")
-    return lookup.validated_left_join(left, view(spark, d, "store_src").drop("ord"), ["title", "artist"])
+    return lookup.validated_left_join(left, view(spark, d, "store_src").drop("ord"), ["title", "artist"], ["ord"])
 
 
 def last_wins_lookup(spark, d):
@@ -278,8 +272,7 @@ def audit_counts(spark, d):
     index = _index(spark, d)
     found = links_plan.resolve_links(index, exports(spark, d), SETTINGS)
     rows = pages.page_totals(_table_pages(spark, d), ["page"], pages.VIDEO_TOTALS)
-    rejected = rows.agg(F.count_if(~pages.is_usable(pages.VIDEO_TOTALS)).alias("rejected_rows"))
-    return run.audit(index, found, "spotify_streams_is_floor").join(F.broadcast(rejected))
+    return run.audit(index, found, "spotify_streams_is_floor", rows, pages.is_usable(pages.VIDEO_TOTALS))
 
 
 # windows

@@ -17,16 +17,12 @@ def round_even(c: Column, digits: int) -> Column:
 def scale_to_100(df: DataFrame, col: str) -> DataFrame:
     """Divide by the largest value, times 100, two digits; unchanged unless that value is positive.
 
-    The maximum is one row, so joining it never moves ``df``.  ``df`` is read
+    The maximum is a scalar subquery, so ``df`` is not moved.  ``df`` is read
     twice: pass a written table.
     """
-    top = df.agg(F.max(col).alias("_top"))
-    scaled = round_even(F.col(col) / F.col("_top") * 100, 2)
-    return (
-        df.join(F.broadcast(top))
-        .withColumn(col, F.when(F.col("_top") > 0, scaled).otherwise(F.col(col)))
-        .drop("_top")
-    )
+    top = df.agg(F.max(col)).scalar()
+    scaled = round_even(F.col(col) / top * 100, 2)
+    return df.withColumn(col, F.when(top > 0, scaled).otherwise(F.col(col)))
 
 
 def ranked(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFrame:
