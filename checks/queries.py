@@ -58,7 +58,7 @@ def _weighted(spark: SparkSession, d: str) -> DataFrame:
 @lru_cache(maxsize=None)
 def _index(spark: SparkSession, d: str, cluster_songs: bool = True) -> DataFrame:
     if cluster_songs:
-        return scores.popularity_index(sources(spark, d), SETTINGS)
+        return scores.ranked_songs(sources(spark, d), SETTINGS)
     return scores.rank_songs(_weighted(spark, d))
 
 
@@ -110,7 +110,7 @@ def scan_union_files(spark, d):
 def score_missing_source(spark, d):
     full = sources(spark, d)
     some = {n: m for n, m in full.measures.items() if n != "subscription"}
-    return scores.popularity_index(dataclasses.replace(full, measures=some), SETTINGS, cluster=False)
+    return scores.ranked_songs(dataclasses.replace(full, measures=some), SETTINGS, cluster=False)
 
 
 def extract_page_items(spark, d):
@@ -455,7 +455,7 @@ def display_format(spark, d):
 
 
 def popularity_index(spark, d):
-    return scores.popularity_index(sources(spark, d), SETTINGS)
+    return scores.ranked_songs(sources(spark, d), SETTINGS)
 
 
 def resolve_links(spark, d):

@@ -169,7 +169,7 @@ def rank_songs(weighted: DataFrame) -> DataFrame:
     return ranked(scale_to_100(weighted, "final_score"), order)
 
 
-def popularity_index(sources: Sources, settings: Settings | None = None, cluster: bool = True) -> DataFrame:
+def ranked_songs(sources: Sources, settings: Settings | None = None, cluster: bool = True) -> DataFrame:
     """All songs with rank 1..N, scaled to a best score of 100."""
     settings = settings or Settings()
     songs = materialize(merged_songs(sources, settings, cluster), "songs")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from evergreen.config import Floor, MeasureDim, Settings
 from evergreen.plans import run
-from evergreen.plans.scores import Sources, merged_songs, popularity_index, song_list
+from evergreen.plans.scores import Sources, merged_songs, ranked_songs, song_list
 from evergreen.sources import exports, files, pages, snapshots
 from evergreen.sources.chart import chart_aggregate, chart_rows
 from evergreen.streaming.incremental import ingest
@@ -56,7 +56,7 @@ def test_chart_rows_drop_unreadable_and_aggregate(small):
 
 
 def test_whole_ranking(small):
-    rows = {r.key_title: r for r in popularity_index(small).collect()}
+    rows = {r.key_title: r for r in ranked_songs(small).collect()}
     assert len(rows) == 4 and sorted(r["rank"] for r in rows.values()) == [1, 2, 3, 4]
     love = rows["we found love"]
     assert (love.key_artist, love.spotify_streams, love.spotify_streams_is_floor) == ("rihanna", 900, False)
@@ -74,7 +74,7 @@ def test_row_order_does_not_matter(small):
         {n: m.orderBy(F.rand(2)) for n, m in small.measures.items()},
         small.playlists,
     )
-    assert sorted(popularity_index(small).collect()) == sorted(popularity_index(shuffled).collect())
+    assert sorted(ranked_songs(small).collect()) == sorted(ranked_songs(shuffled).collect())
 
 
 @pytest.mark.parametrize("missing", ["chart", "streams", "videos", "playlists"])
@@ -83,7 +83,7 @@ def test_missing_sources(small, missing):
         "chart": Sources(None, small.measures, small.playlists),
         "playlists": Sources(small.chart, small.measures),
     }.get(missing) or Sources(small.chart, {n: m for n, m in small.measures.items() if n != missing}, small.playlists)
-    index = popularity_index(src)
+    index = ranked_songs(src)
     gone = {"chart": "bb_score", "streams": "spotify_streams", "videos": "youtube_views"}.get(missing)
     assert gone not in index.columns and "year" in index.columns
     assert index.count() == {"chart": 3, "streams": 4, "videos": 4, "playlists": 4}[missing]
@@ -91,7 +91,7 @@ def test_missing_sources(small, missing):
 
 def test_no_source_is_an_error():
     with pytest.raises(ValueError):
-        popularity_index(Sources())
+        ranked_songs(Sources())
 
 
 def test_song_list_and_merge_keep_one_row_per_key(small):
@@ -130,7 +130,7 @@ def test_settings_are_parameters(spark, small):
     settings = Settings(
         measures=(MeasureDim("streams", "spotify_streams", "sp_score", 1.0),), chart_weight=0.0, floors=(Floor("playlist_lo", 5),)
     )
-    rows = {r.key_title: r for r in popularity_index(small, settings).collect()}
+    rows = {r.key_title: r for r in ranked_songs(small, settings).collect()}
     assert rows["known from list"].spotify_streams == 5
     assert rows["we found love"].final_score == 100.0
 
