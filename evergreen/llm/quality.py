@@ -183,14 +183,16 @@ def grade(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     return map_rows(docs.select(*columns), make, fields)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rated documents outside the held-out fold, with their grade."""
-    marks = (
-        labels.filter("quality IS NOT NULL")
-        .select("doc_id", F.expr("CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END").alias("grade"))
-        .dropDuplicates(["doc_id"])
-    )
-    return docs.select("doc_id", "text").filter(~in_fold(3, 1)).join(marks, "doc_id")
+def training_rows(docs: DataFrame, labels: DataFrame, bound: int = 3000) -> DataFrame:
+    """Documents of about ``bound`` ratings per grade outside the held-out fold, with their grade.
+
+    The ratings are sampled before they meet the texts; their number is bounded by
+    then, so they are sent to every task and no text is shuffled.
+    """
+    graded = F.expr("CASE WHEN quality = 0 THEN 0 WHEN toxic = 1 THEN 1 ELSE 2 END")
+    rated = labels.filter("quality IS NOT NULL").filter(~in_fold(3, 1)).groupBy("doc_id").agg(F.min(graded).alias("grade"))
+    picked = small_table(bounded_sample(rated, "grade", bound), "quality-labels")
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:
