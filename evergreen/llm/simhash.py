@@ -38,14 +38,17 @@ SMALL = 512
 BLOCK = 1 << 16
 
 
+def _signed(bits: int) -> int:
+    return bits - (1 << BITS) if bits >> (BITS - 1) else bits
+
+
 def covering_masks(level: int) -> list[int]:
     """One mask of 32 bits per non-zero vector, as signed numbers; other levels deal the vectors otherwise."""
     vectors = [i % (1 << (RADIUS + 1)) for i in range(BITS)]
     random.Random(level).shuffle(vectors)
     masks = []
     for v in range(1, 1 << (RADIUS + 1)):
-        mask = sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2)
-        masks.append(mask - (1 << BITS) if mask >> (BITS - 1) else mask)
+        masks.append(_signed(sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2)))
     return masks
 
 
@@ -116,7 +119,7 @@ def _compared(buckets: DataFrame) -> DataFrame:
     return map_rows(buckets.select("fps"), make, [("a", "long"), ("b", "long")])
 
 
-def _links(members: DataFrame, level: int, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _links(members: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
     """Links inside the small buckets of a level, and the members of the large ones that are not linked yet."""
     dealt = _dealt(members, level)
     sizes = dealt.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -133,8 +136,7 @@ def _links(members: DataFrame, level: int, known: DataFrame | None) -> tuple[Dat
 
 def _close_links(fps: DataFrame) -> DataFrame:
     """Links between fingerprints that differ in one block of four bits only: at most 16 share the rest."""
-    rest = [~(0xF << (4 * i)) for i in range(BITS // 4)]
-    rest = [m - (1 << BITS) if m >> (BITS - 1) == 1 else m for m in rest]
+    rest = [_signed((1 << BITS) - 1 ^ 0xF << (4 * i)) for i in range(BITS // 4)]
     placed = fps.select("fp", F.posexplode(F.array(*(F.lit(m).cast("long") for m in rest))).alias("block", "m"))
     least = placed.withColumn("key", F.col("fp").bitwiseAND(F.col("m"))).groupBy("block", "key")
     together = least.agg(F.min("fp").alias("a"), F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
@@ -143,7 +145,7 @@ def _close_links(fps: DataFrame) -> DataFrame:
 
 def link_components(fps: DataFrame) -> DataFrame:
     """(node, root) of all linked fingerprints, from distinct (fp)."""
-    links, large = _links(fps.select(F.lit(0).cast("long").alias("mask"), "fp"), 0, None)
+    links, large = _links(fps.select(F.lit(0).cast("long").alias("mask"), "fp"), 0)
     root = components(links)
     level = 1
     if not large.isEmpty():
@@ -156,7 +158,7 @@ def link_components(fps: DataFrame) -> DataFrame:
         members = materialize(large.join(open_.select("mask", "key"), ["mask", "key"]).select("mask", "fp"), "simhash-open")
         if members.isEmpty():
             break
-        more, large = _links(members, level, root)
+        more, large = _links(members, level)
         links = links.unionByName(more)
         root = materialize(components(links), "simhash-components")
         level += 1

@@ -14,7 +14,7 @@ The centroids come from a bounded sample and only decide the layout, never the r
 
 Components x become floor(256 x); vectors that are null or hold null, NaN or infinite
 components take no part, as queries or candidates.  Vectors of different length are not
-compared.  A query's own id is never its candidate, repeated rows with that id included;
+compared, and scores must fit 64 bits.  A query's own id is never its candidate, repeated rows with that id included;
 other repeated rows are candidates one by one.  Sums that could leave the exact range
 of doubles are taken in whole numbers of any size.  Only the named columns are read.
 """
@@ -92,7 +92,7 @@ def lay_out(vectors: DataFrame, centroids: dict[int, np.ndarray], rows: int) ->
 
         def block():
             ids = np.array([i for i, _ in held], dtype="i8")
-            data = np.array([v for _, v in held], dtype="i8").reshape(len(held), -1)
+            data = np.array([v for _, v in held], dtype="i8").reshape(len(held), len(held[0][1]))
             high, low = (data.max(0), data.min(0)) if data.shape[1] else (data[0], data[0])
             row = [data.shape[1], ids.tobytes(), data.tobytes(), high.tobytes(), low.tobytes()]
             held.clear()
@@ -149,7 +149,7 @@ def search(table: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         for size in set(right["size"]) & set(left["v"].map(len)):
             some = right[right["size"] == size]
             blocks = [
-                (np.frombuffer(i, dtype="i8"), np.frombuffer(d, dtype="i8").reshape(-1, size))
+                (np.frombuffer(i, dtype="i8"), np.frombuffer(d, dtype="i8").reshape(len(i) // 8, size))
                 for i, d in zip(some["ids"], some["data"])
             ]
             high, low = (np.array([np.frombuffer(x, dtype="i8") for x in some[c]]) for c in ("high", "low"))

@@ -118,10 +118,12 @@ def density(text: str | None, machine, exceptions: frozenset[str]) -> tuple[floa
     return math.log1p(100 * max(total, 0.0) / (len(words) + SMOOTHING_WORDS)), len(words), n
 
 
-def _sketch(words: list[str]) -> list[int]:
-    """Four minimum hashes of the runs of three words, by which near copies in the sample meet."""
+def _sketch(words: list[str]) -> list[str]:
+    """Three pairs of minimum hashes of the runs of three words, by which near copies in the sample meet."""
     runs = {zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(1, len(words) - 2))}
-    return [min((h * a + 12345) & 0xFFFFFFFF for h in runs) for a in (2654435761, 2246822519, 3266489917, 668265263)]
+    factors = (2654435761, 2246822519, 3266489917, 668265263, 374761393, 2860486313)
+    least = [min(h * a & 0xFFFFFFFF for h in runs) for a in factors]
+    return [f"{least[i]} {least[i + 1]}" for i in (0, 2, 4)]
 
 
 def fit(rows: DataFrame, bound: int = 5000, most_entries: int = 3000, label: str = "toxic") -> Lexicon:
@@ -136,12 +138,12 @@ def fit(rows: DataFrame, bound: int = 5000, most_entries: int = 3000, label: str
         def work(ids, texts, ys):
             words = [fold(t or "").split() for t in texts]
             sketches = [_sketch(w) for w in words]
-            return [ids, ys, [" ".join(w) for w in words], *([s[i] for s in sketches] for i in range(4))]
+            return [ids, ys, [" ".join(w) for w in words], *([s[i] for s in sketches] for i in range(3))]
 
         return work
 
-    keys = ["m0", "m1", "m2", "m3"]
-    fields = [("doc_id", "long"), ("y", "int"), ("words", "string"), *((k, "long") for k in keys)]
+    keys = ["m0", "m1", "m2"]
+    fields = [("doc_id", "long"), ("y", "int"), ("words", "string"), *((k, "string") for k in keys)]
     picked = bounded_sample(rows, "y", bound).select(F.col("doc_id").cast("long"), "text", F.col("y").cast("int"))
     sample = map_rows(picked, prepare, fields)
     for k in keys:
