@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from evergreen.llm.common import bounded_sample, in_fold, keep_rows, map_rows, read, small_table
 
-SHAPES, RUNS, EXTRA = 512, 512, 32
+SHAPES, RUNS, EXTRA = 256, 256, 32
 WIDTH = SHAPES + RUNS + EXTRA + 1
 SHAPE_OF = bytes(
     0x20 if c in (9, 10, 11, 12, 13, 32)
@@ -57,7 +57,7 @@ def features(text: str | None) -> np.ndarray:
     b = np.frombuffer(raw, dtype=np.uint8).astype(np.uint32)
     if len(b) > 2:
         code = ((b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]) * np.uint32(2654435761)
-        out[SHAPES : SHAPES + RUNS] = _unit(np.sqrt(np.bincount(code >> np.uint32(23), minlength=RUNS)))
+        out[SHAPES : SHAPES + RUNS] = _unit(np.sqrt(np.bincount(code >> np.uint32(24), minlength=RUNS)))
     tokens = raw.lower().split()
     extra = SHAPES + RUNS
     out[extra + min(15, len(tokens).bit_length())] = 0.5
@@ -127,6 +127,8 @@ def fit(rows: DataFrame, bound: int = 3000, rounds: int = 8, ridge: float = 1.0,
     place = {g: i for i, g in enumerate(grades)}
     model = OrdinalModel(np.zeros(WIDTH), np.linspace(-0.5, 0.5, len(grades) - 1) if len(grades) > 2 else np.zeros(1))
     share = {g: 1000 / n for g, n in sizes.items()}
+    size = WIDTH + len(grades) - 1
+    upper = np.triu_indices(size)  # the information is symmetric: half of it travels
     for _ in range(rounds):
 
         def sums(model=model):
@@ -134,15 +136,18 @@ def fit(rows: DataFrame, bound: int = 3000, rounds: int = 8, ridge: float = 1.0,
                 x = np.frombuffer(b"".join(xs), dtype="f4").reshape(len(xs), WIDTH).astype("f8")
                 y = np.array([place[v] for v in ys])
                 score, info = _step(model, x, y, np.array([share[v] for v in ys]))
-                return [[score.tobytes()], [info.tobytes()]]
+                return [[score.tobytes()], [info[upper].tobytes()]]
 
             return work
 
         parts = map_rows(sample.select("x", "grade"), sums, [("score", "binary"), ("info", "binary")])
-        score, info = np.zeros(WIDTH + len(grades) - 1), 0.0
+        score, half = np.zeros(size), np.zeros(size * (size + 1) // 2)
         for r in parts.toLocalIterator():
             score += np.frombuffer(r["score"])
-            info = info + np.frombuffer(r["info"]).reshape(len(score), -1)
+            half += np.frombuffer(r["info"])
+        info = np.zeros((size, size))
+        info[upper] = half
+        info += np.triu(info, 1).T
         penalty = np.r_[np.full(WIDTH - 1, ridge), 1e-3, np.full(len(grades) - 1, 1e-3)]
         at = np.r_[model.weights, model.thresholds]
         move = np.linalg.solve(info + np.diag(penalty + 1e-6), score - penalty * at)
