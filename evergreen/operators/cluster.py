@@ -16,8 +16,6 @@ from evergreen.functions.text import apply_aliases, artist_key, collaborators, i
 from evergreen.operators.skew import HOT_ROWS, skew_join
 from evergreen.session import materialize
 
-MAX_ROUNDS = 60
-
 
 def artist_tokens(
     df: DataFrame, aliases: dict[str, str], keep: list[str], artist: str = "artist", own_key: str | None = None
@@ -60,8 +58,8 @@ def _nodes(rows: DataFrame) -> DataFrame:
     )
 
 
-def _state(links: DataFrame) -> tuple[int, bool]:
-    """Number of links, and whether they are stars: one parent per child, no parent a child."""
+def _settled(links: DataFrame) -> bool:
+    """Whether the links are stars: one parent per child, no parent a child."""
     ends = F.explode(
         F.array(
             F.struct(F.col("child").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")),
@@ -69,22 +67,20 @@ def _state(links: DataFrame) -> tuple[int, bool]:
         )
     )
     broken = (F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0))
-    row = (
+    ends_of = (
         links.select("key_title", ends.alias("e"))
         .groupBy("key_title", "e.x")
         .agg(F.sum("e.down").alias("down"), F.max("e.up").alias("up"))
-        .agg(F.coalesce(F.sum("down"), F.lit(0)).alias("links"), F.count_if(broken).alias("broken"))
-        .first()
     )
-    return row["links"], row["broken"] == 0
+    return ends_of.filter(broken).isEmpty()
 
 
-def _contract(links: DataFrame, total: int, hot_rows: int) -> DataFrame:
+def _contract(links: DataFrame, hot_rows: int) -> DataFrame:
     """One large-star and one small-star step on (child, parent) links with parent < child."""
     least = links.groupBy("key_title", "child").agg(F.min("parent").alias("least"), F.count(F.lit(1)).alias("n"))
     fan_in = links.groupBy("key_title", "parent").agg(F.count(F.lit(1)).alias("n"))
     grand = least.select("key_title", F.col("child").alias("parent"), "least")
-    lifted = skew_join(links, grand, ["key_title", "parent"], fan_in, ["child"], "left", hot_rows, total).select(
+    lifted = skew_join(links, grand, ["key_title", "parent"], fan_in, ["child"], "left", hot_rows).select(
         "key_title", "child", F.coalesce("least", "parent").alias("parent")
     )
     lowest = lifted.groupBy("key_title", "child").agg(F.min("parent").alias("least"))
@@ -96,7 +92,6 @@ def _contract(links: DataFrame, total: int, hot_rows: int) -> DataFrame:
         ["parent"],
         "inner",
         hot_rows,
-        total,
     )
     pairs = F.explode(
         F.array(
@@ -133,21 +128,18 @@ def cluster_changes(rows: DataFrame, aliases: dict[str, str], hot_rows: int = HO
             ["node"],
             "inner",
             hot_rows,
-            edges.count(),
         )
         .select("key_title", F.col("node").alias("child"), "parent")
         .filter(F.col("child") != F.col("parent"))
         .distinct()
     )
     links = materialize(links, "links")
-    for _ in range(MAX_ROUNDS):
-        total, settled = _state(links)
-        if settled:
-            return links.select(
-                "key_title", F.col("child.key_artist").alias("key_artist"), F.col("parent.key_artist").alias("canonical")
-            )
-        links = materialize(_contract(links, total, hot_rows), "links")
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+    # Each round moves links to lesser parents, so rounds end by themselves.
+    while not _settled(links):
+        links = materialize(_contract(links, hot_rows), "links")
+    return links.select(
+        "key_title", F.col("child.key_artist").alias("key_artist"), F.col("parent.key_artist").alias("canonical")
+    )
 
 
 def cluster_map(rows: DataFrame, changes: DataFrame) -> DataFrame:

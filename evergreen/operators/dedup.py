@@ -79,7 +79,19 @@ def union_in_order(frames: list[DataFrame], order_col: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
 
 
-def append_new(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``existing`` plus the rows of ``new`` whose key it lacks, one per new key."""
-    fresh = new.join(existing.select(*keys), keys, "left_anti")
-    return existing.unionByName(first_per_key(fresh, keys, [c for c in fresh.columns if c not in keys]))
+def unseen(new: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``new`` whose key ``stored`` lacks; keys with nulls count as equal, too."""
+    known = stored.select(F.struct(*keys).alias("_key")).distinct()
+    return new.withColumn("_key", F.struct(*keys)).join(known, "_key", "left_anti").drop("_key")
+
+
+def append_new(
+    existing: DataFrame, new: DataFrame, keys: list[str], order: list[str | Column] | None = None
+) -> DataFrame:
+    """``existing`` plus the rows of ``new`` whose key it lacks, one per new key.
+
+    The first row of a key in ``order`` is taken (by default in the order of the other
+    columns).  Repeats of a key go before the rows meet what is stored.
+    """
+    first = first_per_key(new, keys, order or [c for c in new.columns if c not in keys])
+    return existing.unionByName(unseen(first, existing, keys))

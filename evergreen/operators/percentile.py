@@ -9,17 +9,16 @@ join, and no window over raw rows.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evergreen.operators.skew import HOT_ROWS, skew_join
-from evergreen.session import materialize
 
 DIGIT_BITS = 21
-BROADCAST_ROWS = 100_000
+FRACTIONAL = ("float", "double", "decimal")
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def histogram(df: DataFrame, group: list[str], value: str) -> DataFrame:
@@ -32,11 +31,13 @@ def running_counts(hist: DataFrame, group: list[str], value: str, value_bits: in
     A cumulative sum over an unbounded number of distinct values must not sit in
     one task.  Values are cut into 21-bit digits: counts accumulate inside each
     block of equal higher digits, and recursively over the blocks, so that no
-    window partition ever holds more than 2^21 rows.  ``value_bits`` states the
-    expected width and saves levels; it never changes the result.
+    window partition ever holds more than 2^21 rows.  Values with fractions are cut
+    at the point first: a partition then holds the fractions of one whole number.
+    ``value_bits`` states the expected width and saves levels; it never changes the result.
     """
+    fractional = dict(hist.dtypes)[value] == "double"
     ordered = W.partitionBy(*group).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    if value_bits <= DIGIT_BITS:
+    if value_bits <= DIGIT_BITS and not fractional:
         return hist.withColumns(
             {
                 "below": F.coalesce(F.sum("n").over(ordered), F.lit(0)),
@@ -45,9 +46,9 @@ def running_counts(hist: DataFrame, group: list[str], value: str, value_bits: in
         )
     high = f"_high_{value}"
     block = [*group, high]
-    cut = hist.withColumn(high, F.shiftright(value, DIGIT_BITS))
+    cut = hist.withColumn(high, F.floor(value) if fractional else F.shiftright(value, DIGIT_BITS))
     blocks = cut.groupBy(*block).agg(F.sum("n").alias("n"))
-    offsets = running_counts(blocks, group, high, value_bits - DIGIT_BITS).select(
+    offsets = running_counts(blocks, group, high, value_bits if fractional else value_bits - DIGIT_BITS).select(
         *block, F.col("below").alias("_offset"), "total"
     )
     inside = W.partitionBy(*block).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
@@ -73,8 +74,15 @@ def average_rank() -> Column:
 
 
 def _long(df: DataFrame, keys: list[str], group: str, metrics: list[str]) -> DataFrame:
-    """One (keys, group, metric, value) row per non-null measure."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("bigint").alias("value")) for m in metrics])
+    """One (keys, group, metric, value) row per non-null measure.
+
+    Whole numbers stay whole; if a measure has fractions, all values are doubles.
+    """
+    kinds = {m: dict(df.dtypes)[m].split("(")[0] for m in metrics}
+    if bad := {m: k for m, k in kinds.items() if k not in WHOLE + FRACTIONAL}:
+        raise TypeError(f"measures must be numbers: {bad}")
+    kind = "double" if any(k in FRACTIONAL for k in kinds.values()) else "bigint"
+    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast(kind).alias("value")) for m in metrics])
     exploded = df.select(*keys, F.col(group).alias("cohort"), F.explode(pairs).alias("_p"))
     return exploded.select(*keys, "cohort", "_p.*").filter(F.col("value").isNotNull())
 
@@ -92,32 +100,17 @@ def rolling_cohorts(hist: DataFrame, half_window: int) -> DataFrame:
 def _attach(
     df: DataFrame,
     keys: list[str],
-    group: str,
     outputs: Mapping[str, str],
     long: DataFrame,
     hist: DataFrame,
     lookup: DataFrame,
-    broadcast_rows: int,
     hot_rows: int,
 ) -> DataFrame:
     """Look the percentiles up for every row of ``df``.
 
-    The written lookup table is counted first.  A small one is broadcast once
-    per measure and ``df`` is not shuffled at all.  A large one meets the narrow
-    long form in a salted join; the result is folded back to one row per key.
+    The narrow long form meets the lookup in a salted join, and the result is folded
+    back to one row per key.
     """
-    lookup = materialize(lookup, "percentiles")
-    if lookup.count() <= broadcast_rows:
-
-        def attach_one(acc: DataFrame, item: tuple[str, str]) -> DataFrame:
-            metric, out = item
-            side = lookup.filter(F.col("metric") == metric).select(
-                F.col("cohort").alias("_cohort"), F.col("value").alias("_value"), F.col("pct").alias(out)
-            )
-            match = (F.col(group) == F.col("_cohort")) & (F.col(metric) == F.col("_value"))
-            return acc.join(F.broadcast(side), match, "left").drop("_cohort", "_value")
-
-        return reduce(attach_one, outputs.items(), df)
     found = skew_join(
         long, lookup, ["metric", "cohort", "value"], hist, spread_by=keys, how="inner", hot_rows=hot_rows
     )
@@ -135,7 +128,6 @@ def rolling_percentiles(
     higher_is_better: set[str],
     half_window: int,
     value_bits: int = 63,
-    broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Mid-rank percentile of each metric among rows within ``half_window`` years.
@@ -148,7 +140,7 @@ def rolling_percentiles(
     counted = running_counts(rolling_cohorts(hist, half_window), ["metric", "cohort"], "value", value_bits)
     up = F.col("metric").isin(*higher_is_better) if higher_is_better else F.lit(False)
     lookup = counted.select("metric", "cohort", "value", mid_rank(up).alias("pct"))
-    return _attach(df, keys, year, outputs, long, hist, lookup, broadcast_rows, hot_rows)
+    return _attach(df, keys, outputs, long, hist, lookup, hot_rows)
 
 
 def group_percentiles(
@@ -157,7 +149,6 @@ def group_percentiles(
     group: str,
     outputs: Mapping[str, str],
     value_bits: int = 63,
-    broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Average-rank percentile of each metric within its group; nulls stay null and uncounted."""
@@ -165,7 +156,7 @@ def group_percentiles(
     hist = histogram(long, ["metric", "cohort"], "value")
     counted = running_counts(hist, ["metric", "cohort"], "value", value_bits)
     lookup = counted.select("metric", "cohort", "value", average_rank().alias("pct"))
-    return _attach(df, keys, group, outputs, long, hist, lookup, broadcast_rows, hot_rows)
+    return _attach(df, keys, outputs, long, hist, lookup, hot_rows)
 
 
 def decade(year: Column) -> Column:

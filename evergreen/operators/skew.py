@@ -16,7 +16,6 @@ def skew_join(
     spread_by: list[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    total: int | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup`` (at most one row per key) without hot partitions.
 
@@ -24,12 +23,9 @@ def skew_join(
     A key with more than ``hot_rows`` rows is spread over ceil(n / hot_rows)
     salts by the hash of ``spread_by``, and its lookup row is repeated once per
     salt.  At most sum(n) / hot_rows keys can be hot, which bounds the broadcast
-    list.  All other rows have salt 0; nothing is dropped.  When ``total``, the
-    known number of rows, does not exceed ``hot_rows``, no key can be hot and the
-    join stays plain.
+    list.  All other rows have salt 0; nothing is dropped.  The plan is the same at
+    every size: where no key is hot, the list is empty.
     """
-    if total is not None and total <= hot_rows:
-        return rows.join(lookup, keys, how)
     hot = F.broadcast(
         counts.filter(F.col("n") > hot_rows).select(*keys, F.ceil(F.col("n") / hot_rows).cast("int").alias("_copies"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from evergreen.functions.parse import release_year, track_url
 from evergreen.functions.text import link_title_key, primary_artist
 from evergreen.operators.dedup import first_per_key
-from evergreen.sources.files import EXPORT_REQUIRED, EXPORT_SYNONYMS, read_text_columns
+from evergreen.sources.files import EXPORT_REQUIRED, EXPORT_SYNONYMS, read_text_columns, to_number
 
 
 def canonical_export(df: DataFrame) -> DataFrame | None:
@@ -45,7 +45,7 @@ def link_rows(exports: DataFrame) -> DataFrame:
         link_title_key(F.col("title")).alias("kt"),
         primary_artist(F.col("artist")).alias("kp"),
         track_url(F.col("uri")).alias("spotify_url"),
-        F.col("duration_ms").try_cast("bigint").alias("duration_ms"),
+        to_number(F.col("duration_ms"), "bigint").alias("duration_ms"),
         release_year(F.col("release_date")).alias("release_year"),
         "file_ord",
         "ord",

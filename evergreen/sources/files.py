@@ -28,20 +28,25 @@ EXPORT_REQUIRED = ("uri", "title", "artist")
 
 
 def file_order() -> Column:
-    """Row order of a file scan: increasing within and across the splits of one read."""
-    return F.monotonically_increasing_id()
+    """Row order of a file scan: by file name, place of the split in the file, and place in the split."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
 
 
-def read_text_columns(spark: SparkSession, path: str, parquet: bool = False) -> DataFrame:
+def read_text_columns(spark: SparkSession, path: str, parquet: bool = False, multi_line: bool = True) -> DataFrame:
     """A header CSV (all columns as text, no inference pass) or a Parquet table, with ``ord``.
 
-    Only empty cells are null: texts such as ``NA`` stay text.
+    Only empty cells are null: texts such as ``NA`` stay text.  ``multi_line`` reads
+    quoted line breaks; files known to have none can be split without it.
     """
     if parquet:
         df = spark.read.parquet(path)
     else:
         df = spark.read.option("header", True).option("quote", '"').option("escape", '"').option(
-            "multiLine", False
+            "multiLine", multi_line
         ).csv(path)
     return df.withColumn("ord", file_order())
 
@@ -53,8 +58,8 @@ def pick(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def to_number(c: Column, kind: str = "int") -> Column:
-    """Numeric coercion; anything that is not a number becomes null."""
-    return c.try_cast("double").try_cast(kind)
+    """Numeric coercion, exact where the text is a whole number; anything that is not a number becomes null."""
+    return F.coalesce(c.try_cast(kind), c.try_cast("double").try_cast(kind))
 
 
 def whole_number(df: DataFrame, col: str) -> Column:
@@ -64,11 +69,15 @@ def whole_number(df: DataFrame, col: str) -> Column:
     return to_number(F.col(col))
 
 
-def calendar_date(df: DataFrame, col: str) -> Column:
-    """``col`` as date: a date or timestamp column as it is, text is parsed."""
+DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy")
+
+
+def calendar_date(df: DataFrame, col: str, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
+    """``col`` as date: a date or timestamp column as it is; text is read as ISO, else by the first format that fits."""
     if dict(df.dtypes)[col] in ("date", "timestamp", "timestamp_ntz"):
         return F.col(col).cast("date")
-    return F.try_to_date(F.col(col).cast("string"))
+    text = F.trim(F.col(col).cast("string"))
+    return F.coalesce(F.try_to_date(text), *(F.try_to_date(text, f) for f in formats))
 
 
 def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:

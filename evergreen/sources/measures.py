@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from evergreen.config import MeasureDim, Settings
 from evergreen.functions.text import apply_aliases, artist_key, first_of_list, title_key, with_keys
 from evergreen.operators.dedup import best_per_key, best_with_authority, first_per_key
+from evergreen.sources.files import to_number
 
 KEYS = ["key_title", "key_artist"]
 
 
 def measure_rows(raw: DataFrame, dim: MeasureDim, settings: Settings) -> DataFrame:
     """Keyed totals: key_title, key_artist, title, artist, ord, value column."""
-    typed = raw.select("title", "artist", "ord", F.col(dim.value_col).try_cast("bigint").alias(dim.value_col))
+    typed = raw.select("title", "artist", "ord", to_number(F.col(dim.value_col), "bigint").alias(dim.value_col))
     return with_keys(typed, settings.aliases).select(*KEYS, "title", "artist", "ord", dim.value_col)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evergreen.operators.dedup import unseen
+
 
 def calendar_weeks(bounds: DataFrame, start: Column, end: Column, step_weeks: int) -> DataFrame:
     """Every ``step_weeks`` weeks from start to end inclusive, for each row of ``bounds``."""
@@ -18,7 +20,7 @@ def calendar_between(spark: SparkSession, start: str, end: str, step_weeks: int
 
 def pending(wanted: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of ``wanted`` that are not loaded yet."""
-    return wanted.join(loaded.select(*keys), keys, "left_anti")
+    return unseen(wanted, loaded, keys)
 
 
 def flatten_snapshots(snapshots: DataFrame, keep: list[str], entries: str = "entries") -> DataFrame:
@@ -28,16 +30,16 @@ def flatten_snapshots(snapshots: DataFrame, keep: list[str], entries: str = "ent
 
 
 def payload_counts(df: DataFrame, keep: list[str], payload: str, fields: dict[str, str]) -> DataFrame:
-    """Counts from a JSON payload; an error, a missing field or a bad number counts as 0.
+    """Counts from a JSON payload; a missing field counts as 0, an error or a bad number makes the whole row 0.
 
     ``fields`` maps output columns to JSON paths.
     """
+    found = {out: F.get_json_object(payload, path) for out, path in fields.items()}
     failed = F.get_json_object(payload, "$.error").isNotNull()
+    for text in found.values():
+        failed = failed | (text.isNotNull() & text.try_cast("bigint").isNull())
+    zero = F.lit(0).cast("bigint")
     cols = [
-        F.when(failed, F.lit(0))
-        .otherwise(F.coalesce(F.get_json_object(payload, path).try_cast("bigint"), F.lit(0)))
-        .cast("bigint")
-        .alias(out)
-        for out, path in fields.items()
+        F.when(failed, zero).otherwise(F.coalesce(text.try_cast("bigint"), zero)).alias(out) for out, text in found.items()
     ]
     return df.select(*keep, *cols)

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from evergreen.operators.dedup import first_per_key
+from evergreen.operators.dedup import first_per_key, unseen
 
 
-def append_unseen(batch: DataFrame, table_path: str, keys: list[str]) -> None:
-    """Append the rows of ``batch`` whose key the table lacks.  Repeating a batch adds nothing."""
+def append_unseen(batch: DataFrame, table_path: str, keys: list[str], order: list[str] | None = None) -> None:
+    """Append the rows of ``batch`` whose key the table lacks.  Repeating a batch adds nothing.
+
+    Of rows with one key the first in ``order`` is taken; keys with nulls count as equal.
+    """
     spark = batch.sparkSession
-    order = [c for c in batch.columns if c not in keys]
-    fresh = first_per_key(batch, keys, order)
+    fresh = first_per_key(batch, keys, order or [c for c in batch.columns if c not in keys])
     try:
         stored = spark.read.schema(batch.schema).parquet(table_path).select(*keys)
-        fresh = fresh.join(stored, keys, "left_anti")
+        fresh = unseen(fresh, stored, keys)
     except Exception as e:  # noqa: BLE001 - the first batch finds no table
         if "PATH_NOT_FOUND" not in str(e):
             raise

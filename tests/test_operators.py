@@ -18,7 +18,7 @@ def brute_rolling(rows, half, up):
     return out
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "hot_rows": 5}], ids=["broadcast", "salted"])
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 5}], ids=["plain", "salted"])
 def test_rolling_percentile_against_brute_force(spark, limits):
     rng = random.Random(7)
     rows = [(str(i), rng.randint(1990, 1999), rng.choice([1, 1, 1, 2, 5, 9, 40])) for i in range(300)]
@@ -37,7 +37,7 @@ def test_rolling_percentile_worked_example(spark):
     assert {r.key_artist: r.p for r in got} == {"a": 2.5 / 3, "b": 1 / 3, "c": 1 / 3, "d": 0.5}
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0, "hot_rows": 3}], ids=["broadcast", "salted"])
+@pytest.mark.parametrize("limits", [{}, {"hot_rows": 3}], ids=["plain", "salted"])
 def test_group_percentile(spark, limits):
     rng = random.Random(3)
     values = [10, 10, 30, None, 2**21, 2**21 + 1, 2**45, 2**45 + 7, 2**62, 0] + [rng.randrange(2**50) for _ in range(60)]
@@ -58,6 +58,17 @@ def test_group_percentile_worked_example(spark):
     assert got == {"a": 0.5, "b": 0.5, "c": 1.0, "d": None}
 
 
+def test_fractional_measures(spark):
+    """Values keep their fractions, whatever plan they take."""
+    rows = [("t", k, 0, v) for k, v in zip("abcde", [1.2, 1.7, 3.0, None, -0.5])]
+    df = spark.createDataFrame(rows, "key_title string, key_artist string, g int, v double")
+    for limits in ({}, {"hot_rows": 1}):
+        got = {r.key_artist: r.p for r in percentile.group_percentiles(df, KEYS, "g", {"v": "p"}, **limits).collect()}
+        assert got == {"e": 0.25, "a": 0.5, "b": 0.75, "c": 1.0, "d": None}
+    with pytest.raises(TypeError):
+        percentile.group_percentiles(df.withColumn("v", F.lit("x")), KEYS, "g", {"v": "p"})
+
+
 def test_running_counts_levels_agree(spark):
     rng = random.Random(1)
     rows = [(i % 3, rng.randrange(2**60), rng.randint(1, 9)) for i in range(400)]
@@ -106,25 +117,22 @@ def test_authoritative(spark, hot_rows):
 
 
 def brute_components(rows, tokens):
-    parent = {}
-
-    def find(x):
-        while parent.setdefault(x, x) != x:
-            x = parent[x]
-        return x
-
-    owners = {}
-    for kt, ka, *_ in rows:
-        for t in tokens[(kt, ka)]:
-            other = owners.setdefault((kt, t), (kt, ka))
-            a, b = find((kt, ka)), find(other)
-            if a != b:
-                parent[a] = b
-    groups = defaultdict(list)
+    """Breadth-first search over an explicit list of neighbours."""
+    nodes = sorted({(kt, ka) for kt, ka, *_ in rows})
+    neighbours = {n: [m for m in nodes if m[0] == n[0] and tokens[m] & tokens[n]] for n in nodes}
+    first = defaultdict(list)
     for kt, ka, _, src, v in rows:
-        groups[find((kt, ka))].append((src, -v, ka))
-    least = {g: min(m)[2] for g, m in groups.items()}
-    return {(kt, ka): least[find((kt, ka))] for kt, ka, *_ in rows}
+        first[kt, ka].append((src, -v, ka))
+    found = {}
+    for start in nodes:
+        if start in found:
+            continue
+        reached, front = {start}, [start]
+        while front:
+            front = [m for n in front for m in neighbours[n] if m not in reached and not reached.add(m)]
+        canonical = min(x for n in reached for x in first[n])[2]
+        found |= dict.fromkeys(reached, canonical)
+    return found
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 4])
@@ -187,7 +195,7 @@ def test_weighted_mean_worked_examples(spark):
     assert [r[0] for r in only_late] == pytest.approx([0.0, 0.9, 0.0])
 
 
-@pytest.mark.parametrize("how", [{"bounded_right": True}, {}, {"hot_rows": 1}], ids=["broadcast", "plain", "salted"])
+@pytest.mark.parametrize("how", [{}, {"hot_rows": 1}], ids=["plain", "salted"])
 def test_validated_join(spark, how):
     left = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", None), ("c", "z")], "title string, artist string")
     right = spark.createDataFrame([("a", "x", 1), ("b", None, 2)], "title string, artist string, u int")
@@ -196,6 +204,10 @@ def test_validated_join(spark, how):
     twice = right.union(spark.createDataFrame([("q", "q", 1), ("q", "q", 2)], right.schema))
     with pytest.raises(Exception, match="repeats a join key"):
         lookup.validated_left_join(left, twice, ["title", "artist"], ["title"], **how).collect()
+    joined = lookup.validated_left_join(left, twice, ["title", "artist"], ["title"], **how)
+    for pruned in (joined.select("title"), joined.groupBy().count()):
+        with pytest.raises(Exception, match="repeats a join key"):
+            pruned.collect()
 
 
 @pytest.mark.parametrize("limits", [{}, {"hot_rows": 1}])
@@ -216,3 +228,11 @@ def test_candidate_pool_and_append(spark):
     new = spark.createDataFrame([("a", 7, 7), ("d", 5, 5), ("d", 4, 4)], df.schema)
     got = Counter(tuple(r) for r in dedup.append_new(df, new, ["t"]).collect())
     assert got == Counter([("a", 1, 9), ("b", 2, None), ("c", 3, 1), ("d", 4, 4)])
+
+
+def test_append_with_null_keys_and_an_order(spark):
+    new = spark.createDataFrame([(None, 3, 1), (None, 3, 0), ("a", 9, 0), ("a", 3, 1)], "t string, v int, ord int")
+    stored = new.filter("false")
+    for _ in range(3):
+        stored = spark.createDataFrame(dedup.append_new(stored, new, ["t"], ["ord"]).collect(), new.schema)
+    assert Counter(map(tuple, stored.collect())) == Counter([(None, 3, 0), ("a", 9, 0)])

@@ -47,8 +47,8 @@ def test_top_n_never_sorts_everything(spark):
     assert "TakeOrderedAndProject" in plan(ranking.top_n(df, [F.col("v").desc(), F.col("id")], 5))
 
 
-def test_links_are_cut_down_to_wanted_titles_first(spark):
+def test_links_need_no_global_sort(spark):
     scores = spark.createDataFrame([(1, "red ring", "x")], "rank long, title string, artist string")
     text = plan(links_plan.resolve_links(scores, exports(spark, SF), SETTINGS))
     check(text)
-    assert "LeftSemi" in text and "BroadcastHashJoin" in text
+    assert "TakeOrdered" not in text and "GlobalLimit" not in text

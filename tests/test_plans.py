@@ -190,6 +190,38 @@ def test_payload_defaults(spark):
     assert [r.playcount for r in got] == [12, 0, 0, 0, 0]
 
 
+def test_one_bad_number_zeroes_the_row(spark):
+    df = spark.createDataFrame([('{"p": "12", "l": "x"}',), ('{"p": "12"}',), ('{"p": "3", "l": "4"}',)], "body string")
+    got = snapshots.payload_counts(df, [], "body", {"p": "$.p", "l": "$.l"}).collect()
+    assert [tuple(r) for r in got] == [(0, 0), (12, 0), (3, 4)]
+
+
+def test_other_dates_and_tolerant_numbers(spark):
+    from pyspark.sql import functions as F
+
+    from evergreen.sources import files
+
+    texts = ["1958-08-04", "8/4/1958", "August 4, 1958", "4 Aug 1958", "soon", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [str(r[0]) for r in df.select(files.calendar_date(df, "t")).collect()]
+    assert got == ["1958-08-04"] * 4 + ["None"] * 2
+    numbers = spark.createDataFrame([(t,) for t in ["210000.0", "9007199254740993", "x", None]], "t string")
+    got = [r[0] for r in numbers.select(files.to_number(F.col("t"), "bigint")).collect()]
+    assert got == [210000, 9007199254740993, None, None]
+
+
+def test_quoted_line_breaks_and_file_order(spark, tmp_path):
+    from evergreen.operators.dedup import first_per_key
+    from evergreen.sources.files import read_text_columns
+
+    (tmp_path / "b.csv").write_text("k,v\n" + "".join(f"{i % 50},late\n" for i in range(3000)))
+    (tmp_path / "a.csv").write_text('k,v\n0,"two\nlines"\n1,early\n')
+    rows = read_text_columns(spark, str(tmp_path))
+    assert rows.count() == 3002
+    first = {r.k: r.v for r in first_per_key(rows, ["k"], ["ord"]).collect()}
+    assert first["0"] == "two\nlines" and first["1"] == "early" and first["2"] == "late"
+
+
 def test_ingest_resumes_and_keeps_stored_rows(spark, tmp_path):
     schema = "week_date string, title string, rank int"
     src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
