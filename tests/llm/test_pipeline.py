@@ -3,13 +3,14 @@
 import os
 import sys
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(os.path.dirname(HERE)), HERE]
 
 import corpus_pipeline as cp
 from evergreen.llm import bpe, quality, toxicity
 from evergreen.llm.common import read
-from tests.llm.test_fingerprints import plain_components, plain_fingerprint
-from tests.llm.test_texts import leaks_by_hand
+from test_fingerprints import plain_components, plain_fingerprint
+from test_texts import leaks_by_hand
 
 D = "/root/testdata/sf0.001"
 
