@@ -241,54 +241,56 @@ SELECT 0 AS source_ord, 'chart' AS source, {KEYS}, title, artist, CAST(NULL AS B
         if n != "chart"
     ),
 )
-step(
-    "names",
-    ["source_rows"],
-    f"""
-SELECT DISTINCT {KEYS}, {alias('base')} AS token
-FROM (SELECT {KEYS}, {artist_base('name')} AS base
-      FROM (SELECT {KEYS}, unnest({collaborators('artist')}) AS name FROM source_rows) u) v WHERE base <> ''""",
-)
-step(
-    "nodes",
-    ["source_rows"],
-    f"""
-SELECT {KEYS}, source_ord, coalesce(-value, 9223372036854775807) AS negated FROM (
-  SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY source_ord, value DESC NULLS LAST) AS rn FROM source_rows) t
-WHERE rn = 1""",
-)
-step(
-    "neighbours",
-    ["names"],
-    "SELECT DISTINCT a.key_title, a.key_artist AS x, b.key_artist AS y FROM names a JOIN names b "
-    "ON a.key_title = b.key_title AND a.token = b.token",
-)
-step(
-    "reach",
-    ["nodes", "neighbours"],
-    "(key_title, x, y) SELECT key_title, key_artist, key_artist FROM nodes "
-    "UNION SELECT r.key_title, r.x, n.y FROM reach r JOIN neighbours n ON n.key_title = r.key_title AND n.x = r.y",
-)
-step(
-    "canon",
-    ["reach", "nodes"],
-    """
-SELECT key_title, x AS key_artist, canonical FROM (
-  SELECT r.key_title, r.x, r.y AS canonical,
-         row_number() OVER (PARTITION BY r.key_title, r.x ORDER BY n.source_ord, n.negated, n.key_artist) AS rn
-  FROM reach r JOIN nodes n ON n.key_title = r.key_title AND n.key_artist = r.y) t WHERE rn = 1""",
-)
-step(
-    "clustered",
-    ["source_rows", "canon"],
-    """
-SELECT s.* EXCLUDE (key_artist), s.key_artist AS own_artist, c.canonical AS key_artist
-FROM source_rows s JOIN canon c ON c.key_title = s.key_title AND c.key_artist = s.key_artist""",
-)
-step("plain_rows", ["source_rows"], "SELECT *, key_artist AS own_artist FROM source_rows")
-step("some_rows", ["plain_rows"], "SELECT * FROM plain_rows WHERE source <> 'subscription'")
+step("source_rows_m", ["source_rows"], "SELECT * FROM source_rows WHERE source <> 'subscription'")
 
-for _tag, _rows in (("c", "clustered"), ("u", "plain_rows"), ("m", "some_rows")):
+for _x in ("", "_m"):
+    _src = f"source_rows{_x}"
+    step(
+        f"names{_x}",
+        [_src],
+        f"""
+    SELECT DISTINCT {KEYS}, {alias('base')} AS token
+    FROM (SELECT {KEYS}, {artist_base('name')} AS base
+          FROM (SELECT {KEYS}, unnest({collaborators('artist')}) AS name FROM {_src}) u) v WHERE base <> ''""",
+    )
+    step(
+        f"nodes{_x}",
+        [_src],
+        f"""
+    SELECT {KEYS}, source_ord, coalesce(-value, 9223372036854775807) AS negated FROM (
+      SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY source_ord, value DESC NULLS LAST) AS rn FROM {_src}) t
+    WHERE rn = 1""",
+    )
+    step(
+        f"neighbours{_x}",
+        [f"names{_x}"],
+        f"SELECT DISTINCT a.key_title, a.key_artist AS x, b.key_artist AS y FROM names{_x} a JOIN names{_x} b "
+        "ON a.key_title = b.key_title AND a.token = b.token",
+    )
+    step(
+        f"reach{_x}",
+        [f"nodes{_x}", f"neighbours{_x}"],
+        f"(key_title, x, y) SELECT key_title, key_artist, key_artist FROM nodes{_x} "
+        f"UNION SELECT r.key_title, r.x, n.y FROM reach{_x} r JOIN neighbours{_x} n ON n.key_title = r.key_title AND n.x = r.y",
+    )
+    step(
+        f"canon{_x}",
+        [f"reach{_x}", f"nodes{_x}"],
+        f"""
+    SELECT key_title, x AS key_artist, canonical FROM (
+      SELECT r.key_title, r.x, r.y AS canonical,
+             row_number() OVER (PARTITION BY r.key_title, r.x ORDER BY n.source_ord, n.negated, n.key_artist) AS rn
+      FROM reach{_x} r JOIN nodes{_x} n ON n.key_title = r.key_title AND n.key_artist = r.y) t WHERE rn = 1""",
+    )
+    step(
+        f"clustered{_x}",
+        [_src, f"canon{_x}"],
+        f"""
+    SELECT s.* EXCLUDE (key_artist), s.key_artist AS own_artist, c.canonical AS key_artist
+    FROM {_src} s JOIN canon{_x} c ON c.key_title = s.key_title AND c.key_artist = s.key_artist""",
+    )
+
+for _tag, _rows in (("c", "clustered"), ("m", "clustered_m")):
     step(
         f"best_{_tag}",
         [_rows],
@@ -549,7 +551,7 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
         "json_defaults": PAYLOAD,
         "json_positive": f"SELECT * FROM ({PAYLOAD}) p WHERE playcount > 0",
         # sinks
-        "sink_scores": a("SELECT rank, title, artist, final_score FROM index_u", "index_u"),
+        "sink_scores": a("SELECT rank, title, artist, final_score FROM index_c", "index_c"),
         "songs_only": a("SELECT title, artist FROM songs_c", "songs_c"),
         "full_export": a(export_select(True), "index_c", "links"),
         "append_dedup": a(
@@ -579,8 +581,8 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
         "merge_measures": a(
             f"SELECT {KEYS}, title, artist, bb_score, bb_peak, bb_chart_weeks, year, "
             "CASE WHEN NOT spotify_streams_is_floor THEN spotify_streams END AS spotify_streams, "
-            "youtube_views, itunes_total, apple_total FROM merged_u",
-            "merged_u",
+            "youtube_views, itunes_total, apple_total FROM merged_c",
+            "merged_c",
         ),
         "playlist_membership": a(
             f"SELECT {KEYS}, EXISTS (SELECT 1 FROM {HI.playlist}_keys k WHERE k.key_title = c.key_title "
@@ -588,7 +590,7 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
             "chart_agg",
             f"{HI.playlist}_keys",
         ),
-        "link_lookup": a(linked("songs_u"), "songs_u", "by_pair", "by_title"),
+        "link_lookup": a(linked("songs_c"), "songs_c", "by_pair", "by_title"),
         "unambiguous_titles": a(
             "SELECT kt, kp, spotify_url, duration_ms, release_year FROM by_title", "by_title"
         ),
@@ -610,7 +612,7 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
         ),
         # aggregations
         "year_value_hist": a("SELECT year, bb_peak, count(*) AS n FROM chart_agg GROUP BY year, bb_peak", "chart_agg"),
-        "scale_to_100": a(f"SELECT {KEYS}, final_score FROM index_u", "index_u"),
+        "scale_to_100": a(f"SELECT {KEYS}, final_score FROM index_c", "index_c"),
         "audit_counts": a(
             "SELECT (SELECT count(*) FROM index_c) AS songs, "
             "(SELECT count(*) FROM index_c WHERE spotify_streams_is_floor) AS floors_applied, "
@@ -626,7 +628,7 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
             f"SELECT {KEYS}, year, bb_chart_weeks, weeks_pct FROM chart_scored", "chart_scored"
         ),
         "decade_percentile": a(
-            f"SELECT {KEYS}, decade, sp_score, yt_score, itunes_score, apple_score FROM scored_u", "scored_u"
+            f"SELECT {KEYS}, decade, sp_score, yt_score, itunes_score, apple_score FROM scored_c", "scored_c"
         ),
         "best_per_key": a(
             f"SELECT {KEYS}, title, artist, ord, value AS youtube_views FROM videos_best", "videos_best"
@@ -640,22 +642,22 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
             f"SELECT {KEYS}, title, artist, ord, value AS spotify_streams, authoritative FROM streams_flagged",
             "streams_flagged",
         ),
-        "final_rank": a(f"SELECT rank, {KEYS}, final_score FROM index_u", "index_u"),
+        "final_rank": a(f"SELECT rank, {KEYS}, final_score FROM index_c", "index_c"),
         # sorts and limits
-        "top_n": a(f"SELECT rank, title, artist, final_score FROM index_u WHERE rank <= {SETTINGS.top_n}", "index_u"),
+        "top_n": a(f"SELECT rank, title, artist, final_score FROM index_c WHERE rank <= {SETTINGS.top_n}", "index_c"),
         "top_n_measure": a(
-            f"SELECT {KEYS}, title, artist, youtube_views FROM index_u WHERE youtube_views IS NOT NULL "
+            f"SELECT {KEYS}, title, artist, youtube_views FROM index_c WHERE youtube_views IS NOT NULL "
             f"ORDER BY youtube_views DESC, {KEYS} LIMIT {SETTINGS.source_top_n}",
-            "index_u",
+            "index_c",
         ),
         # set operations
-        "song_list": a(f"SELECT {KEYS}, title, artist FROM songs_u", "songs_u"),
+        "song_list": a(f"SELECT {KEYS}, title, artist FROM songs_c", "songs_c"),
         "candidate_pool": a(
             "SELECT title, artist FROM ("
-            f"SELECT title, artist FROM index_u ORDER BY final_score DESC, {KEYS} LIMIT {SETTINGS.candidate_pool_n}) x "
-            "UNION SELECT title, artist FROM (SELECT title, artist FROM index_u WHERE bb_score IS NOT NULL "
+            f"SELECT title, artist FROM index_c ORDER BY final_score DESC, {KEYS} LIMIT {SETTINGS.candidate_pool_n}) x "
+            "UNION SELECT title, artist FROM (SELECT title, artist FROM index_c WHERE bb_score IS NOT NULL "
             f"ORDER BY bb_score DESC, {KEYS} LIMIT {SETTINGS.candidate_pool_n}) y",
-            "index_u",
+            "index_c",
         ),
         # entity resolution
         "artist_tokens": a(
@@ -669,8 +671,8 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
         ),
         # scoring
         "chart_score": a(f"SELECT {KEYS}, bb_score FROM chart_scored", "chart_scored"),
-        "stream_floors": a(f"SELECT {KEYS}, spotify_streams, spotify_streams_is_floor FROM merged_u", "merged_u"),
-        "weighted_score": a(f"SELECT {KEYS}, final_score FROM weighted_u", "weighted_u"),
+        "stream_floors": a(f"SELECT {KEYS}, spotify_streams, spotify_streams_is_floor FROM merged_c", "merged_c"),
+        "weighted_score": a(f"SELECT {KEYS}, final_score FROM weighted_c", "weighted_c"),
         # scalar functions
         "strip_accents": "SELECT doc_id, strip_accents(text) AS text FROM documents",
         "title_key": a(f"SELECT ord, title, {title_key('title')} AS key_title FROM chart_src", "chart_src"),
@@ -712,8 +714,8 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
         ),
         "display_format": a(
             f"SELECT {KEYS}, {CELLS}, {plain('decade', '', 's')} AS decade, {percent_1('sp_score')} AS era_percentile "
-            "FROM index_u",
-            "index_u",
+            "FROM index_c",
+            "index_c",
         ),
         # whole runs
         "popularity_index": a(f"SELECT {INDEX_COLUMNS} FROM index_c", "index_c"),

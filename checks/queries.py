@@ -41,13 +41,15 @@ def _chart(spark: SparkSession, d: str) -> DataFrame:
     return materialize(_chart_agg(spark, d), "chart")
 
 
-def _plain_rows(spark: SparkSession, d: str) -> DataFrame:
-    return _rows(spark, d).withColumn("own_artist", F.col("key_artist"))
+@lru_cache(maxsize=None)
+def _clustered(spark: SparkSession, d: str) -> DataFrame:
+    rows = _rows(spark, d)
+    return materialize(cluster.to_canonical(rows, cluster.cluster_changes(rows, SETTINGS.aliases)), "clustered")
 
 
 @lru_cache(maxsize=None)
 def _songs(spark: SparkSession, d: str) -> DataFrame:
-    return materialize(scores.merged_songs(sources(spark, d), SETTINGS, rows=_plain_rows(spark, d)), "songs")
+    return materialize(scores.merged_songs(sources(spark, d), SETTINGS, rows=_clustered(spark, d)), "songs")
 
 
 @lru_cache(maxsize=None)
@@ -56,9 +58,7 @@ def _weighted(spark: SparkSession, d: str) -> DataFrame:
 
 
 @lru_cache(maxsize=None)
-def _index(spark: SparkSession, d: str, cluster_songs: bool = True) -> DataFrame:
-    if cluster_songs:
-        return scores.ranked_songs(sources(spark, d), SETTINGS)
+def _index(spark: SparkSession, d: str) -> DataFrame:
     return scores.rank_songs(_weighted(spark, d))
 
 
@@ -110,7 +110,7 @@ def scan_union_files(spark, d):
 def score_missing_source(spark, d):
     full = sources(spark, d)
     some = {n: m for n, m in full.measures.items() if n != "subscription"}
-    return scores.ranked_songs(dataclasses.replace(full, measures=some), SETTINGS, cluster=False)
+    return scores.ranked_songs(dataclasses.replace(full, measures=some), SETTINGS)
 
 
 def extract_page_items(spark, d):
@@ -176,7 +176,7 @@ def json_positive(spark, d):
 
 def sink_scores(spark, d):
     path = os.path.join(checkpoint_root(spark), f"evergreen-sink-{uuid.uuid4().hex}")
-    run.write_table(_index(spark, d, False), path, order="rank")
+    run.write_table(_index(spark, d), path, order="rank")
     return spark.read.parquet(path).select("rank", "title", "artist", "final_score")
 
 
@@ -223,7 +223,7 @@ def chart_aggregate(spark, d):
 
 
 def merge_measures(spark, d):
-    merged = scores.merge_sources(_plain_rows(spark, d), sources(spark, d), SETTINGS)
+    merged = scores.merge_sources(_clustered(spark, d), sources(spark, d), SETTINGS)
     return merged.drop("spotify_streams_is_floor")
 
 
@@ -316,12 +316,12 @@ def final_rank(spark, d):
 
 
 def top_n(spark, d):
-    kept = ranking.top_n(_index(spark, d, False), [F.col("rank")], SETTINGS.top_n)
+    kept = ranking.top_n(_index(spark, d), [F.col("rank")], SETTINGS.top_n)
     return kept.select("rank", "title", "artist", "final_score")
 
 
 def top_n_measure(spark, d):
-    best = ranking.top_n_by(_index(spark, d, False), "youtube_views", KEYS, SETTINGS.source_top_n)
+    best = ranking.top_n_by(_index(spark, d), "youtube_views", KEYS, SETTINGS.source_top_n)
     return best.select(*KEYS, "title", "artist", "youtube_views")
 
 
@@ -329,12 +329,12 @@ def top_n_measure(spark, d):
 
 
 def song_list(spark, d):
-    return scores.merge_sources(_plain_rows(spark, d), sources(spark, d), SETTINGS).select(*KEYS, "title", "artist")
+    return scores.merge_sources(_clustered(spark, d), sources(spark, d), SETTINGS).select(*KEYS, "title", "artist")
 
 
 def candidate_pool(spark, d):
     return ranking.candidate_pool(
-        _index(spark, d, False), ["final_score", "bb_score"], ["title", "artist"], KEYS, SETTINGS.candidate_pool_n
+        _index(spark, d), ["final_score", "bb_score"], ["title", "artist"], KEYS, SETTINGS.candidate_pool_n
     )
 
 
@@ -365,7 +365,7 @@ def chart_score(spark, d):
 
 
 def stream_floors(spark, d):
-    songs = scores.merged_songs(sources(spark, d), SETTINGS, rows=_plain_rows(spark, d))
+    songs = scores.merged_songs(sources(spark, d), SETTINGS, rows=_clustered(spark, d))
     return songs.select(*KEYS, "spotify_streams", "spotify_streams_is_floor")
 
 
@@ -438,7 +438,7 @@ def display_credit(spark, d):
 
 
 def display_format(spark, d):
-    return _index(spark, d, False).select(
+    return _index(spark, d).select(
         *KEYS,
         D.plain_int(F.col("year")).alias("year"),
         D.fixed_1(F.col("final_score")).alias("score"),

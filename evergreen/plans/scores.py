@@ -80,10 +80,6 @@ def clustered_rows(sources: Sources, settings: Settings) -> DataFrame:
     return to_canonical(rows, cluster_changes(rows, settings.aliases))
 
 
-def unclustered_rows(sources: Sources, settings: Settings) -> DataFrame:
-    return source_rows(sources, settings).withColumn("own_artist", F.col("key_artist"))
-
-
 def _best(fields: list[str], when: Column, order: Column) -> Column:
     """Fields of the first row in ``order`` among the rows of one source (null when it has none)."""
     return F.min_by(F.struct(*fields), F.when(when, order))
@@ -136,12 +132,10 @@ def merge_sources(
     return songs.drop("_floor")
 
 
-def merged_songs(
-    sources: Sources, settings: Settings, cluster: bool = True, rows: DataFrame | None = None
-) -> DataFrame:
-    """Merged songs with their decade, floors applied; ``rows`` are the source rows if already there."""
+def merged_songs(sources: Sources, settings: Settings, rows: DataFrame | None = None) -> DataFrame:
+    """Merged songs with their decade, floors applied; ``rows`` are the clustered rows if already there."""
     if rows is None:
-        rows = clustered_rows(sources, settings) if cluster else unclustered_rows(sources, settings)
+        rows = clustered_rows(sources, settings)
     songs = merge_sources(rows, sources, settings, floor_table(sources.playlists, settings))
     return songs.withColumn("decade", decade(F.col("year")))
 
@@ -169,8 +163,8 @@ def rank_songs(weighted: DataFrame) -> DataFrame:
     return ranked(scale_to_100(weighted, "final_score"), order)
 
 
-def ranked_songs(sources: Sources, settings: Settings | None = None, cluster: bool = True) -> DataFrame:
+def ranked_songs(sources: Sources, settings: Settings | None = None) -> DataFrame:
     """All songs with rank 1..N, scaled to a best score of 100."""
     settings = settings or Settings()
-    songs = materialize(merged_songs(sources, settings, cluster), "songs")
+    songs = materialize(merged_songs(sources, settings), "songs")
     return rank_songs(materialize(score_songs(songs, sources, settings), "weighted"))

@@ -32,11 +32,11 @@ class TotalsPage:
 
 # Page layouts.
 TABLE = Layout(
-    row=r"(?is)<tr\b[^>]*>(.*?)</tr>",
-    cell=r"(?is)<td\b[^>]*>(.*?)</td>",
-    container=(r"(?is)<table\b[^>]*>(.*?)</table>", r"(?is)<tbody\b[^>]*>(.*?)</tbody>"),
+    row=r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr|</tbody|</table|\z)",
+    cell=r"(?is)<td\b[^>]*>(.*?)(?=<td\b|<tr\b|</td|</tr|\z)",
+    container=(r"(?is)<table\b[^>]*>(.*?)(?=</table|\z)", r"(?is)<tbody\b[^>]*>(.*?)(?=</tbody|</table|\z)"),
 )
-LINK_LIST = Layout(row=r"(?is)<li\b[^>]*>(.*?)</li>", cell=r"(?is)<a\b[^>]*>(.*?)</a>")
+LINK_LIST = Layout(row=r"(?is)<li\b[^>]*>(.*?)(?=<li\b|</li|</ul|</ol|\z)", cell=r"(?is)<a\b[^>]*>(.*?)</a>")
 STREAM_TOTALS = TotalsPage("spotify_streams", 2, 1)
 VIDEO_TOTALS = TotalsPage("youtube_views", 2, 1, free_form_names=True)
 STORE_TOTALS = TotalsPage("itunes_total", 5, 4)
@@ -53,8 +53,11 @@ def cell_text(html: Column) -> Column:
 
 
 def page_rows(pages: DataFrame, keep: list[str], layout: Layout, min_cells: int) -> DataFrame:
-    """(keep, pos, cells): rows with at least ``min_cells`` raw cells, in page order."""
-    body = F.col("html")
+    """(keep, pos, cells): rows with at least ``min_cells`` raw cells, in page order.
+
+    Comments hold no rows; rows and cells may lack their end tags.
+    """
+    body = F.regexp_replace("html", r"(?s)<!--.*?(?:-->|\z)", "")
     for pattern in layout.container:
         body = F.regexp_extract(body, pattern, 1)
     found = pages.select(
