@@ -8,11 +8,12 @@ tables: the flags of a line decide which source it feeds, nothing is sampled.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from evergreen.config import DEFAULT_ALIASES, DEFAULT_MEASURES, Floor, MeasureDim, Settings
+from evergreen.config import DEFAULT_ALIASES, DEFAULT_MEASURES, Floor, Settings
 from evergreen.plans.scores import Sources
 from evergreen.sources.exports import union_exports
 
@@ -21,7 +22,7 @@ TABLES = ("lineitem", "part", "supplier", "orders", "events", "documents", "page
 SETTINGS = Settings(
     half_window=1,
     measures=tuple(
-        MeasureDim(m.name, m.value_col, m.score_col, m.weight, {"store": 1996, "subscription": 1998}.get(m.name))
+        replace(m, start_year={"store": 1996, "subscription": 1998}.get(m.name))
         for m in DEFAULT_MEASURES
     ),
     floors=(Floor("playlist_hi", 500), Floor("playlist_lo", 100)),
@@ -98,6 +99,15 @@ SELECT p_partkey AS ord, CASE p_partkey % 9
 FROM {part} p""",
 }
 
+VIEWS["mixed_src"] = f"""
+SELECT ord, CASE WHEN quantity = 7 THEN NULL ELSE name END AS title, act AS artist,
+       CASE line WHEN 2 THEN concat(CAST(month(ship_date) AS VARCHAR(2)), '/', CAST(day(ship_date) AS VARCHAR(2)), '/',
+                                    CAST(year(ship_date) AS VARCHAR(4)))
+            WHEN 3 THEN 'soon' ELSE CAST(ship_date AS VARCHAR(10)) END AS date,
+       CASE line WHEN 4 THEN '4.0' WHEN 5 THEN 'n/a' ELSE CAST(line AS VARCHAR(2)) END AS peak_pos,
+       concat(CAST(CAST(quantity AS INT) AS VARCHAR(4)), CASE WHEN status = 'O' THEN '.00' ELSE '' END) AS weeks_on_chart
+FROM ({TRACKS}) t"""
+
 MEASURE_VIEWS = {"streams": "streams_src", "videos": "video_src", "store": "store_src", "subscription": "sub_src"}
 
 

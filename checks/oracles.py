@@ -466,9 +466,13 @@ step(
 SELECT 'videos' AS kind, artist, title, {COUNT} AS total FROM parsed
 UNION ALL
 SELECT 'streams', CASE WHEN contains(raw, ' - ') THEN {strip("split_part(raw, ' - ', 1)")} END,
-       CASE WHEN contains(raw, ' - ') THEN {strip("substr(raw, strpos(raw, ' - ') + 3)")} END, {COUNT} FROM parsed""",
+       CASE WHEN contains(raw, ' - ') THEN {strip("substr(raw, strpos(raw, ' - ') + 3)")} END, {COUNT} FROM parsed
+UNION ALL
+SELECT kind, CASE WHEN contains(raw, ' - ') THEN {strip("split_part(raw, ' - ', 1)")} END,
+       CASE WHEN contains(raw, ' - ') THEN {strip("substr(raw, strpos(raw, ' - ') + 3)")} END, {COUNT}
+FROM parsed, (VALUES ('store'), ('subscription')) k(kind)""",
 )
-USABLE = "artist IS NOT NULL AND title IS NOT NULL AND total IS NOT NULL AND (kind = 'streams' OR (artist <> '' AND title <> ''))"
+USABLE = "artist IS NOT NULL AND title IS NOT NULL AND total IS NOT NULL AND (kind <> 'videos' OR (artist <> '' AND title <> ''))"
 WEEKS = """SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 28 DAY)) AS DATE) AS week_date FROM (
   SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders) b"""
 TEXTS = "(SELECT artist FROM credit_src UNION SELECT artist FROM chart_src UNION SELECT artist FROM link_src)"
@@ -477,6 +481,12 @@ PAYLOAD = (
     "SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT), 0) AS playcount, "
     "CAST(0 AS BIGINT) AS listeners FROM events"
 )
+MIXED = """SELECT ord, title, artist, d AS date, CAST(p AS INT) AS peak_pos, CAST(w AS INT) AS weeks_on_chart,
+       CAST(year(d) AS INT) AS year
+FROM (SELECT ord, title, artist, TRY_CAST(peak_pos AS DOUBLE) AS p, TRY_CAST(weeks_on_chart AS DOUBLE) AS w,
+             CAST(coalesce(TRY_CAST(TRY_CAST(date AS DATE) AS TIMESTAMP), try_strptime(date, '%m/%d/%Y')) AS DATE) AS d
+      FROM mixed_src) x"""
+READ = "date IS NOT NULL AND peak_pos IS NOT NULL AND weeks_on_chart IS NOT NULL"
 _main, _feat = featured("artist")
 INDEX_COLUMNS = (
     f"rank, {KEYS}, title, artist, bb_score, bb_peak, bb_chart_weeks, year, spotify_streams, spotify_streams_is_floor, "
@@ -534,6 +544,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "scan_synonyms": a(f"{EXPORT} FROM link_src", "link_src"),
         "scan_union_files": a(f"{EXPORT}, CAST(ord % 2 AS INT) AS file_ord FROM link_src", "link_src"),
+        "scan_mixed_texts": a(f"SELECT * FROM ({MIXED}) m WHERE {READ}", "mixed_src"),
+        "scan_csv_exports": a("SELECT kt, kp, spotify_url, duration_ms, release_year FROM by_pair", "by_pair"),
         "score_missing_source": a("SELECT * EXCLUDE (top) FROM index_m", "index_m"),
         "extract_page_items": f"""
 SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r'\s*<[^>]*>\s*'))))} AS item FROM (
@@ -554,6 +566,8 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
         "sink_scores": a("SELECT rank, title, artist, final_score FROM index_c", "index_c"),
         "songs_only": a("SELECT title, artist FROM songs_c", "songs_c"),
         "full_export": a(export_select(True), "index_c", "links"),
+        "songs_csv": a("SELECT title, artist FROM songs_c", "songs_c"),
+        "export_csv": a(export_select(True), "index_c", "links"),
         "append_dedup": a(
             "SELECT title, artist, itunes_total AS playcount FROM store_src UNION ALL "
             "SELECT title, artist, spotify_streams FROM streams_src s WHERE NOT EXISTS "
@@ -617,10 +631,13 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
             "SELECT (SELECT count(*) FROM index_c) AS songs, "
             "(SELECT count(*) FROM index_c WHERE spotify_streams_is_floor) AS floors_applied, "
             "(SELECT count(*) FROM links) AS songs_looked_up, (SELECT count(spotify_url) FROM links) AS links_found, "
-            f"(SELECT count(*) FROM table_rows WHERE kind = 'videos' AND NOT ({USABLE})) AS rejected_rows",
+            f"(SELECT count(*) FROM table_rows WHERE kind = 'videos' AND NOT ({USABLE})) AS rejected_rows, "
+            f"(SELECT count(*) FROM ({MIXED}) m WHERE NOT ({READ})) AS chart_rows_unread, "
+            f"(SELECT count(*) FROM ({MIXED}) m WHERE {READ} AND title IS NULL) AS rows_without_name",
             "index_c",
             "links",
             "table_rows",
+            "mixed_src",
         ),
         # windows
         "rolling_percentile_low": a(f"SELECT {KEYS}, year, bb_peak, peak_pct FROM chart_scored", "chart_scored"),
@@ -735,5 +752,18 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
             "chart_scored",
         ),
         "report_source": a(" UNION ALL ".join(source_report(n) for n in MEASURE_VIEWS), "index_c"),
+        "full_run": a(
+            "SELECT 'scores' AS name, count(*) AS n FROM index_c UNION ALL SELECT 'full_export', count(*) FROM index_c "
+            "UNION ALL SELECT 'links', count(*) FROM links UNION ALL SELECT 'report_overall', count(*) FROM top_songs "
+            f"UNION ALL SELECT 'report_chart', least({SETTINGS.chart_top_n}, count(*)) FROM chart_scored "
+            + " ".join(
+                f"UNION ALL SELECT 'report_{m.name}', least({SETTINGS.source_top_n}, count({m.value_col})) FROM index_c"
+                for m in SETTINGS.measures
+            ),
+            "index_c",
+            "links",
+            "top_songs",
+            "chart_scored",
+        ),
         "quick_run": a(export_select(False), "index_c"),
     }

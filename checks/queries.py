@@ -62,6 +62,16 @@ def _index(spark: SparkSession, d: str) -> DataFrame:
     return scores.rank_songs(_weighted(spark, d))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return os.path.join(checkpoint_root(spark), f"evergreen-{name}-{uuid.uuid4().hex}")
+
+
+def _csv_round_trip(spark: SparkSession, df: DataFrame, order: str | None = None) -> DataFrame:
+    path = _scratch(spark, "csv")
+    run.write_table(df, path, "csv", order)
+    return spark.read.schema(df.schema).options(header=True, escape='"', multiLine=True).csv(path)
+
+
 def _credits(spark: SparkSession, d: str) -> DataFrame:
     """Every distinct credit of three views."""
     views = [view(spark, d, v).select("artist") for v in ("credit_src", "chart_src", "link_src")]
@@ -107,6 +117,22 @@ def scan_union_files(spark, d):
     return exports(spark, d)
 
 
+def scan_mixed_texts(spark, d):
+    """Dates and numbers in several spellings, some of them unreadable."""
+    return chart.chart_rows(view(spark, d, "mixed_src"))
+
+
+def scan_csv_exports(spark, d):
+    """The exports as CSV folders of several files, read back: the first link per title and artist."""
+    root = _scratch(spark, "exports")
+    for name, part in zip("ab", export_files(spark, d), strict=True):
+        part.orderBy("ord", "`Track URI`").drop("ord").write.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(f"{root}/{name}")
+    links = export_source.link_rows(export_source.read_exports(spark, [f"{root}/b", f"{root}/a"]))
+    return export_source.links_by_pair(links).select("kt", "kp", "spotify_url", "duration_ms", "release_year")
+
+
 def score_missing_source(spark, d):
     full = sources(spark, d)
     some = {n: m for n, m in full.measures.items() if n != "subscription"}
@@ -131,14 +157,31 @@ def _table_pages(spark, d):
     return view(spark, d, "raw_line_src").select(F.col("ord").alias("page"), html.alias("html"))
 
 
+def _wide_pages(spark, d):
+    """The same with five cells a row, a row inside a comment, and cells and rows without end tags."""
+    html = F.concat(
+        F.lit("<table><tbody><!-- <tr><td>a - b<td>1<td>2<td>3<td>4 --><tr><td>short - row<td>1<td>2<td>3\n<tr><td>"),
+        "raw",
+        F.lit("<td>1<td>2</td><td>3<td>"),
+        "num",
+        F.lit("</tbody></table>"),
+    )
+    return view(spark, d, "raw_line_src").select(F.col("ord").alias("page"), html.alias("html"))
+
+
 def extract_table_totals(spark, d):
-    landed = _table_pages(spark, d)
-    kinds = {"videos": pages.VIDEO_TOTALS, "streams": pages.STREAM_TOTALS}
+    narrow, wide = _table_pages(spark, d), _wide_pages(spark, d)
+    kinds = {
+        "videos": (narrow, pages.VIDEO_TOTALS),
+        "streams": (narrow, pages.STREAM_TOTALS),
+        "store": (wide, pages.STORE_TOTALS),
+        "subscription": (wide, pages.SUBSCRIPTION_TOTALS),
+    }
     parts = [
         pages.extract_totals(landed, ["page"], page).select(
             F.lit(kind).alias("kind"), "artist", "title", F.col(page.value_col).alias("total")
         )
-        for kind, page in kinds.items()
+        for kind, (landed, page) in kinds.items()
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -175,7 +218,7 @@ def json_positive(spark, d):
 
 
 def sink_scores(spark, d):
-    path = os.path.join(checkpoint_root(spark), f"evergreen-sink-{uuid.uuid4().hex}")
+    path = _scratch(spark, "sink")
     run.write_table(_index(spark, d), path, order="rank")
     return spark.read.parquet(path).select("rank", "title", "artist", "final_score")
 
@@ -189,6 +232,14 @@ def full_export(spark, d):
     return links_plan.full_export(index, links_plan.resolve_links(index, exports(spark, d), SETTINGS))
 
 
+def songs_csv(spark, d):
+    return _csv_round_trip(spark, song_list(spark, d).select("title", "artist"))
+
+
+def export_csv(spark, d):
+    return _csv_round_trip(spark, full_export(spark, d), "rank")
+
+
 def append_dedup(spark, d):
     stored = view(spark, d, "store_src").select("title", "artist", F.col("itunes_total").alias("playcount"))
     new = view(spark, d, "streams_src").select("title", "artist", F.col("spotify_streams").alias("playcount"))
@@ -272,7 +323,8 @@ def audit_counts(spark, d):
     index = _index(spark, d)
     found = links_plan.resolve_links(index, exports(spark, d), SETTINGS)
     rows = pages.page_totals(_table_pages(spark, d), ["page"], pages.VIDEO_TOTALS)
-    return run.audit(index, found, "spotify_streams_is_floor", rows, pages.is_usable(pages.VIDEO_TOTALS))
+    landed = dataclasses.replace(sources(spark, d), chart=view(spark, d, "mixed_src"))
+    return run.audit(index, found, "spotify_streams_is_floor", rows, pages.is_usable(pages.VIDEO_TOTALS), landed)
 
 
 # windows
@@ -299,8 +351,8 @@ def best_per_key(spark, d):
 
 
 def first_per_key(spark, d):
-    keyed = T.with_keys(view(spark, d, "chart_src"), SETTINGS.aliases).select(*KEYS, "ord", "title", "artist")
-    return dedup.first_per_key(keyed, KEYS, ["ord", "title", "artist"])
+    credits = view(spark, d, "chart_src")
+    return dedup.first_credit_per_key(credits, KEYS, "ord", lambda df: T.with_keys(df, SETTINGS.aliases))
 
 
 def authoritative_flag(spark, d):
@@ -316,7 +368,7 @@ def final_rank(spark, d):
 
 
 def top_n(spark, d):
-    kept = ranking.top_n(_index(spark, d), [F.col("rank")], SETTINGS.top_n)
+    kept = _index(spark, d).filter(F.col("rank") <= SETTINGS.top_n)  # ranks are dense
     return kept.select("rank", "title", "artist", "final_score")
 
 
@@ -482,7 +534,14 @@ def quick_run(spark, d):
     return run.run(sources(spark, d), settings=SETTINGS, quick=True)["full_export"]
 
 
+def full_run(spark, d):
+    """Every table of a full run and its size."""
+    tables = run.run(sources(spark, d), exports(spark, d), SETTINGS)
+    return reduce(DataFrame.union, [t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("name"), "n") for k, t in tables.items()])
+
+
 _ALL = [
+    scan_mixed_texts, scan_csv_exports, songs_csv, export_csv, full_run,
     scan_chart, scan_measures, scan_synonyms, scan_union_files, score_missing_source, extract_page_items,
     extract_table_totals, calendar_weeks, pending_weeks, flatten_snapshot, json_defaults, json_positive,
     sink_scores, songs_only, full_export, append_dedup, coerce_numeric, decade_bucket, variant_flag,

@@ -14,6 +14,8 @@ class MeasureDim:
     score_col: str
     weight: float
     start_year: int | None = None
+    #: Its plain titles name the song, and playlist floors apply to it; at most one measure.
+    trusted: bool = False
 
 
 @dataclass(frozen=True)
@@ -26,7 +28,7 @@ class Floor:
 
 # Names, weights, launch years and thresholds that define the default ranking.
 DEFAULT_MEASURES = (
-    MeasureDim("streams", "spotify_streams", "sp_score", 0.25),
+    MeasureDim("streams", "spotify_streams", "sp_score", 0.25, trusted=True),
     MeasureDim("videos", "youtube_views", "yt_score", 0.15),
     MeasureDim("store", "itunes_total", "itunes_score", 0.10, 2010),
     MeasureDim("subscription", "apple_total", "apple_score", 0.10, 2017),
@@ -57,3 +59,7 @@ class Settings:
 
     def measure(self, name: str) -> MeasureDim:
         return next(m for m in self.measures if m.name == name)
+
+    @property
+    def trusted(self) -> MeasureDim | None:
+        return next((m for m in self.measures if m.trusted), None)

@@ -2,8 +2,8 @@
 
 Word characters are spelled ``\\p{L}\\p{N}_`` so that accented letters count and
 combining marks do not; ``d`` makes ``\\n`` the only line end.  Canonical
-decomposition has no SQL function; the ICU library that ships with Spark is
-reached through the built-in ``java_method``, which keeps the chain in the JVM.
+decomposition has no SQL function, but where its marks are dropped anyway it is a
+translation of single characters, which the planner can move filters past.
 
 Regular expressions dominate the cost of a run, so plain ASCII names, which most
 are, skip the chain after one test, and cuts that all run to the end of the line
@@ -12,6 +12,7 @@ share one pattern where their order cannot matter.
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -70,11 +71,51 @@ def _is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.length(c)
 
 
+def _unmarked(ch: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFD", ch) if unicodedata.category(x) != "Mn")
+
+
+HANGUL = (0xAC00, 0xD7A3)
+LEADS, VOWELS, TAILS = ("".join(map(chr, r)) for r in (range(0x1100, 0x1113), range(0x1161, 0x1176), range(0x11A8, 0x11C3)))
+# All other characters that decomposition changes, by what is left of them without marks.
+_CHANGED = {
+    chr(i): _unmarked(chr(i))
+    for i in range(0xC0, 0x30000)
+    if not HANGUL[0] <= i <= HANGUL[1] and unicodedata.decomposition(chr(i)) and _unmarked(chr(i)) != chr(i)
+}
+SINGLE = {ch: left for ch, left in _CHANGED.items() if len(left) == 1}
+SEVERAL = {ch: left for ch, left in _CHANGED.items() if len(left) > 1}
+MARKS = "".join(chr(i) for i in (*range(0x300, 0x30000), *range(0xE0100, 0xE01F0)) if unicodedata.category(chr(i)) == "Mn")
+HAS_SEVERAL = f"[{chr(HANGUL[0])}-{chr(HANGUL[1])}{''.join(SEVERAL)}]"
+
+
+def _jamo(ch: Column) -> Column:
+    """The two or three letters of a Hangul syllable, by the arithmetic of its code point."""
+    place = F.ascii(ch) - HANGUL[0]
+    pick = lambda letters, at: F.substring(F.lit(letters), at.cast("int"), F.lit(1))
+    tail = place % len(TAILS + " ")
+    per_lead = len(VOWELS) * len(TAILS + " ")
+    vowel = F.floor(place % per_lead / len(TAILS + " "))
+    lead = F.floor(place / per_lead)
+    return F.concat(pick(LEADS, lead + 1), pick(VOWELS, vowel + 1), F.when(tail > 0, pick(TAILS, tail)).otherwise(""))
+
+
+def _spelled_out(c: Column) -> Column:
+    """Syllables and letters that decompose into several ones, in texts that hold any."""
+    several = F.create_map(*[F.lit(x) for pair in SEVERAL.items() for x in pair])
+
+    def one(ch: Column) -> Column:
+        is_hangul = F.ascii(ch).between(*HANGUL)
+        return F.when(is_hangul, _jamo(ch)).otherwise(F.coalesce(F.try_element_at(several, ch), ch))
+
+    letters = F.transform(F.regexp_extract_all(c, F.lit("(?s)."), 0), one)
+    return F.when(F.rlike(c, F.lit(HAS_SEVERAL)), F.array_join(letters, "")).otherwise(c)
+
+
 def _drop_marks(c: Column) -> Column:
-    nfd = F.java_method(
-        F.lit("com.ibm.icu.text.Normalizer"), F.lit("decompose"), F.coalesce(c, F.lit("")), F.lit(False)
-    )
-    return F.regexp_replace(nfd, r"\p{Mn}+", "")
+    """Letters become what they decompose to; marks, which have no counterpart, go."""
+    single = {ch: left for ch, left in SINGLE.items() if ch not in MARKS}
+    return F.translate(_spelled_out(c), "".join(single) + MARKS, "".join(single.values()))
 
 
 def strip_accents(c: Column) -> Column:

@@ -7,6 +7,7 @@ a hot key to one row per task before anything is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,19 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 
+def first_credit_per_key(
+    df: DataFrame, keys: list[str], place: str, keyed: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """(keys, place, title, artist) of the first row of every key, by ``place`` and then by name.
+
+    Rows are folded by the spelled credit first, which hashes on the map side and
+    leaves ``keyed``, which derives the keys, one row per spelling.
+    """
+    folded = df.groupBy("title", "artist").agg(F.min(place).alias(place))
+    row = F.min(F.struct(place, "title", "artist")).alias("_row")
+    return keyed(folded).groupBy(*keys).agg(row).select(*keys, "_row.*")
+
+
 def largest_first(value: str) -> list[Column]:
     """Sort key for "largest value first, nulls last" under ascending order."""
     return [F.col(value).isNull().alias("_missing"), (-F.col(value)).alias("_negated")]

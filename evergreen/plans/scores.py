@@ -33,13 +33,16 @@ class Sources:
     chart: DataFrame | None = None
     measures: dict[str, DataFrame] = field(default_factory=dict)
     playlists: dict[str, DataFrame] = field(default_factory=dict)
+    #: The chart's scored songs, if they are there already as a written table.
+    scored_chart: DataFrame | None = None
 
     def dims(self, settings: Settings) -> list[MeasureDim]:
         return [m for m in settings.measures if m.name in self.measures]
 
 
 def _chart_part(sources: Sources, settings: Settings) -> DataFrame:
-    return chart_scored(sources.chart, settings).select(
+    scored = sources.scored_chart if sources.scored_chart is not None else chart_scored(sources.chart, settings)
+    return scored.select(
         F.lit("chart").alias("source"),
         *KEYS,
         "title",
@@ -51,15 +54,14 @@ def _chart_part(sources: Sources, settings: Settings) -> DataFrame:
 
 
 def _measure_part(raw: DataFrame, dim: MeasureDim, settings: Settings) -> DataFrame:
-    trusted = dim is settings.measures[0]
-    best = measure_source(raw, dim, settings, flag_plain=trusted)
+    best = measure_source(raw, dim, settings, flag_plain=dim.trusted)
     return best.select(
         F.lit(dim.name).alias("source"),
         *KEYS,
         "title",
         "artist",
         F.col(dim.value_col).alias("value"),
-        (F.col("authoritative") if trusted else F.lit(False)).alias("authoritative"),
+        (F.col("authoritative") if dim.trusted else F.lit(False)).alias("authoritative"),
         F.lit(None).cast("double").alias("bb_score"),
         *[F.lit(None).cast("int").alias(c) for c in CHART_COLUMNS[1:]],
     )
@@ -112,7 +114,7 @@ def merge_sources(
     grouped = rows.groupBy(*KEYS).agg(*aggs).filter("_is_song")
 
     order = (["_chart"] if sources.chart is not None else []) + [f"_{d.name}" for d in dims]
-    trusted = [F.when(F.col(f"_{d.name}.authoritative"), F.col(f"_{d.name}")) for d in dims[:1]]
+    trusted = [F.when(F.col(f"_{d.name}.authoritative"), F.col(f"_{d.name}")) for d in dims if d.trusted]
     picks = {c: F.coalesce(*[t[c] for t in trusted], *[F.col(f"{o}.{c}") for o in order]) for c in credit}
     chart = (
         [F.col(f"_chart.{c}") for c in CHART_COLUMNS]
@@ -126,9 +128,9 @@ def merge_sources(
         *[F.col(f"_{d.name}.value").alias(d.value_col) for d in dims],
         "_floor",
     )
-    first = settings.measures[0]
-    if dims and dims[0] is first:
-        return with_floor(songs, first.value_col, "_floor", f"{first.value_col}_is_floor")
+    for d in dims:
+        if d.trusted:
+            return with_floor(songs, d.value_col, "_floor", f"{d.value_col}_is_floor")
     return songs.drop("_floor")
 
 

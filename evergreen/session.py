@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +45,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_run: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Keep the intermediate tables written inside the block in one folder, and remove it at the end.
+
+    Results read those tables, so write them inside the block.  Without such a block
+    the tables stay until the checkpoint folder is cleaned.
+    """
+    path = os.path.join(_run.get() or checkpoint_root(spark), f"evergreen-run-{uuid.uuid4().hex}")
+    outer = _run.set(path)
+    try:
+        yield path
+    finally:
+        _run.reset(outer)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the checkpoint folder and read it back.
 
@@ -50,6 +73,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     knows the table's real size when it picks join strategies.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_root(spark), f"evergreen-{name}-{uuid.uuid4().hex}")
+    path = os.path.join(_run.get() or checkpoint_root(spark), f"evergreen-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evergreen.config import Settings
@@ -14,6 +16,12 @@ from evergreen.session import materialize
 KEYS = ["key_title", "key_artist"]
 
 
+def is_unread(raw: DataFrame) -> Column:
+    """Whether a raw row's position, weeks or date cannot be read; such rows make no song."""
+    parts = calendar_date(raw, "date"), whole_number(raw, "peak_pos"), whole_number(raw, "weeks_on_chart")
+    return reduce(lambda a, b: a | b, [p.isNull() for p in parts])
+
+
 def chart_rows(raw: DataFrame) -> DataFrame:
     """Typed chart rows: date, title, artist, peak_pos, weeks_on_chart, ord → plus year.
 

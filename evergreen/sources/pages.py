@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,13 +44,31 @@ STORE_TOTALS = TotalsPage("itunes_total", 5, 4)
 SUBSCRIPTION_TOTALS = TotalsPage("apple_total", 5, 4)
 
 
+def decode_references(c: Column) -> Column:
+    """Named and numeric character references that end in a semicolon; unknown ones stay as they are."""
+    names = F.create_map(*[F.lit(x) for n, i in sorted(name2codepoint.items()) for x in (n, chr(i))], F.lit("apos"), F.lit("'"))
+
+    def one(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^&(\w+);", 1)
+        decimal, hexadecimal = (F.regexp_extract(piece, p, 1) for p in (r"^&#(\d+);", r"^&#[xX]([0-9a-fA-F]+);"))
+        number = F.when(decimal != "", decimal.try_cast("bigint")).otherwise(F.conv(hexadecimal, 16, 10).try_cast("bigint"))
+        is_character = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        safe = F.when(is_character, number).otherwise(0xFFFD)
+        letter = F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+        return (
+            F.when((decimal != "") | (hexadecimal != ""), letter)
+            .when(name != "", F.coalesce(F.try_element_at(names, name), piece))
+            .otherwise(piece)
+        )
+
+    pieces = F.regexp_extract_all(c, F.lit(r"(?s)&#?\w+;|.[^&]*"), 0)
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, one), "")).otherwise(c)
+
+
 def cell_text(html: Column) -> Column:
     """Text of a cell: tags and the space around them removed, entities decoded."""
     bare = strip_space(F.regexp_replace(html, r"(?U)\s*<[^>]*>\s*", ""))
-    decoded = F.java_method(
-        F.lit("org.apache.commons.text.StringEscapeUtils"), F.lit("unescapeHtml4"), F.coalesce(bare, F.lit(""))
-    )
-    return strip_space(decoded)
+    return strip_space(decode_references(F.coalesce(bare, F.lit(""))))
 
 
 def page_rows(pages: DataFrame, keep: list[str], layout: Layout, min_cells: int) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from checks.adapters import SETTINGS, exports, view
 from checks.queries import queries
+from evergreen.functions.text import with_keys
 from evergreen.operators import ranking
 from evergreen.plans import links as links_plan
+from evergreen.plans import reports
 from evergreen.sources.chart import chart_aggregate, chart_rows
 
 SF = "/root/testdata/sf0.001"
@@ -42,6 +44,24 @@ def test_chart_scan_is_pruned_and_folded_before_the_shuffle(spark):
     assert "HashAggregate" in text.split("Exchange hashpartitioning(title")[1]
 
 
+def test_first_credit_is_folded_by_hashes_before_the_first_shuffle(spark):
+    text = plan(queries()["first_per_key"](spark, SF))
+    below = text.split("Exchange hashpartitioning(title")[1].split("Exchange")[0]
+    assert "HashAggregate" in below and "SortAggregate" not in below
+
+
+def test_filters_above_keys_reach_the_scan(spark):
+    part = spark.read.parquet(f"{SF}/part.parquet").withColumnsRenamed({"p_name": "title", "p_brand": "artist"})
+    text = plan(with_keys(part, SETTINGS.aliases).filter("p_size = 3").select("key_title", "key_artist"))
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(p_size,3\)", text)
+
+
+def test_the_overall_report_takes_its_songs_by_rank(spark):
+    scores = spark.createDataFrame([(1, "t", "a", 2000, 9.0)], "rank long, title string, artist string, year int, final_score double")
+    text = plan(reports.overall_report(scores, None, SETTINGS))
+    assert "TakeOrdered" not in text and "GlobalLimit" not in text
+
+
 def test_top_n_never_sorts_everything(spark):
     df = spark.range(100).select("id", (F.col("id") % 7).alias("v"))
     assert "TakeOrderedAndProject" in plan(ranking.top_n(df, [F.col("v").desc(), F.col("id")], 5))

@@ -128,7 +128,7 @@ def test_run_modes(spark, small, tmp_path):
 
 def test_settings_are_parameters(spark, small):
     settings = Settings(
-        measures=(MeasureDim("streams", "spotify_streams", "sp_score", 1.0),), chart_weight=0.0, floors=(Floor("playlist_lo", 5),)
+        measures=(MeasureDim("streams", "spotify_streams", "sp_score", 1.0, trusted=True),), chart_weight=0.0, floors=(Floor("playlist_lo", 5),)
     )
     rows = {r.key_title: r for r in ranked_songs(small, settings).collect()}
     assert rows["known from list"].spotify_streams == 5
@@ -244,3 +244,54 @@ def test_pages_with_comments_and_without_end_tags(spark):
     df = spark.createDataFrame([(1, html)], "i int, html string")
     got = pages.page_rows(df, ["i"], pages.TABLE, 2).orderBy("pos").collect()
     assert [list(r.cells) for r in got] == [["a", "1"], ["b", "2"]]
+
+
+def test_a_run_leaves_no_folder(spark, small, tmp_path):
+    import os
+
+    from evergreen.session import checkpoint_root, run_folder
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    with run_folder(spark) as folder:
+        run.write_table(run.run(small)["full_export"], str(tmp_path / "out"), order="rank")
+        assert os.path.isdir(folder.removeprefix("file:"))
+    assert set(os.listdir(root)) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_the_trusted_measure_may_stand_anywhere(spark, small):
+    measures = (
+        MeasureDim("videos", "youtube_views", "yt_score", 0.5),
+        MeasureDim("streams", "spotify_streams", "sp_score", 0.5, trusted=True),
+    )
+    got = {r.key_title: r for r in ranked_songs(small, Settings(measures=measures)).collect()}
+    assert got["save your tears"].title == "Save Your Tears"
+    assert got["known from list"].spotify_streams == 500_000_000 and got["known from list"].spotify_streams_is_floor
+    none = tuple(MeasureDim(m.name, m.value_col, m.score_col, m.weight) for m in measures)
+    plain = {r.key_title: r for r in ranked_songs(small, Settings(measures=none)).collect()}
+    assert plain["known from list"].spotify_streams is None
+
+
+def test_dropped_rows_are_counted_by_reason(spark, small):
+    nameless = spark.createDataFrame([(None, "x", 1, 1)], small.measures["streams"].schema)
+    sources = Sources(small.chart, {"streams": small.measures["streams"].union(nameless)}, small.playlists)
+    scores = spark.createDataFrame([(1, False)], "rank int, floor boolean")
+    links = spark.createDataFrame([("u",), (None,)], "spotify_url string")
+    row = run.audit(scores, links, "floor", sources=sources).first()
+    assert (row.songs, row.links_found, row.chart_rows_unread, row.rows_without_name) == (1, 1, 2, 1)
+
+
+def test_csv_sink_keeps_every_text_that_is_not_empty(spark, tmp_path):
+    rows = [(1, ' a, "b" '), (2, "line\nbreak"), (3, "back\\slash"), (4, None)]
+    path = str(tmp_path / "csv")
+    run.write_table(spark.createDataFrame(rows, "id int, t string"), path, "csv", "id")
+    back = spark.read.schema("id int, t string").options(header=True, escape='"', multiLine=True).csv(path)
+    assert sorted((r.id, r.t) for r in back.collect()) == rows
+
+
+def test_character_references(spark):
+    cases = {"a &amp; b": "a & b", "&#39;&#x1F600;": "'\U0001f600", "&no; & &": "&no; & &", "&#1114112;&#xD800;": "��",
+             "&eacute;\n&apos;&copy": "é\n'&copy", "plain": "plain"}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.got for r in df.select("t", pages.decode_references(F.col("t")).alias("got")).collect()} == cases

@@ -89,6 +89,13 @@ def test_accents_follow_canonical_decomposition(spark):
     assert apply(spark, texts + [None], T.strip_accents) == want + [None]
 
 
+def test_every_character_of_a_text_decomposes_by_itself(spark):
+    odd = [chr(c) for c in (0x9CB, 0xC48, 0xDDD, 0x1B40, 0x1D160, 0x2F800, 0xAC00, 0xAC01, 0xD7A3, 0x344, 0x1E9B)]
+    texts = [f"a{c}\n{d}" for c in odd for d in odd]
+    want = ["".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn") for t in texts]
+    assert apply(spark, texts, T.strip_accents) == want
+
+
 def test_artist_keys_over_many_small_credits(spark):
     """Properties of the key, among them that the shortcut for plain names agrees with the full chain."""
     import itertools
