@@ -55,7 +55,7 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
     Results read those tables, so write them inside the block.  Without such a block
     the tables stay until the checkpoint folder is cleaned.
     """
-    path = os.path.join(_run.get() or checkpoint_root(spark), f"evergreen-run-{uuid.uuid4().hex}")
+    path = os.path.join(checkpoint_root(spark), f"evergreen-run-{uuid.uuid4().hex}")
     outer = _run.set(path)
     try:
         yield path
@@ -65,14 +65,15 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` under the checkpoint folder and read it back; ``keep`` writes it outside any run folder.
 
     Downstream plans start from the files, so losing an executor never replays
     the history, later stages read only the columns they need, and the planner
     knows the table's real size when it picks join strategies.
     """
     spark = df.sparkSession
-    path = os.path.join(_run.get() or checkpoint_root(spark), f"evergreen-{name}-{uuid.uuid4().hex}")
+    root = checkpoint_root(spark) if keep or not _run.get() else _run.get()
+    path = os.path.join(root, f"evergreen-{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -249,14 +249,15 @@ def test_pages_with_comments_and_without_end_tags(spark):
 def test_a_run_leaves_no_folder(spark, small, tmp_path):
     import os
 
-    from evergreen.session import checkpoint_root, run_folder
+    from evergreen.session import checkpoint_root, materialize, run_folder
 
     root = checkpoint_root(spark).removeprefix("file:")
     before = set(os.listdir(root))
     with run_folder(spark) as folder:
         run.write_table(run.run(small)["full_export"], str(tmp_path / "out"), order="rank")
         assert os.path.isdir(folder.removeprefix("file:"))
-    assert set(os.listdir(root)) == before
+        kept = materialize(spark.range(3), "kept", keep=True)
+    assert [n.split("-")[1] for n in set(os.listdir(root)) - before] == ["kept"] and kept.count() == 3
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
 
 
