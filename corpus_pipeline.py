@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from evergreen.llm import bpe, decontaminate, quality, simhash, toxicity
 from evergreen.llm.common import read
-from evergreen.session import materialize
+from evergreen.session import materialize, run_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with run_folder(spark):  # what the stage wrote on its way goes, its result stays
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
     return docs
