@@ -23,6 +23,21 @@ ARROW = {
     "array<binary>": pa.list_(pa.binary()),
 }
 
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "8m"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """Limit a batch's bytes, unless the session has a limit of its own.
+
+    A batch is held several times at once, before and after Python and as Python
+    objects, and by rows alone 10,000 long texts would make one.
+    """
+    conf = df.sparkSession.conf
+    if BATCH_LIMIT not in conf.getAll:
+        conf.set(BATCH_LIMIT, BATCH_BYTES)
+    return df
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -52,7 +67,7 @@ def map_rows(
                     [pa.array(v, f.type) for v, f in zip(columns, schema, strict=True)], schema=schema
                 )
 
-    return df.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in fields))
+    return bounded_batches(df).mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in fields))
 
 
 def bounded_sample(rows: DataFrame, label: str, bound: int, key: str = "doc_id") -> DataFrame:
@@ -84,4 +99,4 @@ def keep_rows(df: DataFrame, column: str, make: Callable[[], Callable[[list], li
             if batch.num_rows:
                 yield batch.filter(pa.array(work(batch.column(column).to_pylist()), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return bounded_batches(df).mapInArrow(run, df.schema)
