@@ -247,3 +247,21 @@ def test_sql_agrees_on_the_smallest_tables(spark, name):
     cur = con.execute(oracle_sql()[name])
     names = [c[0] for c in cur.description]
     assert sorted(map(tuple, got.select(*names).collect()), key=repr) == sorted(map(tuple, cur.fetchall()), key=repr)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    from evergreen.llm.common import BATCH_LIMIT, map_rows
+
+    before = spark.conf.getAll.get(BATCH_LIMIT)
+    spark.conf.unset(BATCH_LIMIT)
+    try:
+        docs = spark.range(0, 400, 1, 1).selectExpr("repeat('word ', 20000) text")
+        sizes = map_rows(docs, lambda: lambda texts: [[sum(map(len, texts))]], [("n", "long")])
+        got = [r["n"] for r in sizes.collect()]
+        assert sum(got) == 400 * 100_000 and max(got) < 10 << 20
+        spark.conf.set(BATCH_LIMIT, "1m")  # a session's own limit stays
+        assert max(r["n"] for r in map_rows(docs, lambda: lambda texts: [[sum(map(len, texts))]], [("n", "long")]).collect()) < 2 << 20
+    finally:
+        spark.conf.unset(BATCH_LIMIT)
+        if before:
+            spark.conf.set(BATCH_LIMIT, before)
