@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evergreen.llm.common import in_fold, map_rows, read
+from evergreen.llm.common import gather_rows, in_fold, map_rows, read
 from evergreen.session import materialize
 
 END = b""
@@ -36,6 +36,7 @@ COMMON = 65_536  # words that every task knows
 UNITS = 1024  # words clustered on their own
 SUFFIXES = 1023  # suffix units; one more for all other suffixes
 CLASSES = 64
+HELD = 100_000  # distinct words that a task counts before it hands them on
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -49,18 +50,25 @@ def count_words(docs: DataFrame) -> DataFrame:
     """(token, n_all, n_train) over (text, train) rows; each task adds up before the shuffle."""
 
     def make():
-        def work(texts, train):
-            everything, learned = Counter(), Counter()
+        others, learned = Counter(), Counter()
+
+        def add(texts, train):
             for t, y in zip(texts, train):
-                (learned if y else everything).update(tokens(t))
-            keys = list(everything.keys() | learned.keys())
-            return [keys, [everything[k] + learned[k] for k in keys], [learned[k] for k in keys]]
+                (learned if y else others).update(tokens(t))
+            return len(others) + len(learned) > HELD
 
-        return work
+        def take():
+            keys = list(others.keys() | learned.keys())
+            out = [keys, [others[k] + learned[k] for k in keys], [learned[k] for k in keys]]
+            others.clear()
+            learned.clear()
+            return out
+
+        return add, take
 
     fields = [("token", "binary"), ("n_all", "long"), ("n_train", "long")]
     return (
-        map_rows(docs.select("text", "train"), make, fields)
+        gather_rows(docs.select("text", "train"), make, fields)
         .groupBy("token")
         .agg(F.sum("n_all").alias("n_all"), F.sum("n_train").alias("n_train"))
     )
@@ -178,20 +186,25 @@ def fit(docs: DataFrame, vocabulary: DataFrame, common: dict[bytes, int]) -> Bro
     end = unit_of.get(END, other)
 
     def make():
-        def work(texts):
+        found = np.zeros(units * units, dtype=np.int64)
+
+        def add(texts):
             cells = []
             for t in texts:
                 words = tokens(t)
                 u = [end, *(unit_of[w] if w in unit_of else suffix_of.get(w[-3:], other) for w in words)]
                 u = np.array(u, dtype=np.int64)
                 cells.append(u[:-1] * units + u[1:])
-            found = np.bincount(np.concatenate(cells), minlength=units * units)
+            found[:] += np.bincount(np.concatenate(cells), minlength=units * units)
+            return False
+
+        def take():
             at = np.flatnonzero(found)
-            return [at.tolist(), found[at].tolist()]
+            return [at, found[at]]
 
-        return work
+        return add, take
 
-    cells = map_rows(docs.filter("train").select("text"), make, [("cell", "long"), ("n", "long")])
+    cells = gather_rows(docs.filter("train").select("text"), make, [("cell", "long"), ("n", "long")])
     pairs = np.zeros(units * units)
     # At most units * units rows, a fixed number.
     for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow().to_batches():

@@ -70,6 +70,33 @@ def map_rows(
     return bounded_batches(df).mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in fields))
 
 
+def gather_rows(
+    df: DataFrame, make: Callable[[], tuple[Callable[..., bool], Callable[[], list]]], fields: list[tuple[str, str]]
+) -> DataFrame:
+    """``map_rows`` for functions that add up a task's batches.
+
+    ``make()`` is called once per task and returns ``add``, which takes a batch's columns
+    and says whether enough is held to hand it on, and ``take``, which returns the output
+    columns of what is held and starts anew.
+    """
+    schema = pa.schema([(n, ARROW[t]) for n, t in fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        add, take = make()
+
+        def held() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, f.type) for v, f in zip(take(), schema, strict=True)], schema=schema
+            )
+
+        for batch in batches:
+            if batch.num_rows and add(*(c.to_pylist() for c in batch.columns)):
+                yield held()
+        yield held()
+
+    return bounded_batches(df).mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in fields))
+
+
 def bounded_sample(rows: DataFrame, label: str, bound: int, key: str = "doc_id") -> DataFrame:
     """About ``bound`` rows per value of ``label``, picked by the hash of ``key``; all of them, if fewer.
 
