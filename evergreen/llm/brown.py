@@ -6,12 +6,16 @@ a sweep moves nothing.  A text's probability is the product, over its tokens, of
 class-transition probability (smoothed by the class's own frequency) and the word's
 emission probability in its class.
 
-The most frequent words are clustered on their own.  All others are clustered by their
-last three bytes, so that rare and unknown words have a class too; inside such a unit a
-word's probability is its add-one share.  Counts cover the whole training corpus: the
-vocabulary is counted, and looked up for scoring, in shuffles keyed by the word.  Only
-words below a fixed rank take part in those shuffles (each is then a small share of all
-tokens); the more frequent ones, whose number is bounded, are sent to every task.
+The most frequent words seed the classes: they are clustered one by one, all others at first
+by their last three bytes.  Then every other word of the training corpus chooses its own
+class: the classes before and after its occurrences are counted in shuffles, and it moves
+to where the likelihood gains most, the classes held fixed meanwhile; class totals are
+summed anew after it.  Only words unseen in training have the class of their last three
+bytes.  Inside a class a word's probability is its add-one share, with one share for the
+unseen.  Counts cover the whole training corpus: the vocabulary is counted, and looked up
+for scoring, in shuffles keyed by the word.  Only words below a fixed rank are looked up so
+(each is then a small share of all tokens); counts and classes of the more frequent ones,
+whose number is bounded, are sent to every task.
 
 Null and empty texts consist of the end token alone.  Without training rows the counts
 are zero: N and V are 0 and every token has probability 1 / 1.  Repeated rows count and
@@ -33,10 +37,12 @@ from evergreen.session import materialize
 
 END = b""
 COMMON = 65_536  # words that every task knows
-UNITS = 1024  # words clustered on their own
+UNITS = 1024  # words whose classes are exchanged one by one, as seeds for the others
 SUFFIXES = 1023  # suffix units; one more for all other suffixes
 CLASSES = 64
 HELD = 100_000  # distinct words that a task counts before it hands them on
+CELLS = 2 * CLASSES + 1  # a word's counts: classes before it, classes after it, itself after itself
+RARE = 128  # marks the class byte of a word that is looked up in the shuffle
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -142,60 +148,117 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = 12) -> np.
     return owner
 
 
+def best_classes(cells: list[np.ndarray], counts: list[np.ndarray], before: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Class of every word by the gain of ``exchange``, from its counts and its class so far, given the class bigrams.
+
+    Only terms with a count of the word change, so the work goes with the counted cells.
+    Words move at once, so an empty class, which would take words of every kind, takes none.
+    """
+    classes = len(rows)
+    words = len(cells)
+    f = lambda v: np.where(v > 0, v * np.log(np.maximum(v, 1e-300)), 0.0)
+    at = np.repeat(np.arange(words), [len(c) for c in cells])
+    cell, n = np.concatenate(cells), np.concatenate(counts).astype(float)
+    dense = np.zeros((words, 2 * classes + 1))
+    dense[at, cell] = n
+    in_from, out_to, own = dense[:, :classes], dense[:, classes : 2 * classes], dense[:, -1]
+    each, a = np.arange(words), before
+    gain = np.zeros((words, classes))
+    for table, first, other in ((rows, classes, in_from), (rows.T, 0, out_to)):
+        some = np.flatnonzero((cell >= first) & (cell < first + classes))
+        if not len(some):
+            continue
+        w, h, k = at[some], cell[some] - first, n[some]
+        # Bigrams of every class with class h, the word taken out of its own class.
+        left = table[:, h].T.copy()
+        left[np.arange(len(some)), a[w]] -= k
+        same = h == a[w]
+        left[same] -= other[w[same]]
+        part = f(left + k[:, None]) - f(left)
+        part[np.arange(len(some)), h] = 0.0  # the diagonal follows
+        starts = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+        gain[w[starts]] += np.add.reduceat(part, starts)
+    diagonal = np.tile(np.diag(rows), (words, 1))
+    diagonal[each, a] -= out_to[each, a] + in_from[each, a] + own
+    gain += f(diagonal + out_to + in_from + own[:, None]) - f(diagonal)
+    for totals, size in ((rows.sum(1), out_to.sum(1) + own), (rows.sum(0), in_from.sum(1) + own)):
+        without = np.tile(totals, (words, 1))
+        without[each, a] -= size
+        gain -= f(without + size[:, None]) - f(without)
+    gain[:, rows.sum(0) + rows.sum(1) == 0] = -np.inf
+    best = gain.argmax(1)
+    return np.where(gain[each, best] <= gain[each, a] + 1e-9, a, best)
+
+
 @dataclass
-class BrownModel:
-    total: int  # N
-    distinct: int  # V
-    common: dict[bytes, int]  # training counts
-    unit_of: dict[bytes, int]  # words clustered on their own
+class Seeds:
+    """Classes of the most frequent words and of the suffix units."""
+
+    unit_of: dict[bytes, int]  # the most frequent words
     suffix_of: dict[bytes, int]
     other: int
     owner: np.ndarray  # class by unit
-    transition: np.ndarray  # log10 p(class | class before)
-    emission: np.ndarray  # log10 p(unit | class of the unit)
-    inside: np.ndarray  # log10 of what a suffix unit's shares are divided by; 0 for words
 
     def unit(self, token: bytes) -> int:
         u = self.unit_of.get(token)
         return u if u is not None else self.suffix_of.get(token[-3:], self.other)
 
 
-def fit(docs: DataFrame, vocabulary: DataFrame, common: dict[bytes, int]) -> BrownModel:
-    """Classes and probabilities from (text, train) rows and their written vocabulary."""
-    known = vocabulary.filter("n_train > 0")
-    size = known.agg(F.sum("n_train"), F.count(F.lit(1))).first()
-    total, distinct = size[0] or 0, size[1]
+@dataclass
+class BrownModel(Seeds):
+    total: int  # N
+    distinct: int  # V
+    transition: np.ndarray  # log10 p(class | class before)
+    divisors: np.ndarray  # log10 of what the shares in a class are divided by
+    emission: np.ndarray  # by unit: log10 of a seed's count plus one; 0 where the word's own count is to be added
+    inside: np.ndarray  # divisors by unit
+
+
+class Numbers(dict):
+    """Words numbered as they come, and their units."""
+
+    def __init__(self, seeds: Seeds):
+        self.seeds, self.units = seeds, []
+
+    def __missing__(self, token: bytes) -> int:
+        self[token] = number = len(self)
+        self.units.append(self.seeds.unit(token))
+        return number
+
+    def of(self, texts: list) -> np.ndarray:
+        """Numbers of the words of texts in a row, from the end token before the first."""
+        found = [self[END]]
+        for t in texts:
+            found.extend(map(self.__getitem__, tokens(t)))
+        return np.array(found, dtype=np.int64)
+
+
+def seed_classes(docs: DataFrame, known: DataFrame, common: dict[bytes, int]) -> tuple[Seeds, np.ndarray]:
+    """Seeds from (text, train) rows and the training vocabulary, and the class bigrams."""
     ranked = sorted((w for w in common if common[w]), key=lambda w: (-common[w], w))[:UNITS]
     if END in common and common[END] and END not in ranked:
         ranked[-1] = END
     unit_of = {w: i for i, w in enumerate(ranked)}
     rest = known.filter(~F.col("token").isin([bytearray(w) for w in ranked])) if ranked else known
     ends = F.expr("substring(token, greatest(length(token) - 2, 1), 3)")
-    by_end = rest.groupBy(ends.alias("e")).agg(F.sum("n_train").alias("n"), F.count(F.lit(1)).alias("v"))
-    by_end = materialize(by_end, "brown-suffixes")
+    by_end = rest.groupBy(ends.alias("e")).agg(F.sum("n_train").alias("n"))
     top = by_end.orderBy(F.desc("n"), "e").limit(SUFFIXES).collect()
     suffix_of = {bytes(r["e"]): len(ranked) + i for i, r in enumerate(top)}
     other = len(ranked) + len(suffix_of)
-    rest_size = by_end.agg(F.sum("n"), F.sum("v")).first()
-    inside_n, inside_v = np.zeros(other + 1), np.zeros(other + 1)
-    for r in top:
-        inside_n[suffix_of[bytes(r["e"])]], inside_v[suffix_of[bytes(r["e"])]] = r["n"], r["v"]
-    inside_n[other] = (rest_size[0] or 0) - inside_n.sum()
-    inside_v[other] = (rest_size[1] or 0) - inside_v.sum()
     units = other + 1
-    end = unit_of.get(END, other)
+    seeds = Seeds(unit_of, suffix_of, other, np.zeros(units, dtype=int))
 
     def make():
+        numbers = Numbers(seeds)
         found = np.zeros(units * units, dtype=np.int64)
 
         def add(texts):
-            cells = []
-            for t in texts:
-                words = tokens(t)
-                u = [end, *(unit_of[w] if w in unit_of else suffix_of.get(w[-3:], other) for w in words)]
-                u = np.array(u, dtype=np.int64)
-                cells.append(u[:-1] * units + u[1:])
-            found[:] += np.bincount(np.concatenate(cells), minlength=units * units)
+            u = numbers.of(texts)
+            u = np.array(numbers.units, dtype=np.int64)[u]
+            found[:] += np.bincount(u[:-1] * units + u[1:], minlength=units * units)
+            if len(numbers) > HELD:
+                numbers.clear()
+                numbers.units.clear()
             return False
 
         def take():
@@ -210,85 +273,228 @@ def fit(docs: DataFrame, vocabulary: DataFrame, common: dict[bytes, int]) -> Bro
     for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow().to_batches():
         pairs[r.column("cell").to_numpy()] = r.column("n").to_numpy()
     pairs = pairs.reshape(units, units)
-    owner = exchange(pairs)
-    hot = np.eye(CLASSES)[owner]
-    moves = hot.T @ pairs @ hot
-    arrivals, members = moves.sum(0), hot.sum(0)
-    own = (arrivals + 1) / (arrivals.sum() + CLASSES)
-    weight = 10.0
-    transition = np.log10((moves + weight * own) / (moves.sum(1, keepdims=True) + weight))
-    emission = np.log10((pairs.sum(0) + 1) / (arrivals + members)[owner])
-    inside = np.zeros(units)
-    inside[len(ranked) :] = np.log10(inside_n + inside_v + 1)[len(ranked) :]
-    return BrownModel(total, distinct, common, unit_of, suffix_of, other, owner, transition, emission, inside)
+    seeds.owner = exchange(pairs)
+    hot = np.eye(CLASSES)[seeds.owner]
+    return seeds, hot.T @ pairs @ hot
+
+
+def word_classes(docs: DataFrame, seeds: Seeds, rows: np.ndarray, common: dict[bytes, int]) -> DataFrame:
+    """(token, class, n_train, common) of all training words but the seeds, each by its own contexts."""
+    spark = docs.sparkSession
+    sent, shared = spark.sparkContext.broadcast(seeds), spark.sparkContext.broadcast(frozenset(common))
+    first = len(seeds.unit_of)
+
+    def count():
+        numbers = Numbers(sent.value)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def add(texts):
+            w = numbers.of(texts)
+            u = np.array(numbers.units, dtype=np.int64)
+            k, free = sent.value.owner[u][w], (u >= first)[w]
+            a, b, same = w[:-1], w[1:], w[:-1] == w[1:]
+            after, ahead = free[:-1] & ~same, free[1:] & ~same
+            keys = [a[after] * CELLS + CLASSES + k[1:][after], b[ahead] * CELLS + k[:-1][ahead]]
+            keys.append(a[free[:-1] & same] * CELLS + CELLS - 1)
+            held.append(np.unique(np.concatenate(keys), return_counts=True))
+            return len(numbers) > HELD or sum(len(x) for x, _ in held) > 4 * HELD
+
+        def take():
+            if not held:
+                return [[], [], []]
+            keys, where = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            n = np.bincount(where, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+            names = list(numbers)
+            out = [[names[i] for i in (keys // CELLS).tolist()], (keys % CELLS).astype(np.int32), n]
+            held.clear()
+            numbers.clear()
+            numbers.units.clear()
+            return out
+
+        return add, take
+
+    def choose():
+        s, often = sent.value, shared.value
+
+        def work(words, cells, counts):
+            best, sizes = [], []
+            for i in range(0, len(words), 512):
+                c = [np.array(x, dtype=np.int64) for x in cells[i : i + 512]]
+                n = [np.array(x, dtype=np.int64) for x in counts[i : i + 512]]
+                before = s.owner[[s.unit(w) for w in words[i : i + 512]]]
+                best.extend(best_classes(c, n, before, rows))
+                sizes.extend(int(y[x >= CLASSES].sum()) for x, y in zip(c, n))  # a word has a next one each time
+            return [words, best, sizes, [w in often for w in words]]
+
+        return work
 
+    found = gather_rows(docs.filter("train").select("text"), count, [("token", "binary"), ("cell", "int"), ("n", "long")])
+    found = found.groupBy("token", "cell").agg(F.sum("n").alias("n"))
+    # At most CELLS rows a word.
+    found = found.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("c"))
+    found = found.select("token", F.col("c.cell").alias("cells"), F.col("c.n").alias("counts"))
+    fields = [("token", "binary"), ("class", "int"), ("n_train", "long"), ("common", "boolean")]
+    return materialize(map_rows(found, choose, fields), "brown-classes")
 
-def score(docs: DataFrame, vocabulary: DataFrame, model: BrownModel) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for (doc_id, text, held_out) rows.
 
-    A first pass scores all that the common words and classes tell and leaves the rare
-    words with their numbers of occurrences; those meet their counts in one shuffle.
+def coded(docs: DataFrame, seeds: Seeds, classes: DataFrame, common: dict[bytes, int]) -> DataFrame:
+    """(doc_id, held_out, train, n_tokens, n_known, shares, classes): the class bytes of every row's words.
+
+    A first pass writes what the common words tell and leaves the rare ones, with a mark
+    and the class that they have if unseen; those meet their classes and counts in one
+    shuffle.  ``shares`` sums log10 of the words' counts plus one.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    class_of = {bytes(r["token"]): r["class"] for r in classes.filter("common").select("token", "class").collect()}
+    sent = docs.sparkSession.sparkContext.broadcast((seeds, common, class_of))
 
     def make():
-        m = sent.value
-        end = m.unit_of.get(END, m.other)
-        divisor = math.log10(m.total + m.distinct + 1)
-        word_units = len(m.unit_of)
+        seeds, common, class_of = sent.value
+        owner = seeds.owner.tolist()
+
+        class Known(dict):
+            """(class byte, count) by word, as far as it was met."""
+
+            def __missing__(self, w):
+                c = common.get(w)
+                k = class_of.get(w) if w not in seeds.unit_of else None
+                k = owner[seeds.unit(w)] if k is None else k
+                self[w] = value = (k, c) if c is not None else (k | RARE, 0)
+                return value
+
+        known = Known()
 
         def one(text):
             words = tokens(text)
-            units = [m.unit(w) for w in words]
-            u = np.array([end, *units])
-            k = m.owner[u]
-            value = float(m.transition[k[:-1], k[1:]].sum() + (m.emission - m.inside)[u[1:]].sum())
-            base, known, rare = -divisor * len(words), 0, Counter()
-            for w, x in zip(words, units):
-                c = m.common.get(w)
-                if c is None:
-                    rare[w] += 1
-                elif c:
-                    known += 1
-                    part = math.log10(c + 1)
-                    base += part
-                    if x >= word_units:
-                        value += part
-            return len(words), known, base, value, list(rare), list(rare.values())
-
-        def work(ids, texts, held):
+            found = list(map(known.__getitem__, words))
+            k = bytes([x for x, _ in found])
+            n = np.array([c for _, c in found])
+            at: dict[bytes, int] = {}
+            places = [at.setdefault(w, len(at)) for w, x in zip(words, k) if x & RARE]
+            if len(known) > HELD:
+                known.clear()
+            return len(words), int((n > 0).sum()), float(np.log10(n + 1).sum()), k, list(at), places
+
+        def work(ids, texts, held, train):
             rows = [one(t) for t in texts]
-            return [ids, held, *([r[i] for r in rows] for i in range(4)), [r[4] for r in rows], [r[5] for r in rows]]
+            return [ids, held, train, *([r[i] for r in rows] for i in range(6))]
 
         return work
 
-    fields = [
-        ("doc_id", "long"), ("held_out", "boolean"), ("n_tokens", "long"), ("known", "long"),
-        ("base", "double"), ("value", "double"), ("rare", "array<binary>"), ("times", "array<int>"),
-    ]
-    rows = map_rows(docs.select(F.col("doc_id").cast("long"), "text", "held_out"), make, fields)
+    kept = [("doc_id", "long"), ("held_out", "boolean"), ("train", "boolean")]
+    sums = [("n_tokens", "long"), ("n_known", "long"), ("shares", "double"), ("classes", "binary")]
+    fields = [*kept, *sums, ("rare", "array<binary>"), ("places", "array<int>")]
+    rows = map_rows(docs.select(F.col("doc_id").cast("long"), "text", "held_out", "train"), make, fields)
     # The row number is fixed by writing it: a task that is run again later reads the same one.
     first = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "brown-rows")
-    rare = first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select(
-        "row", F.col("w.rare").alias("token"), F.col("w.times").alias("times")
-    )
-    counts = vocabulary.filter("n_train > 0").select("token", F.log10(F.col("n_train") + 1).alias("part"))
+    rare = first.select("row", F.posexplode("rare").alias("i", "token"))
     later = (
-        rare.join(counts, "token")
+        rare.join(classes.select("token", "class", "n_train"), "token")
         .groupBy("row")
-        .agg(F.sum(F.col("times") * F.col("part")).alias("more"), F.sum("times").alias("more_known"))
-    )
-    more = F.coalesce("more", F.lit(0.0))
-    return first.drop("rare", "times").join(later, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"),
-        (F.col("value") + more).alias("score"),
+        .agg(F.collect_list(F.struct("i", "class", "n_train")).alias("f"))
+        .select("row", F.col("f.i").alias("i"), F.col("f.class").alias("k"), F.col("f.n_train").alias("n"))
     )
 
+    def fill():
+        def one(size, met, shares, k, places, i, found, n):
+            k = np.frombuffer(k, dtype=np.uint8).copy()
+            if places:
+                marked = np.flatnonzero(k & RARE)
+                k &= RARE - 1
+                if i:
+                    counts, own = np.zeros(max(places) + 1, dtype=np.int64), np.full(max(places) + 1, RARE, dtype=np.uint8)
+                    counts[i], own[i] = n, found
+                    counts, own = counts[places], own[places]
+                    k[marked] = np.where(own < RARE, own, k[marked])
+                    met += int((counts > 0).sum())
+                    shares += float(np.log10(counts + 1).sum())
+            return size, met, shares, k.tobytes()
+
+        def work(ids, held, train, *columns):
+            rows = [one(*r) for r in zip(*columns)]
+            return [ids, held, train, *([r[i] for r in rows] for i in range(4))]
+
+        return work
+
+    joined = first.drop("rare").join(later, "row", "left").drop("row")
+    return materialize(map_rows(joined, fill, [*kept, *sums]), "brown-coded")
+
+
+def learn(rows: DataFrame, seeds: Seeds, known: DataFrame, classes: DataFrame, common: dict[bytes, int]) -> BrownModel:
+    """Probabilities from coded rows."""
+    size = known.agg(F.sum("n_train"), F.count(F.lit(1))).first()
+    end = int(seeds.owner[seeds.unit(END)])
+
+    def make():
+        found = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+
+        def add(texts):
+            k = np.frombuffer(bytes([end]) + b"".join(texts), dtype=np.uint8).astype(np.int64)
+            found[:] += np.bincount(k[:-1] * CLASSES + k[1:], minlength=CLASSES * CLASSES)
+            return False
+
+        return add, lambda: [np.arange(CLASSES * CLASSES), found]
+
+    moves = np.zeros(CLASSES * CLASSES)
+    cells = gather_rows(rows.filter("train").select("classes"), make, [("cell", "long"), ("n", "long")])
+    for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        moves[r["cell"]] = r["n"]
+    moves = moves.reshape(CLASSES, CLASSES)
+    members = np.bincount(seeds.owner[: len(seeds.unit_of)], minlength=CLASSES).astype(float)
+    for r in classes.groupBy("class").count().collect():
+        members[r["class"]] += r["count"]
+    arrivals = moves.sum(0)
+    own = (arrivals + 1) / (arrivals.sum() + CLASSES)
+    weight = 10.0
+    transition = np.log10((moves + weight * own) / (moves.sum(1, keepdims=True) + weight))
+    divisors = np.log10(arrivals + members + 1)
+    emission = np.zeros(len(seeds.owner))
+    emission[: len(seeds.unit_of)] = [math.log10(common[w] + 1) for w in seeds.unit_of]
+    return BrownModel(
+        **vars(seeds), total=size[0] or 0, distinct=size[1], transition=transition, divisors=divisors,
+        emission=emission, inside=divisors[seeds.owner],
+    )
+
+
+def fit_rows(docs: DataFrame, vocabulary: DataFrame, common: dict[bytes, int]) -> tuple[BrownModel, DataFrame]:
+    """Classes and probabilities from (doc_id, text, held_out, train) rows and their written vocabulary; the coded rows."""
+    known = vocabulary.filter("n_train > 0")
+    seeds, bigrams = seed_classes(docs, known, common)
+    classes = word_classes(docs, seeds, bigrams, common)
+    rows = coded(docs, seeds, classes, common)
+    return learn(rows, seeds, known, classes, common), rows
+
+
+def fit(docs: DataFrame, vocabulary: DataFrame, common: dict[bytes, int]) -> BrownModel:
+    """Classes and probabilities from (text, train) rows and their written vocabulary."""
+    docs = docs.select(F.lit(None).alias("doc_id"), "text", (~F.col("train")).alias("held_out"), "train")
+    return fit_rows(docs, vocabulary, common)[0]
+
+
+def score(rows: DataFrame, model: BrownModel) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for coded rows."""
+    end = bytes([int(model.owner[model.unit(END)])])
+    divisor = math.log10(model.total + model.distinct + 1)
+    transition, divisors = model.transition, model.divisors
+
+    def make():
+        def one(k):
+            k = np.frombuffer(end + k, dtype=np.uint8)
+            return float(transition[k[:-1], k[1:]].sum() - divisors[k[1:]].sum())
+
+        def work(ids, held, size, known, shares, classes):
+            base = [s - divisor * n for s, n in zip(shares, size)]
+            total = [model_total] * len(ids)
+            return [ids, held, size, known, total, base, [s + one(k) for s, k in zip(shares, classes)]]
+
+        return work
+
+    model_total = int(model.total)
+    fields = [
+        ("doc_id", "long"), ("held_out", "boolean"), ("n_tokens", "long"), ("n_known", "long"),
+        ("train_tokens", "long"), ("base_score", "double"), ("score", "double"),
+    ]
+    return map_rows(rows.select("doc_id", "held_out", "n_tokens", "n_known", "shares", "classes"), make, fields)
+
 
 def score_corpus(docs: DataFrame, held_out) -> DataFrame:
     """Count, cluster and score the documents, learning from all rows that are not held out."""
@@ -296,8 +502,8 @@ def score_corpus(docs: DataFrame, held_out) -> DataFrame:
     docs = docs.withColumn("train", ~F.col("held_out"))
     vocabulary = materialize(count_words(docs), "brown-vocabulary")
     common = {bytes(r["token"]): r["n_train"] for r in common_words(vocabulary).select("token", "n_train").collect()}
-    model = fit(docs, vocabulary, common)
-    return score(docs, vocabulary, model)
+    model, rows = fit_rows(docs, vocabulary, common)
+    return score(rows, model)
 
 
 def op3_lm_scoring(spark, sf_dir: str) -> DataFrame:

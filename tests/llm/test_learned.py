@@ -191,6 +191,56 @@ def test_brown_probabilities_add_up(spark, corpus):
         assert 0.5 < total <= 1 + 1e-9
 
 
+@pytest.mark.parametrize("common", [8, brown.COMMON])
+def test_brown_words_have_classes_of_their_own(spark, monkeypatch, common):
+    """Words beyond the seeds that share their last three bytes, but follow different words."""
+    monkeypatch.setattr(brown, "UNITS", 8)
+    monkeypatch.setattr(brown.common_words, "__defaults__", (common,))
+    rng, rows = random.Random(5), []
+    for i in range(400):
+        words = []
+        for _ in range(12):
+            kind = rng.choice("lr")
+            own = {"l": "lot", "r": "rum"}[kind] if rng.random() < 0.3 else f"{kind}{rng.randrange(40)}ing"
+            words += [{"l": "left", "r": "right"}[kind], own, "stop"]
+        rows.append((i, " ".join(words), False))
+    for i in range(40):
+        rows += [(1000 + i, f"left l{i}ing stop right r{i}ing stop", True), (2000 + i, f"left r{i}ing stop right l{i}ing stop", True)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    got = {r["doc_id"]: r for r in brown.score_corpus(docs, F.col("held")).collect()}
+    for i in range(40):
+        assert got[1000 + i]["base_score"] == pytest.approx(got[2000 + i]["base_score"])
+        assert got[1000 + i]["score"] > got[2000 + i]["score"] + 1
+
+
+def test_best_classes_are_those_of_the_exchange():
+    """The gains over sparse counts against the likelihood taken anew for every class."""
+    rng = np.random.default_rng(1)
+    pairs = rng.poisson(0.6, (60, 60)).astype(float)
+    owner = np.arange(60) % 4
+
+    def bigrams(owner):
+        hot = np.eye(4)[owner]
+        return hot.T @ pairs @ hot
+
+    def likelihood(owner):
+        n = bigrams(owner)
+        f = lambda v: sum(x * math.log(x) for x in v.ravel() if x > 0)
+        return f(n) - f(n.sum(0)) - f(n.sum(1))
+
+    cells, counts = [], []
+    for u in range(60):
+        others = np.arange(60) != u
+        into, out = np.bincount(owner[others], pairs[others, u], 4), np.bincount(owner[others], pairs[u, others], 4)
+        n = np.r_[into, out, pairs[u, u]]
+        cells.append(np.flatnonzero(n))
+        counts.append(n[n > 0])
+    best = brown.best_classes(cells, counts, owner, bigrams(owner))
+    for u in range(60):
+        tried = [likelihood(np.where(np.arange(60) == u, c, owner)) for c in range(4)]
+        assert tried[best[u]] == pytest.approx(max(tried), abs=1e-6)
+
+
 def test_exchange_ends_where_no_single_move_helps():
     """Units of one kind mostly follow their own kind; the likelihood is taken anew for every possible move."""
     rng = np.random.default_rng(0)
