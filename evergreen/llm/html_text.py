@@ -2,8 +2,10 @@
 
 A page is a sequence of words and tags.  Words score positive, tags negative, and the
 contiguous run with the highest sum, found in one linear scan, is the content region.
-Elements that are never article text wherever they stand (scripts, menus, forms,
-elements classed as adverts, notices, comments and so on) are taken out first.
+Elements that are never article text wherever they stand (scripts, menus, forms, hidden
+ones, and those with a role or a whole class that says so) are taken out first.  Names
+that only hint at it (a word of a class or id, such as ``has-sidebar`` or ``related-work``)
+take nothing out: they score negative where the element starts and ends, and the scan decides.
 
 The weights come from labelled pages: a page that marks its one article or main element
 itself tells which of its words and tags are content.  A token's weight is the log ratio
@@ -35,15 +37,19 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that end where the next of their kind starts.
 SELF_ENDING = frozenset("p li dt dd tr td th option".split())
-NEVER_TEXT = frozenset("head nav footer aside form dialog menu figure".split())
+NEVER_TEXT = frozenset("head nav footer aside form dialog menu".split())
 KEPT = frozenset("html body article main".split())
-# Words in class, id and role that mark an element as no part of an article.
-MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent "
-    "gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation "
-    "breadcrumb breadcrumbs pagination pager toolbar share sharing social related recommended recommendations comment "
-    "comments disqus respond reply replies footer masthead widget widgets login signup search copyright legal disclaimer "
-    "contentinfo complementary hidden".split()
+# Whole classes and roles of elements that are no part of an article.
+CLASSES_OFF = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsored sidebar nav navbar navigation breadcrumb "
+    "breadcrumbs pagination pager masthead modal popup newsletter comments disqus".split()
+)
+ROLES_OFF = frozenset("navigation banner complementary contentinfo search dialog alertdialog menu menubar toolbar".split())
+# Words in class, id and role that hint at the same.
+MARKS = CLASSES_OFF | frozenset(
+    "adv banner sponsor promo promotion cookie cookies consent gdpr notice notices alert overlay subscribe subscription "
+    "menu toolbar share sharing social related recommended recommendations comment respond reply replies footer widget "
+    "widgets login signup search copyright legal disclaimer contentinfo complementary hidden".split()
 )
 
 TOKEN = re.compile(
@@ -54,26 +60,38 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^\"'>])*(?:>|\Z)|[^>]*(?:>|\Z))",
     re.DOTALL | re.IGNORECASE,
 )
-NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-UNSEEN = re.compile(r"(?:^|\s)hidden(?=[\s=>]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
+HINT = "#"  # before the word of a hint among the tags
 WORD_PART = re.compile(r"[^A-Za-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
-def marked_off(name: str, attrs: str, in_article: bool) -> bool:
-    """Whether the element is taken out with all it holds."""
+def attributes(attrs: str) -> dict[str, str]:
+    """Values by lower-case name; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(attrs):
+        found.setdefault(name.lower(), next(filter(None, values), ""))
+    return found
+
+
+def marked_off(name: str, attrs: str, in_article: bool) -> tuple[bool, str]:
+    """Whether the element is taken out with all it holds; else the word that hints at it, or an empty text."""
     if name in KEPT:
-        return False
+        return False, ""
     if name in NEVER_TEXT or name == "header" and not in_article:
-        return True
-    if "=" in attrs or "hidden" in attrs:
-        if UNSEEN.search(attrs):
-            return True
-        for groups in NAMED.findall(attrs):
-            value = CAMEL.sub(" ", next((g for g in groups if g), ""))
-            if any(w in MARKS for w in WORD_PART.split(value.lower())):
-                return True
-    return False
+        return True, ""
+    if "=" not in attrs and "hidden" not in attrs.lower():
+        return False, ""
+    has = attributes(attrs)
+    if "hidden" in has or has.get("aria-hidden", "").lower() == "true" or NOT_SHOWN.search(has.get("style", "")):
+        return True, ""
+    if not CLASSES_OFF.isdisjoint(has.get("class", "").lower().split()):
+        return True, ""
+    if not ROLES_OFF.isdisjoint(has.get("role", "").lower().split()):
+        return True, ""
+    named = CAMEL.sub(" ", " ".join(has.get(n, "") for n in ("class", "id", "role")))
+    return False, next((w for w in WORD_PART.split(named.lower()) if w in MARKS), "")
 
 
 @dataclass
@@ -90,6 +108,7 @@ def tokenise(page: str) -> Page:
     inside = regions = 0
     off, depth, resume = "", 0, 0  # the element being taken out, its open count, and where it began in ``tokens``
     held: list[tuple[str | None, str, bool]] = []
+    hinted: dict[str, list[list]] = {}  # by name, the open elements with a hint: [open count, hint]
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -120,7 +139,21 @@ def tokenise(page: str) -> Page:
                 continue
             if ending and name in SELF_ENDING:
                 continue
-        if not ending and name not in VOID and marked_off(name, m["attrs"], inside > 0):
+        out, hint = False, ""
+        if not ending and name not in VOID:
+            out, hint = marked_off(name, m["attrs"], inside > 0)
+        if name in hinted and not out:
+            last = hinted[name][-1]
+            last[0] += -1 if ending or name in SELF_ENDING else not hint
+            if not last[0]:
+                tokens.append((HINT + last[1], "", inside > 0))
+                hinted[name].pop()
+                if not hinted[name]:
+                    del hinted[name]
+        if hint:
+            tokens.append((HINT + hint, "", inside > 0))
+            hinted.setdefault(name, []).append([1, hint])
+        if out:
             if not m["attrs"].rstrip().endswith("/>"):
                 off, depth = name, 1
                 tokens.append((name, "", inside > 0))
@@ -144,6 +177,7 @@ class Weights:
     word: float = 1.0
     tags: dict[str, float] = field(default_factory=dict)
     unknown_tag: float = -1.0
+    unknown_hint: float = -10.0
 
 
 def best_run(page: Page, weights: Weights) -> tuple[int, int]:
@@ -157,7 +191,8 @@ def best_run(page: Page, weights: Weights) -> tuple[int, int]:
             if total > best:
                 best, best_range = total, (start, i + 1)
         elif tag:
-            total += weights.tags.get(tag, weights.unknown_tag)
+            unknown = weights.unknown_hint if tag[0] == HINT else weights.unknown_tag
+            total += weights.tags.get(tag, unknown)
     return best_range
 
 
@@ -208,7 +243,7 @@ def fit(pages: DataFrame, bound: int = 2000) -> Weights:
     ins, outs = sum(r["inside"] for r in counts), sum(r["outside"] for r in counts)
     ratio = {r["token"]: math.log((r["inside"] + 1) / (ins + 1)) - math.log((r["outside"] + 1) / (outs + 1)) for r in counts}
     word = max(0.05, ratio.pop(" word"))
-    return Weights(word, {k: min(-0.05 * word, v) for k, v in ratio.items()}, -word)
+    return Weights(word, {k: min(-0.05 * word, v) for k, v in ratio.items()}, -word, Weights.unknown_hint * word)
 
 
 def extract_pages(pages: DataFrame, weights: Weights) -> DataFrame:

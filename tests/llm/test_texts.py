@@ -34,6 +34,31 @@ def test_article_text(page):
     assert html_text.extract(page, weights) == TEXT
 
 
+@pytest.mark.parametrize(
+    "wrapped",
+    [
+        '<div class="page has-sidebar">{}</div>',
+        '<article><section id="social-impact">{}</section></article>',
+        '<article><div class="legal">{}</div></article>',
+        '<article><figure><figcaption>{}</figcaption></figure></article>',
+        '<article><div title="a hidden gem" data-note="display: none">{}</div></article>',
+        '<div class="ad sidebar">Buy this now</div><div>{}</div><div class="comments">' + "I like it " * 30 + "</div>",
+        '<div aria-hidden=true style="color:red">x y</div><div>{}</div><div style="color:red; display:none">z z z z</div>',
+    ],
+)
+def test_hints_in_names_delete_nothing(wrapped):
+    weights = html_text.Weights(1.0, {"p": -0.1, "br": -0.1, "b": -0.1}, -1.0)
+    assert html_text.extract(f"<body>{wrapped.format(BODY)}</body>", weights) == TEXT
+
+
+def test_hints_inside_an_article_keep_its_parts():
+    """A heading and a paragraph of loose names between long parts."""
+    weights = html_text.Weights(1.0, {"p": -0.1, "br": -0.1, "b": -0.1}, -1.0)
+    page = f'<article>{BODY * 4}<h2 id="related-work">Related work</h2><p class="notice-period">Two weeks</p>{BODY * 4}</article>'
+    text = html_text.extract(page, weights)
+    assert text == " ".join([*[TEXT] * 4, "Related work Two weeks", *[TEXT] * 4])
+
+
 def test_best_run_is_the_maximum_over_all_runs():
     rng = random.Random(4)
     weights = html_text.Weights(1.0, {"p": -0.5, "li": -3.0}, -2.0)
