@@ -12,8 +12,9 @@ found this way are verified by counting the shared shingles themselves.
 Everything is DataFrame functions; whether the sketches are broadcast is left to the
 planner, which sees the size of the written table.  Words are runs of letters and digits in lower case.
 An item of fewer than five words is one shingle of all its words; items and documents
-without words, or null, match nothing.  Rows with the same id are one document or item; a document
-must hold an item in one of its rows.  Only the named columns are read.
+without words, or null, match nothing.  Rows with the same id are one document or item, null among the
+item ids too; a document must hold one of an item's texts in one of its rows, and the figures are
+those of the text that it holds most of.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -39,26 +40,26 @@ def _shingles(of: str, length: str) -> Column:
 
 
 def item_shingles(benchmark: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(item_id, length, wanted, shingle): one row per distinct shingle of an item."""
-    split = benchmark.filter("item_id IS NOT NULL").select("item_id", words("text").alias("w")).filter(F.size("w") > 0)
+    """(item_id, version, length, wanted, shingle): one row per distinct shingle of an item's text."""
+    split = benchmark.select("item_id", F.xxhash64("text").alias("version"), words("text").alias("w")).filter(F.size("w") > 0)
     sized = split.withColumn("length", F.least(F.lit(shingle), F.size("w")))
     return (
         sized.withColumn("s", _shingles("w", "length"))
-        .select("item_id", "length", F.size("s").alias("wanted"), F.explode("s").alias("shingle"))
+        .select("item_id", "version", "length", F.size("s").alias("wanted"), F.explode("s").alias("shingle"))
         .distinct()
     )
 
 
 def sketches(items: DataFrame) -> DataFrame:
-    """(item_id, length, partition, wanted, hash): the least hashes of every item, as many as its partition asks for."""
+    """(item_id, version, length, partition, wanted, hash): the least hashes of every text, as many as its partition asks for."""
     partition = F.ceil(F.log2(F.col("wanted"))).cast("int")
     lacking = F.floor(F.pow(F.lit(2.0), F.col("partition")) * (OUT_OF - NEEDED) / OUT_OF).cast("int")
     return (
-        items.groupBy("item_id", "length", "wanted")
+        items.groupBy("item_id", "version", "length", "wanted")
         .agg(F.array_sort(F.collect_list(F.xxhash64(F.lit("item"), "shingle"))).alias("hashes"))
         .withColumn("partition", partition)
         .withColumn("hash", F.explode(F.slice("hashes", F.lit(1), lacking + 1)))
-        .select("item_id", "length", "partition", "wanted", "hash")
+        .select("item_id", "version", "length", "partition", "wanted", "hash")
     )
 
 
@@ -80,7 +81,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE) ->
         hit = placed.join(sketch.filter(F.col("length") == n), "hash").filter(
             F.col("places") * OUT_OF >= F.col("wanted") * NEEDED
         )
-        hit = hit.select("doc_id", "copy", "item_id")
+        hit = hit.select("doc_id", "copy", "item_id", "version")
         found = hit if found is None else found.unionByName(hit)
     if found is None:  # no item has a word
         ids = F.struct(docs["doc_id"], F.lit(None).cast(dict(benchmark.dtypes)["item_id"]).alias("item_id"))
@@ -107,15 +108,16 @@ def _verified(docs: DataFrame, items: DataFrame, pairs: DataFrame, lengths: list
             pairs.alias("p"),
             F.col("s.doc_id").eqNullSafe(F.col("p.doc_id"))
             & (F.col("s.copy") == F.col("p.copy"))
-            & (F.col("s.item_id") == F.col("p.item_id")),
+            & F.col("s.item_id").eqNullSafe(F.col("p.item_id"))
+            & (F.col("s.version") == F.col("p.version")),
             "left_semi",
         )
-        .groupBy("doc_id", "copy", "item_id", "wanted")
+        .groupBy("doc_id", "copy", "item_id", "version", "wanted")
         .agg(F.count_distinct("shingle").alias("shared"))
         .filter(F.col("shared") * OUT_OF >= F.col("wanted") * NEEDED)
         .groupBy("doc_id", "item_id")
-        .agg(F.max("shared").alias("shared"), F.max("wanted").alias("wanted"))
-        .withColumn("containment", F.col("shared") / F.col("wanted"))
+        .agg(F.max(F.struct((F.col("shared") / F.col("wanted")).alias("containment"), "shared", "wanted")).alias("m"))
+        .select("doc_id", "item_id", "m.shared", "m.wanted", "m.containment")
     )
 
 

@@ -290,3 +290,17 @@ def test_batches_are_bounded_by_bytes(spark):
         spark.conf.unset(BATCH_LIMIT)
         if before:
             spark.conf.set(BATCH_LIMIT, before)
+
+
+def test_items_with_one_id_or_none_are_all_found(spark):
+    """Texts of one id with equally many shingles, and items without an id."""
+    text = lambda i, v: " ".join(f"w{v}x{i}x{k}" for k in range(15))
+    items = [(i, text(i, v)) for i in range(60) for v in "ab"] + [(None, text(90, v)) for v in "ab"]
+    docs = [(n, "before it " + t + " after it") for n, (_, t) in enumerate(items)] + [(None, text(0, "a"))]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_leaks(docs, items).collect()
+    want = [(n, n // 2 if n < 120 else None) for n in range(122)] + [(None, 0)]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=key) == want
+    assert all(r["shared"] == r["wanted"] == 11 and r["containment"] == 1.0 for r in got)
+    assert [r["doc_id"] for r in decontaminate.keep_clean(docs, items).collect()] == [None]
