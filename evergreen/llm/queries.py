@@ -12,16 +12,20 @@ from evergreen.llm.chat import op9_chat
 from evergreen.llm.decontaminate import op5_decontamination
 from evergreen.llm.html_text import op4_html_text
 from evergreen.llm.langid import op10_language
+from evergreen.llm.phrases import op13_phrases
 from evergreen.llm.quality import op2_quality
+from evergreen.llm.quantise import op12_vector_dedup
 from evergreen.llm.simhash import op7_simhash
 from evergreen.llm.topk import op8_topk
 from evergreen.llm.toxicity import op1_toxicity
+from evergreen.llm.whiten import op11_whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_toxicity, op2_quality, op3_lm_scoring, op4_html_text, op5_decontamination,
         op6_bpe, op7_simhash, op8_topk, op9_chat, op10_language,
+        op11_whitening, op12_vector_dedup, op13_phrases,
     )
     return {f.__name__: f for f in found}
 
@@ -75,6 +79,55 @@ g AS (
 SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
 """
 
+VECTOR_DEDUP_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS node, vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+u AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x <> 0)) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+pairs AS (
+  SELECT a.node AS a, b.node AS b FROM u a JOIN u b ON a.label = b.label AND a.node <> b.node AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT node, node AS other FROM v UNION SELECT r.node, p.b FROM reach r JOIN pairs p ON p.a = r.other),
+comp AS (SELECT r.node, min(v.vec_id) AS component_id FROM reach r JOIN v ON v.node = r.other GROUP BY 1),
+deg AS (SELECT a AS node, count(*) AS n_links FROM pairs GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN comp USING (node) LEFT JOIN deg USING (node)
+"""
+
+PHRASES_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY 1),
+g AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k),
+c AS MATERIALIZED (SELECT lang, k AS size, phrase, count(*) AS f FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+f AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM c),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, s.k, l.f AS l, r.f AS r, CAST(n.n AS HUGEINT) AS n,
+    (1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f) AS score
+  FROM f c JOIN (SELECT unnest([1, 2, 3, 4]) AS k) s ON s.k < c.size JOIN n USING (lang)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:s.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[s.k + 1:c.size], ' ')),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM low WHERE NOT EXISTS (
+    SELECT 1 FROM f x WHERE x.lang = low.lang AND x.f >= low.a AND len(x.w) > len(string_split(low.phrase, ' '))
+      AND contains(' ' || x.phrase || ' ', ' ' || low.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": SHINGLES_SQL, "op8_topk": TOPK_SQL, "op9_chat": CHAT_SQL}
+    return {
+        "op5_decontamination": SHINGLES_SQL,
+        "op8_topk": TOPK_SQL,
+        "op9_chat": CHAT_SQL,
+        "op12_vector_dedup": VECTOR_DEDUP_SQL,
+        "op13_phrases": PHRASES_SQL,
+    }
