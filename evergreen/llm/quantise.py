@@ -45,6 +45,7 @@ WIDE = 1024
 SKETCH = 16
 SMALL = 512
 BLOCK = 1024
+FULLEST = 16
 ALL = -1  # the bucket in which wide vectors meet all rows of their label
 HOT = 1 << 16
 SHIFT = 40  # table number above the bits of the code
@@ -246,44 +247,51 @@ def links_of(dealt: DataFrame, cosine: float) -> DataFrame:
     schema = pa.schema([("node", pa.int64()), ("other", pa.int64()), ("links", pa.int64())])
     keys = ["space", "bucket", "i", "j"]
 
-    def earlier(codes: list, bucket: int) -> np.ndarray | None:
-        """Which members share a bucket before this one: membership in those that at least two have."""
-        seen: dict[int, list[int]] = {}
-        for row, own in enumerate(codes):
-            for c in own:
-                if c < bucket:
-                    seen.setdefault(c, []).append(row)
-        shared = [rows for rows in seen.values() if len(rows) > 1]
-        if not shared:
-            return None
-        h = np.zeros((len(codes), len(shared)), dtype="f4")
-        for k, rows in enumerate(shared):
-            h[rows, k] = 1
-        return h
+    def unseen(linked: np.ndarray, a: np.ndarray, b: np.ndarray, values: np.ndarray, sizes: np.ndarray, bucket: int) -> None:
+        """Unlink the pairs that share a bucket before this one: first by the fullest buckets, then pair by pair."""
+        some = np.zeros(len(sizes), dtype=bool)
+        some[a[linked.any(1)]] = some[b[linked.any(0)]] = True
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        before = some[row] & (values < bucket)
+        _, code, count = np.unique(values[before], return_inverse=True, return_counts=True)
+        has = np.zeros((len(sizes), int((count > 1).sum())), dtype=bool)
+        number = np.cumsum(count > 1) - 1
+        shared = count[code] > 1
+        has[row[before][shared], number[code[shared]]] = True
+        for k in np.argsort(-has.sum(0), kind="stable")[:FULLEST]:
+            linked[np.ix_(has[a, k], has[b, k])] = False
+        bits = np.packbits(has, axis=1)
+        i, j = np.nonzero(linked)
+        for at in range(0, len(i), BLOCK):
+            x, y = i[at : at + BLOCK], j[at : at + BLOCK]
+            linked[x, y] = ~(bits[a[x]] & bits[b[y]]).any(1)
 
     def compare(table: pa.Table):
-        nodes = table.column("node").to_numpy()
-        block, copies = table.column("block").to_numpy(), table.column("copies").to_numpy()
-        i, j, bucket = (table.column(c)[0].as_py() for c in ("i", "j", "bucket"))
-        values = table.column("vector").combine_chunks()
-        x = unit(values.flatten().to_numpy().astype("f8").reshape(len(nodes), -1))
-        a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        linked = x[a] @ x[b].T >= cosine
-        if i == j:
-            np.fill_diagonal(linked, False)
-        if not linked.any():
-            return
-        tree = spanning(linked, a, b)
-        codes = table.column("codes").to_pylist()
-        if bucket != ALL and (h := earlier(codes, bucket)) is not None:
-            linked &= (h[a] @ h[b].T) == 0
-        count = np.zeros(len(nodes), dtype="i8")
-        count[a] += linked @ copies[b]
-        if i != j:
-            count[b] += linked.T @ copies[a]
-        some = np.flatnonzero(count)
-        yield nodes[some], np.full(len(some), -1), count[some]
-        if len(tree):
+        """Tile by tile; columns are taken apart once for all tiles of the table."""
+        column = {c: table.column(c).to_numpy() for c in [*keys, "node", "block", "copies"]}
+        values, sizes = flat(table.column("vector").combine_chunks())
+        codes, counts = flat(table.column("codes").combine_chunks())
+        value_at, code_at = np.r_[0, np.cumsum(sizes)], np.r_[0, np.cumsum(counts)]
+        bounds = runs([column[k] for k in keys]).tolist()
+        for lo, hi in zip(bounds[:-1], bounds[1:]):
+            nodes, block, copies = (column[c][lo:hi] for c in ("node", "block", "copies"))
+            i, j, bucket = (column[c][lo] for c in ("i", "j", "bucket"))
+            x = unit(values[value_at[lo] : value_at[hi]].astype("f8").reshape(hi - lo, -1))
+            a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            linked = x[a] @ x[b].T >= cosine
+            if i == j:
+                np.fill_diagonal(linked, False)
+            if not linked.any():
+                continue
+            tree = spanning(linked, a, b)
+            if bucket != ALL:
+                unseen(linked, a, b, codes[code_at[lo] : code_at[hi]], counts[lo:hi], bucket)
+            count = np.zeros(hi - lo, dtype="i8")
+            count[a] += linked @ copies[b]
+            if i != j:
+                count[b] += linked.T @ copies[a]
+            some = np.flatnonzero(count)
+            yield nodes[some], np.full(len(some), -1), count[some]
             yield nodes[tree[:, 0]], nodes[tree[:, 1]], np.zeros(len(tree), dtype="i8")
 
     def spanning(linked: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -304,10 +312,10 @@ def links_of(dealt: DataFrame, cosine: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches, keys):
-            bounds = runs([table.column(k).to_numpy() for k in keys])
-            for start, stop in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                for node, other, links in compare(table.slice(start, stop - start)):
-                    yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(other, pa.int64()), pa.array(links, pa.int64())], schema=schema)
+            found = list(compare(table))
+            if found:
+                columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     sorted_rows = dealt.repartition(*keys).sortWithinPartitions(*keys)
     found = bounded_batches(sorted_rows).mapInArrow(run, "node long, other long, links long")
