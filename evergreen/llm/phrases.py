@@ -2,10 +2,11 @@
 
 Documents are dealt to a fixed number of shards.  A phrase that the corpus holds at least
 ``support`` times is held by some shard at least in proportion to that shard's words.  So
-every shard is mined completely at that lowered support, level by level (a phrase is
-counted only where both its shorter phrases are locally frequent in some shard); the
-locally frequent phrases are united; and all of them are counted again over all documents,
-which gives their exact counts.  Words count like phrases, as they are parts of cuts.
+every shard is mined completely at that lowered support: words first, then pairs of words,
+then longer phrases, each counted only where its parts of the step before are frequent in some
+shard, and all shards together hold them often enough.  The locally frequent phrases are
+united and counted again over all documents, which gives their exact counts.
+Words count like phrases, as they are parts of cuts.
 
 Shards are no tasks: a shard's counts are added up by the shuffle, so that their number,
 and with it the local support, does not fall with the size of the corpus.  Tasks learn
@@ -36,7 +37,8 @@ from evergreen.session import materialize
 SHARDS = 8
 LONGEST = 5
 STRETCH = 1 << 20  # words worked on at once
-HELD = 1 << 21  # keys held before they are counted
+HELD = 1 << 22  # keys held before they are counted
+SMALL = 100_000  # shards of langs that go to every task
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 29
 BUCKET = 1 << 15  # bits of a piece of Spark's bitmaps
 
@@ -46,6 +48,7 @@ KIND[[0x20, 0x09]] = 1
 KIND[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = 2
 LOWER = np.arange(256, dtype="u1")
 LOWER[65:91] += 32
+FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype="u8")  # masks of the first n bytes
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -58,7 +61,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a batch of texts: where they are, to which row and piece they belong, their hashes."""
 
-    SHORT = 48
+    LONG = 64  # bytes; what a longer word has beyond them is hashed on its own
 
     def __init__(self, texts: pa.Array):
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -66,8 +69,9 @@ class Words:
         at = np.frombuffer(offsets, dtype="i8")[texts.offset : texts.offset + len(texts) + 1]
         raw = np.frombuffer(data, dtype="u1")[at[0] : at[-1]] if data else np.zeros(0, dtype="u1")
         at = at - at[0]
-        self.bytes = LOWER[raw]
-        kind = KIND[self.bytes]
+        self.bytes = np.zeros(len(raw) + 8, dtype="u1")  # words are read eight bytes at a time
+        self.bytes[: len(raw)] = LOWER[raw]
+        kind = KIND[raw]
         inside = kind == 0
         first = np.zeros(len(raw) + 1, dtype=bool)
         first[at] = True  # rows stand one behind the other
@@ -76,19 +80,28 @@ class Words:
         ends = inside.copy()
         ends[:-1] &= ~inside[1:] | first[1:-1]
         self.start, self.stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        self.row = np.searchsorted(at, self.start, side="right") - 1
-        parted = np.flatnonzero((kind == 2) | first[:-1])
-        self.piece = np.searchsorted(parted, self.start, side="right")
+        self.row = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(self.start, at)))
+        parted = np.searchsorted(self.start, np.flatnonzero((kind == 2) | first[:-1]))
+        self.piece = np.bincount(parted, minlength=len(self.start) + 1)[: len(self.start)].cumsum()
 
     def hashes(self, lo: int, hi: int, seed: int) -> np.ndarray:
-        start, size = self.start[lo:hi], (self.stop - self.start)[lo:hi]
-        h = np.full(len(start), 0xCBF29CE484222325 + seed, dtype="u8")
-        for j in range(min(self.SHORT, int(size.max(initial=0)))):
-            left = np.flatnonzero(size > j)
-            h[left] = (h[left] ^ self.bytes[start[left] + j]) * np.uint64(0x100000001B3)
-        for i in np.flatnonzero(size > self.SHORT).tolist():
-            h[i] = xxhash.xxh64_intdigest(self.bytes[start[i] : start[i] + size[i]].tobytes(), seed)
-        return mix(h + size.astype("u8"))
+        """By eight bytes at a time."""
+        start, left = self.start[lo:hi], (self.stop - self.start)[lo:hi]
+        eights = np.ndarray((len(self.bytes) - 7,), dtype="<u8", buffer=self.bytes, strides=(1,))
+        h = left.astype("u8") + np.uint64(seed << 40)
+        at = np.arange(len(start))
+        for step in range(0, self.LONG, 8):
+            rest = left[at] - step
+            if step:
+                at = at[rest > 0]
+                rest = rest[rest > 0]
+            if not len(at):
+                break
+            part = eights[start[at] + step] & FIRST[np.minimum(rest, 8)]
+            h[at] = mix(h[at] * np.uint64(0x9E3779B97F4A7C15) + part)
+        for i in np.flatnonzero(left > self.LONG).tolist():
+            h[i] ^= np.uint64(xxhash.xxh64_intdigest(self.bytes[start[i] : start[i] + left[i]].tobytes(), seed))
+        return h
 
     def text(self, first: int, count: int) -> str:
         words = (self.bytes[self.start[i] : self.stop[i]].tobytes() for i in range(first, first + count))
@@ -160,23 +173,26 @@ def row_hashes(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]
     return langs, codes, seeds[codes] if len(codes) else np.zeros(0, dtype="u8")
 
 
-COUNTED = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("g", pa.int64()), ("n", pa.int64())])
+COUNTED = pa.schema([("cell", pa.int64()), ("g", pa.int64()), ("n", pa.int64())])
+TOTAL = 0  # in place of a phrase's hash, for all words
 
 
-def local_counts(docs: DataFrame, length: int, frequent: Bitmap | None) -> DataFrame:
-    """(lang, shard, g, n): counts of phrases of ``length`` words whose shorter phrases are ``frequent``.
+def local_counts(docs: DataFrame, sizes: range, frequent: Bitmap | None) -> DataFrame:
+    """(cell, g, n): counts of phrases of those sizes by cell, which is a shard of a lang.
 
-    ``length`` 0 counts all words, under the hash 0.
+    Words are counted all, and as the total; of longer phrases those whose parts, one
+    word shorter than the shortest of ``sizes``, are ``frequent``.  A task adds up what it can
+    hold; rows of one phrase come to one place.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list[np.ndarray]] = {}
+        held: dict[int, list[np.ndarray]] = {}
         size = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for (lang, shard), keys in held.items():
+            for cell, keys in held.items():
                 g, n = np.unique(np.concatenate(keys), return_counts=True)
-                columns = [pa.array([lang]).take(pa.array(np.zeros(len(g), dtype="i4"))), np.full(len(g), shard, dtype="i4"), g.view("i8"), n]
+                columns = [np.full(len(g), cell, dtype="u8").view("i8"), g.view("i8"), n]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTED)], schema=COUNTED)
             held.clear()
 
@@ -184,39 +200,47 @@ def local_counts(docs: DataFrame, length: int, frequent: Bitmap | None) -> DataF
             if not batch.num_rows:
                 continue
             words = Words(batch.column("text"))
-            langs, codes, seeds = row_hashes(batch)
-            shards = batch.column("shard").to_numpy()
-            names = langs.to_pylist()
+            seeds = row_hashes(batch)[2]
+            cells = seeds ^ batch.column("shard").to_numpy().astype("u8")
             for lo, starts, hi in stretches(words):
-                rows = words.row[lo:hi]
-                if length:
-                    w = words.hashes(lo, hi, 0)
-                    g = mix(w ^ seeds[rows])
-                    for k in range(2, length):
+                rows, piece = words.row[lo:hi], words.piece[lo:hi]
+                w = words.hashes(lo, hi, 0)
+                g = mix(w ^ seeds[rows])
+                known = np.ones(len(g), dtype=bool)
+                for k in range(1, sizes.stop):
+                    if k > 1:
                         g = grown(g, w, k)
-                    if length > 1:
+                        known = known[: len(g)] & known[1 : len(g) + 1] if k >= sizes.start else known[: len(g)]
+                    if k == sizes.start - 1:
                         known = frequent.holds(g)
-                        g = grown(g, w, length)
-                        wanted = known[: len(g)] & known[1:][: len(g)] & together(words.piece[lo:hi], length)
-                    else:
-                        wanted = np.ones(len(g), dtype=bool)
-                else:
-                    g, wanted = np.zeros(hi - lo, dtype="u8"), np.ones(hi - lo, dtype=bool)
-                at = np.flatnonzero(wanted[: starts - lo])
-                group = codes[rows[at]].astype("i8") * SHARDS + shards[rows[at]]
-                order = np.argsort(group, kind="stable")
-                group, found = group[order], g[at][order]
-                edges = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)] if len(group) else [0]
-                for a, b in zip(edges[:-1], edges[1:]):
-                    held.setdefault((names[group[a] // SHARDS], int(group[a] % SHARDS)), []).append(found[a:b])
-                size += len(found)
+                    if k not in sizes:
+                        continue
+                    at = np.flatnonzero(known[: starts - lo] & together(piece, k)[: starts - lo])
+                    cell = cells[rows[at]]
+                    order = np.argsort(cell, kind="stable")
+                    cell, found = cell[order], g[at][order]
+                    edges = np.r_[np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell)] if len(cell) else []
+                    for a, b in zip(edges[:-1], edges[1:]):
+                        held.setdefault(int(cell[a]), []).append(found[a:b])
+                    size += len(found)
                 if size > HELD:
+                    if sizes.start == 1:
+                        yield whole(held)
                     yield from counted()
                     size = 0
+        if sizes.start == 1:
+            yield whole(held)
         yield from counted()
 
-    rows = bounded_batches(docs).mapInArrow(run, "lang string, shard int, g long, n long")
-    return rows.groupBy("lang", "shard", "g").agg(F.sum("n").alias("n"))
+    def whole(held: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
+        """The total of each cell."""
+        cells = np.array(list(held), dtype="u8").view("i8")
+        n = [sum(map(len, keys)) for keys in held.values()]
+        columns = [cells, np.full(len(n), TOTAL, dtype="i8"), n]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTED)], schema=COUNTED)
+
+    rows = bounded_batches(docs).mapInArrow(run, "cell long, g long, n long").repartition("g")
+    return rows.groupBy("g", "cell").agg(F.sum("n").alias("n"))
 
 
 WRITTEN = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
@@ -265,25 +289,53 @@ def first_and_count(g: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.nd
     return order[at], np.diff(np.r_[at, len(g)])
 
 
+def shares(counts: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cell, words, total): the words of every cell and of its lang."""
+    cells = docs.select("lang", "shard").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seeds = row_hashes(batch)[2]
+            cell = (seeds ^ batch.column("shard").to_numpy().astype("u8")).view("i8")
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(cell)], names=["lang", "cell"])
+
+    named = cells.mapInArrow(run, "lang string, cell long")
+    words = counts.filter(F.col("g") == TOTAL).select("cell", F.col("n").alias("words")).join(named, "cell")
+    return words.join(words.groupBy("lang").agg(F.sum("words").alias("total")), "lang")
+
+
+def left_over(counts: DataFrame, share: DataFrame, support: int) -> DataFrame:
+    """(g, enough): phrases that some shard holds in proportion; whether all shards together hold ``support``."""
+    share = share.groupBy("cell").agg(F.max("words").alias("words"), F.min("total").alias("total"))
+    if share.count() <= SMALL:
+        met = counts.join(F.broadcast(share), "cell")
+    else:
+        met = skew_join(counts, share, ["cell"], share.select("cell", F.col("words").alias("n")), ["g"], "inner")
+    # n / words >= support / total, in whole numbers of any size.
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    local = wide("n") * wide("total") >= wide("words") * F.lit(support).cast("decimal(19,0)")
+    summed = met.filter(F.col("g") != TOTAL).groupBy("g").agg(F.sum("n").alias("n"), F.bool_or(local).alias("local"))
+    return summed.filter("local").select("g", (F.col("n") >= support).alias("enough"))
+
+
 def frequent_phrases(docs: DataFrame, support: int, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
     """((lang, size, phrase, n) of all words and phrases with at least ``support`` occurrences, (lang, total))."""
     rows = prepared(docs)
-    totals = materialize(local_counts(rows, 0, None).select("lang", "shard", F.col("n").alias("words")), "phrases-totals")
-    whole = totals.groupBy("lang").agg(F.sum("words").alias("total"))
-    share = materialize(totals.join(whole, "lang"), "phrases-shares")
-    bitmaps: list[Bitmap] = []
-    for length in range(1, longest + 1):
-        counts = local_counts(rows, length, bitmaps[-1] if bitmaps else None)
-        met = skew_join(counts, share, ["lang", "shard"], share.select("lang", "shard", F.col("words").alias("n")), ["g"], "inner")
-        # n / words >= support / total, in whole numbers of any size.
-        wide = lambda c: F.col(c).cast("decimal(19,0)")
-        local = met.filter(wide("n") * wide("total") >= wide("words") * F.lit(support).cast("decimal(19,0)"))
-        bitmap = bitmap_of(materialize(local.select("g").distinct(), "phrases-local"))
-        if bitmap is None:
+    counts = materialize(local_counts(rows, range(1, 2), None), "phrases-words")
+    share = materialize(shares(counts, rows), "phrases-shares")
+    candidates: list[Bitmap] = []
+    grow: Bitmap | None = None
+    for sizes in (range(1, 2), range(2, 3), range(3, longest + 1)):
+        if grow is not None:
+            counts = local_counts(rows, sizes, grow)
+        left = materialize(left_over(counts, share, support), "phrases-local")
+        grow = bitmap_of(left.filter("enough").select("g"))
+        if grow is None:
             break
-        bitmaps.append(bitmap)
-    exact = global_counts(rows, bitmaps).filter(F.col("n") >= support)
-    return materialize(exact, "phrases-frequent"), materialize(whole, "phrases-langs")
+        candidates += [bitmap_of(left.select("g"))] * len(sizes)
+    exact = global_counts(rows, candidates).filter(F.col("n") >= support)
+    totals = share.select("lang", "total").distinct()
+    return materialize(exact, "phrases-frequent"), materialize(totals, "phrases-langs")
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:

@@ -93,17 +93,16 @@ def test_a_phrase_of_the_corpus_is_frequent_in_a_shard(spark):
     """What the lowered support rests on: no phrase with the whole support is below it everywhere."""
     rows = phrases.prepared(docs(spark, made(9, 200)))
     assert rows.select("shard").distinct().count() == phrases.SHARDS
-    local = [r.asDict() for r in phrases.local_counts(rows, 1, None).collect()]
-    words = {(r["lang"], r["shard"]): r["n"] for r in phrases.local_counts(rows, 0, None).collect()}
-    total = Counter()
-    for (lang, _), n in words.items():
-        total[lang] += n
+    counts = phrases.local_counts(rows, range(1, 2), None)
+    shares = {r["cell"]: r for r in phrases.shares(counts, rows).collect()}
+    assert sum(r["words"] for r in shares.values()) == sum({r["lang"]: r["total"] for r in shares.values()}.values())
     whole, best = Counter(), {}
-    for r in local:
-        key = r["lang"], r["g"]
-        whole[key] += r["n"]
-        best[key] = max(best.get(key, 0), r["n"] * total[r["lang"]] / words[r["lang"], r["shard"]])
-    assert all(best[k] >= n - 1e-9 for k, n in whole.items())
+    for r in counts.collect():
+        if r["g"] != phrases.TOTAL:
+            whole[r["g"]] += r["n"]
+            part = shares[r["cell"]]
+            best[r["g"]] = max(best.get(r["g"], 0), r["n"] * part["total"] / part["words"])
+    assert all(best[g] >= n - 1e-9 for g, n in whole.items())
 
 
 def test_words_of_a_batch():
