@@ -513,15 +513,56 @@ CELLS = f"""{plain('year')} AS year, {fixed_1('final_score')} AS score, {plain('
        {grouped_int('apple_total')} AS apple_total"""
 
 
-def source_report(name: str) -> str:
+OVERALL_REPORT = (
+    f"SELECT rank, title, {display_credit('artist')} AS artist, {CELLS}, spotify_url "
+    "FROM top_songs JOIN links USING (title, artist)"
+)
+CHART_REPORT = (
+    f"SELECT rank, title, {display_credit('artist')} AS artist, {plain('year')} AS year, score, "
+    f"{plain('bb_peak', '#')} AS peak, {plain('bb_chart_weeks', '', 'w')} AS weeks FROM ("
+    f"SELECT *, row_number() OVER (ORDER BY score DESC, {KEYS}) AS rank FROM "
+    f"(SELECT *, {round_even('(bb_score * 100)', 1)} AS score FROM chart_scored) s) t "
+    f"WHERE rank <= {SETTINGS.chart_top_n}"
+)
+
+
+def source_report(name: str, named: bool = True) -> str:
     m = SETTINGS.measure(name)
+    source = f"'{name}' AS source, " if named else ""
     return f"""
-SELECT '{name}' AS source, rank, title, {display_credit('artist')} AS artist, {plain('year')} AS year,
+SELECT {source}rank, title, {display_credit('artist')} AS artist, {plain('year')} AS year,
        {plain('decade', '', 's')} AS decade, {grouped_int(m.value_col)} AS value, {percent_1(m.score_col)} AS era_percentile
 FROM (SELECT * EXCLUDE (rank), row_number() OVER (ORDER BY {m.value_col} DESC, {KEYS}) AS rank FROM index_c
       WHERE {m.value_col} IS NOT NULL) t WHERE rank <= {SETTINGS.source_top_n}"""
 
 
+SCORES = ("bb_score", "sp_score", "yt_score", "itunes_score", "apple_score", "final_score")
+REPORT = "rank title artist year"
+#: Columns of a run's tables; ``SCORES``, and the chart report's score, hold fractions.
+RUN_COLUMNS = {
+    "scores": [c.strip() for c in INDEX_COLUMNS.split(",")],
+    "full_export": [
+        "rank", "title", "artist", "year", "release_year", "duration_ms", "decade", "bb_peak", "bb_chart_weeks",
+        "spotify_streams", "youtube_views", "itunes_total", "apple_total", *SCORES, "spotify_url",
+    ],
+    "links": ["title", "artist", "spotify_url", "duration_ms", "release_year"],
+    "report_overall": [
+        *REPORT.split(), "score", "peak", "weeks", "spotify_streams", "youtube_views", "itunes_total", "apple_total", "spotify_url",
+    ],
+    "report_chart": [*REPORT.split(), "score", "peak", "weeks"],
+    "report_source": [*REPORT.split(), "decade", "value", "era_percentile"],
+}
+
+
+def summed(name: str, sql: str, columns: list[str]) -> str:
+    """Name, rows and the portable checksum of a table."""
+    fractions = {*SCORES, "score"} if name == "report_chart" else SCORES
+    parts = [f"CAST(round({c} * 1000000) AS BIGINT)" if c in fractions else c for c in sorted(columns)]
+    row = ", ".join(f"coalesce(CAST({p} AS VARCHAR), '-')" for p in parts)
+    head = f"CAST('0x' || substr(md5(concat_ws('|', {row})), 1, 8) AS BIGINT)"
+    return f"SELECT '{name}' AS name, count(*) AS n, CAST(coalesce(sum({head}), 0) AS BIGINT) AS checksum FROM ({sql}) t_{name}"
+
+
 LI, A_TAG = r"(?is)<li\b[^>]*>(.*?)</li>", r"(?is)<a\b[^>]*>(.*?)</a>"
 
 
@@ -533,7 +574,7 @@ def entities(x: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     a = answer
-    return {
+    found = {
         # scans and sources
         "scan_chart": a(
             "SELECT ord, title, artist, date, peak_pos, weeks_on_chart, CAST(year(date) AS INT) AS year FROM chart_src",
@@ -738,32 +779,23 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
         "popularity_index": a(f"SELECT {INDEX_COLUMNS} FROM index_c", "index_c"),
         "resolve_links": a("SELECT * FROM links", "links"),
         "report_overall": a(
-            f"SELECT rank, title, {display_credit('artist')} AS artist, {CELLS}, spotify_url "
-            "FROM top_songs JOIN links USING (title, artist)",
+            OVERALL_REPORT,
             "top_songs",
             "links",
         ),
-        "report_chart": a(
-            f"SELECT rank, title, {display_credit('artist')} AS artist, {plain('year')} AS year, score, "
-            f"{plain('bb_peak', '#')} AS peak, {plain('bb_chart_weeks', '', 'w')} AS weeks FROM ("
-            f"SELECT *, row_number() OVER (ORDER BY score DESC, {KEYS}) AS rank FROM "
-            f"(SELECT *, {round_even('(bb_score * 100)', 1)} AS score FROM chart_scored) s) t "
-            f"WHERE rank <= {SETTINGS.chart_top_n}",
-            "chart_scored",
-        ),
+        "report_chart": a(CHART_REPORT, "chart_scored"),
         "report_source": a(" UNION ALL ".join(source_report(n) for n in MEASURE_VIEWS), "index_c"),
-        "full_run": a(
-            "SELECT 'scores' AS name, count(*) AS n FROM index_c UNION ALL SELECT 'full_export', count(*) FROM index_c "
-            "UNION ALL SELECT 'links', count(*) FROM links UNION ALL SELECT 'report_overall', count(*) FROM top_songs "
-            f"UNION ALL SELECT 'report_chart', least({SETTINGS.chart_top_n}, count(*)) FROM chart_scored "
-            + " ".join(
-                f"UNION ALL SELECT 'report_{m.name}', least({SETTINGS.source_top_n}, count({m.value_col})) FROM index_c"
-                for m in SETTINGS.measures
-            ),
-            "index_c",
-            "links",
-            "top_songs",
-            "chart_scored",
-        ),
         "quick_run": a(export_select(False), "index_c"),
     }
+    run = {
+        "scores": f"SELECT {INDEX_COLUMNS} FROM index_c",
+        "full_export": export_select(True),
+        "links": "SELECT * FROM links",
+        "report_overall": OVERALL_REPORT,
+        "report_chart": CHART_REPORT,
+        **{f"report_{m.name}": source_report(m.name, named=False) for m in SETTINGS.measures},
+    }
+    sums = [summed(name, sql, RUN_COLUMNS[name if name in RUN_COLUMNS else "report_source"]) for name, sql in run.items()]
+    found["full_run"] = a(" UNION ALL ".join(sums), "index_c", "links", "top_songs", "chart_scored")
+    found["append_stored"] = found["append_dedup"]
+    return found

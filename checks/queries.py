@@ -17,10 +17,11 @@ from evergreen.functions import parse as P
 from evergreen.functions import text as T
 from evergreen.operators import cluster, dedup, lookup, percentile, ranking
 from evergreen.plans import links as links_plan
-from evergreen.plans import reports, run, scores
+from evergreen.plans import reports, run, scores, sinks
 from evergreen.session import checkpoint_root, materialize
 from evergreen.sources import chart, files, measures, pages, snapshots
 from evergreen.sources import exports as export_source
+from evergreen.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ["key_title", "key_artist"]
@@ -218,9 +219,11 @@ def json_positive(spark, d):
 
 
 def sink_scores(spark, d):
+    """Published twice: the second version is in force."""
     path = _scratch(spark, "sink")
-    run.write_table(_index(spark, d), path, order="rank")
-    return spark.read.parquet(path).select("rank", "title", "artist", "final_score")
+    sinks.publish(_index(spark, d).filter("rank <= 10"), path)
+    sinks.publish(_index(spark, d), path, order="rank")
+    return sinks.published(spark, path).select("rank", "title", "artist", "final_score")
 
 
 def songs_only(spark, d):
@@ -246,6 +249,16 @@ def append_dedup(spark, d):
     return dedup.append_new(stored, new, ["title", "artist"])
 
 
+def append_stored(spark, d):
+    """The same append to a stored table in folders, the batch given three times."""
+    path = _scratch(spark, "store")
+    stored = view(spark, d, "store_src").select("title", "artist", F.col("itunes_total").alias("playcount"))
+    new = view(spark, d, "streams_src").select("title", "artist", F.col("spotify_streams").alias("playcount"))
+    for batch in (stored, new, new, new):
+        incremental.append_unseen(batch, path, ["title", "artist"], parts=16)
+    return spark.read.parquet(path).select("title", "artist", "playcount")
+
+
 # projections and predicates
 
 
@@ -323,8 +336,13 @@ def audit_counts(spark, d):
     index = _index(spark, d)
     found = links_plan.resolve_links(index, exports(spark, d), SETTINGS)
     rows = pages.page_totals(_table_pages(spark, d), ["page"], pages.VIDEO_TOTALS)
-    landed = dataclasses.replace(sources(spark, d), chart=view(spark, d, "mixed_src"))
-    return run.audit(index, found, "spotify_streams_is_floor", rows, pages.is_usable(pages.VIDEO_TOTALS), landed)
+    landed, seen = run.watched(dataclasses.replace(sources(spark, d), chart=view(spark, d, "mixed_src")))
+    # The loads of a run, each source once; their dropped rows are counted on the way.
+    materialize(chart.chart_rows(landed.chart), "audit-chart")
+    for name, raw in landed.measures.items():
+        materialize(measures.measure_source(raw, SETTINGS.measure(name), SETTINGS), "audit-measure")
+    materialize(measures.floor_table(landed.playlists, SETTINGS), "audit-floors")
+    return run.audit(index, found, "spotify_streams_is_floor", rows, pages.is_usable(pages.VIDEO_TOTALS), seen)
 
 
 # windows
@@ -351,8 +369,9 @@ def best_per_key(spark, d):
 
 
 def first_per_key(spark, d):
-    credits = view(spark, d, "chart_src")
-    return dedup.first_credit_per_key(credits, KEYS, "ord", lambda df: T.with_keys(df, SETTINGS.aliases))
+    credits = view(spark, d, "chart_src").select("title", "artist", "ord")
+    keyed = T.with_keys(credits, SETTINGS.aliases).select(*KEYS, "ord", "title", "artist")
+    return dedup.first_per_key(keyed, KEYS, ["ord", "title", "artist"])
 
 
 def authoritative_flag(spark, d):
@@ -535,16 +554,22 @@ def quick_run(spark, d):
 
 
 def full_run(spark, d):
-    """Every table of a full run and its size."""
+    """Every table of a full run, its size, and a checksum over all its columns."""
     tables = run.run(sources(spark, d), exports(spark, d), SETTINGS)
-    return reduce(DataFrame.union, [t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("name"), "n") for k, t in tables.items()])
+    return reduce(
+        DataFrame.union,
+        [
+            sinks.portable_checksum(t).select(F.lit(k).alias("name"), F.col("rows").alias("n"), "checksum")
+            for k, t in tables.items()
+        ],
+    )
 
 
 _ALL = [
     scan_mixed_texts, scan_csv_exports, songs_csv, export_csv, full_run,
     scan_chart, scan_measures, scan_synonyms, scan_union_files, score_missing_source, extract_page_items,
     extract_table_totals, calendar_weeks, pending_weeks, flatten_snapshot, json_defaults, json_positive,
-    sink_scores, songs_only, full_export, append_dedup, coerce_numeric, decade_bucket, variant_flag,
+    sink_scores, songs_only, full_export, append_dedup, append_stored, coerce_numeric, decade_bucket, variant_flag,
     chart_aggregate, merge_measures, playlist_membership, link_lookup, unambiguous_titles, validated_join,
     last_wins_lookup, alias_map, year_value_hist, scale_to_100, audit_counts, rolling_percentile_low,
     rolling_percentile_high, decade_percentile, best_per_key, first_per_key, authoritative_flag, final_rank,

@@ -1,40 +1,48 @@
 """One row per key, as aggregates.
 
-Each survivor is picked by ``min_by`` over an explicit total order, so the
-choice never depends on partitioning, and map-side partial aggregation reduces
-a hot key to one row per task before anything is shuffled.
+Each survivor is picked by an explicit total order, so the choice never depends on
+partitioning, and map-side partial aggregation reduces a hot key to one row per task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evergreen.functions.text import has_word
-from evergreen.operators.skew import HOT_ROWS, skew_join
+from evergreen.operators.order import order_image
+from evergreen.operators.skew import HOT_ROWS, counted_join, skew_join
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
-    """The first row of every key in ``order`` (which must break all ties)."""
+def _least_row(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
+    """The first row of every key, folded row by row; such buffers are sorted, not hashed."""
     rest = [c for c in df.columns if c not in keys]
     best = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*df.columns)
 
 
-def first_credit_per_key(
-    df: DataFrame, keys: list[str], place: str, keyed: Callable[[DataFrame], DataFrame]
+def first_per_key(
+    df: DataFrame, keys: list[str], order: list[str | Column], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """(keys, place, title, artist) of the first row of every key, by ``place`` and then by name.
-
-    Rows are folded by the spelled credit first, which hashes on the map side and
-    leaves ``keyed``, which derives the keys, one row per spelling.
+    """The first row of every key in ``order`` (which must break all ties).
+
+    In two steps: the least image of the order per key, a number of fixed width, comes
+    from a hash aggregate; a join then brings back the rows that have it.  Rows with one
+    image, which their order's later parts tell apart, are folded one by one.  A key with
+    many rows is folded where they lie, and only its few least rows meet; where many share the
+    image they are split.  ``df`` is read twice.  An order that starts with a text has no
+    image and is folded in one step.
     """
-    folded = df.groupBy("title", "artist").agg(F.min(place).alias(place))
-    row = F.min(F.struct(place, "title", "artist")).alias("_row")
-    return keyed(folded).groupBy(*keys).agg(row).select(*keys, "_row.*")
+    image = order_image(df, order)
+    if image is None:
+        return _least_row(df, keys, order)
+    marked = df.withColumns({"_keys": F.struct(*keys), "_image": image})
+    least = marked.groupBy("_keys").agg(F.min("_image").alias("_image"), F.count(F.lit(1)).alias("n"))
+    spread_by = [c for c in df.columns if c not in keys] or keys
+    found = counted_join(marked, least, ["_keys", "_image"], spread_by, hot_rows)
+    return _least_row(found.select(*df.columns), keys, order)
 
 
 def largest_first(value: str) -> list[Column]:
@@ -43,8 +51,11 @@ def largest_first(value: str) -> list[Column]:
 
 
 def best_per_key(df: DataFrame, keys: list[str], value: str, ties: list[str]) -> DataFrame:
-    """The row with the largest ``value`` per key; ``ties`` break equal values, ascending."""
-    return first_per_key(df, keys, [*largest_first(value), *ties])
+    """The row with the largest ``value`` per key; ``ties`` break equal values, ascending.
+
+    In one step, as a source is read once: its rows are counted while they are read.
+    """
+    return _least_row(df, keys, [*largest_first(value), *ties])
 
 
 def best_with_authority(

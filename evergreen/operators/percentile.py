@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from evergreen.operators.order import ordered_double
 from evergreen.operators.skew import HOT_ROWS, skew_join
 
 DIGIT_BITS = 21
@@ -31,13 +32,17 @@ def running_counts(hist: DataFrame, group: list[str], value: str, value_bits: in
     A cumulative sum over an unbounded number of distinct values must not sit in
     one task.  Values are cut into 21-bit digits: counts accumulate inside each
     block of equal higher digits, and recursively over the blocks, so that no
-    window partition ever holds more than 2^21 rows.  Values with fractions are cut
-    at the point first: a partition then holds the fractions of one whole number.
-    ``value_bits`` states the expected width and saves levels; it never changes the result.
+    window partition ever holds more than 2^21 rows, or 2^22 where values of both signs
+    meet.  Doubles are cut as the whole numbers of their bits, in the same order: -0.0
+    equals 0.0, and NaN stands above all others.  ``value_bits`` states the expected width of
+    whole numbers and saves levels; it never changes the result.
     """
-    fractional = dict(hist.dtypes)[value] == "double"
+    if dict(hist.dtypes)[value] == "double":
+        image = f"_bits_{value}"
+        counted = running_counts(hist.withColumn(image, ordered_double(F.col(value))), group, image)
+        return counted.select(*hist.columns, "below", "total")
     ordered = W.partitionBy(*group).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    if value_bits <= DIGIT_BITS and not fractional:
+    if value_bits <= DIGIT_BITS:
         return hist.withColumns(
             {
                 "below": F.coalesce(F.sum("n").over(ordered), F.lit(0)),
@@ -46,9 +51,9 @@ def running_counts(hist: DataFrame, group: list[str], value: str, value_bits: in
         )
     high = f"_high_{value}"
     block = [*group, high]
-    cut = hist.withColumn(high, F.floor(value) if fractional else F.shiftright(value, DIGIT_BITS))
+    cut = hist.withColumn(high, F.shiftright(value, DIGIT_BITS))
     blocks = cut.groupBy(*block).agg(F.sum("n").alias("n"))
-    offsets = running_counts(blocks, group, high, value_bits if fractional else value_bits - DIGIT_BITS).select(
+    offsets = running_counts(blocks, group, high, value_bits - DIGIT_BITS).select(
         *block, F.col("below").alias("_offset"), "total"
     )
     inside = W.partitionBy(*block).orderBy(value).rowsBetween(W.unboundedPreceding, -1)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evergreen.config import MeasureDim, Settings
 from evergreen.functions.text import apply_aliases, artist_key, first_of_list, title_key, with_keys
-from evergreen.operators.dedup import best_per_key, best_with_authority, first_per_key
+from evergreen.operators.dedup import best_per_key, best_with_authority
 from evergreen.sources.files import to_number
 
 KEYS = ["key_title", "key_artist"]
@@ -43,14 +43,16 @@ def floor_table(playlists: dict[str, DataFrame], settings: Settings) -> DataFram
     """(keys, floor): the first configured playlist that holds the key decides."""
     frames = [
         playlist_keys(playlists[f.playlist], settings).select(
-            *KEYS, F.lit(i).alias("priority"), F.lit(f.value).cast("bigint").alias("floor")
+            *KEYS, F.lit(i).alias("priority")
         )
         for i, f in enumerate(settings.floors)
         if f.playlist in playlists
     ]
     if not frames:
         return None
-    return first_per_key(reduce(DataFrame.unionByName, frames), KEYS, ["priority"]).drop("priority")
+    first = reduce(DataFrame.unionByName, frames).groupBy(*KEYS).agg(F.min("priority").alias("priority"))
+    floor = F.element_at(F.array(*[F.lit(f.value).cast("bigint") for f in settings.floors]), F.col("priority") + 1)
+    return first.select(*KEYS, floor.alias("floor"))
 
 
 def in_playlist(songs: DataFrame, keys: DataFrame, flag: str) -> DataFrame:

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from evergreen.operators import cluster, dedup, lookup, percentile, ranking, scoring, skew
+from evergreen.operators import cluster, dedup, lookup, order, percentile, ranking, scoring, skew
 
 KEYS = ["key_title", "key_artist"]
 
@@ -236,3 +236,104 @@ def test_append_with_null_keys_and_an_order(spark):
     for _ in range(3):
         stored = spark.createDataFrame(dedup.append_new(stored, new, ["t"], ["ord"]).collect(), new.schema)
     assert Counter(map(tuple, stored.collect())) == Counter([(None, 3, 0), ("a", 9, 0)])
+
+
+def bits_of(v):
+    import math
+    import struct
+
+    if math.isnan(v):
+        return (2047 << 52) + 1
+    whole = struct.unpack("<Q", struct.pack("<d", abs(v)))[0]
+    return -whole if v < 0 else whole
+
+
+def test_ordered_doubles_are_their_bits(spark):
+    import math
+    import struct
+
+    rng = random.Random(2)
+    values = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    powers = [2.0**e for e in range(-1074, 1024)]
+    values += powers + [-p for p in powers] + [math.nextafter(p, 0) for p in powers] + [math.nextafter(p, math.inf) for p in powers]
+    values += [0.0, -0.0, math.inf, -math.inf, math.nan, 0.1, 1 / 3]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select("v", order.ordered_double(F.col("v")).alias("b")).collect()
+    assert all(r.b == bits_of(r.v) for r in got)
+    assert spark.range(1).select(order.ordered_double(F.lit(None).cast("double")).alias("b")).first().b is None
+
+
+def test_percentiles_of_fractions_special_values(spark):
+    """-0.0 ties with 0.0, NaN stands above infinity, and no window holds many values."""
+    nan, inf = float("nan"), float("inf")
+    values = [-inf, -1.5, -0.0, 0.0, 5e-324, 0.25, 0.75, inf, nan, nan, None]
+    df = spark.createDataFrame([("t", str(i), 0, v) for i, v in enumerate(values)], "key_title string, key_artist string, g int, v double")
+    got = {r.key_artist: r.p for r in percentile.group_percentiles(df, KEYS, "g", {"v": "p"}).collect()}
+    assert [got[str(i)] for i in range(11)] == [0.1, 0.2, 0.35, 0.35, 0.5, 0.6, 0.7, 0.8, 0.95, 0.95, None]
+    up = percentile.rolling_percentiles(df.filter("v is not null"), KEYS, "g", {"v": "p"}, {"v"}, 1).collect()
+    assert {r.key_artist: r.p for r in up}["8"] == 0.9
+
+
+def test_fractions_are_spread_over_window_partitions(spark):
+    n = 200_000
+    hist = spark.range(n).select(F.lit(1).alias("g"), (F.col("id") / n).alias("v"), F.lit(1).alias("n"))
+    blocks = hist.groupBy(F.shiftright(order.ordered_double(F.col("v")), percentile.DIGIT_BITS).alias("b")).count()
+    assert blocks.agg(F.max("count")).first()[0] < 100  # a window partition is one block
+    got = percentile.running_counts(hist, ["g"], "v").filter("below <> round(v * 200000)").count()
+    assert got == 0
+
+
+ORDERS = [["a", "s"], ["s"], ["st", "a"], ["b", "day", "at"], ["descending d", "s"]]
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 2])
+def test_first_per_key_by_any_order(spark, hot_rows):
+    """Against one fold over whole rows, with nulls, texts, structs, ties in the image, and hot keys."""
+    import datetime
+
+    rng = random.Random(hot_rows)
+    pick = lambda *xs: rng.choice([None, *xs])
+    rows = [
+        (pick("x", "y"), pick("k", ""), pick(-5, 0, 2**31 - 1, -(2**31)), pick("same beginning " + str(rng.randrange(9)), "same", "", "ÿ"),
+         pick(0.0, -0.0, -1.5, 1e300, float("nan")), (pick(1, 2), pick("p", "q")) if rng.random() < 0.8 else None,
+         pick(True, False), pick(datetime.date(1969, 1, 1), datetime.date(2020, 5, 5)),
+         pick(datetime.datetime(1960, 1, 1), datetime.datetime(2020, 1, 1, 1, 1, 1, 5)), i)
+        for i in range(250)
+    ]
+    df = spark.createDataFrame(rows, "k1 string, k2 string, a int, s string, d double, st struct<x:bigint,y:string>, b boolean, day date, at timestamp, i int")
+    for by in ORDERS:
+        total = [c for o in by for c in ([F.col("d").isNull(), -F.col("d")] if o == "descending d" else [o])] + ["i"]
+        got = {tuple(r) for r in dedup.first_per_key(df, ["k1", "k2"], total, hot_rows).select("k1", "k2", "i").collect()}
+        want = {tuple(r) for r in dedup._least_row(df, ["k1", "k2"], total).select("k1", "k2", "i").collect()}
+        assert got == want, by
+
+
+def test_images_compare_as_their_order(spark):
+    rows = [(a, b, s) for a in (None, -3, 0, 7) for b in (None, -(2**31), 5) for s in (None, "", "a", "abcdefgh", "abcdefgi", "é")]
+    df = spark.createDataFrame(rows, "a int, b int, s string")
+    image = order.order_image(df, ["a", "b", "s"])
+    got = [(r.image, r.a, r.b, r.s) for r in df.orderBy("a", "b", "s").select("a", "b", "s", image.alias("image")).collect()]
+    assert [g[0] for g in got] == sorted(g[0] for g in got)
+    assert len({g[0] for g in got}) == len(rows) - 12  # texts that begin alike leave the order open
+    assert order.order_image(df, ["s", "a"]) is None
+
+
+def test_sketch_join_equals_plain_join(spark):
+    rows = spark.range(3000).select("id", F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 50).cast("int").alias("k"))
+    side = spark.range(40).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("x"))
+    heavy = skew.heavy_keys(rows, ["k"], 100).collect()
+    assert len(heavy) == 1 and heavy[0]["_copies"] >= 15
+    assert skew.heavy_keys(rows.filter("false"), ["k"], 1).collect() == []
+    for how in ("left", "inner"):
+        plain = sorted(map(tuple, rows.join(side, ["k"], how).select("id", "k", "x").collect()), key=str)
+        split = skew.sketch_join(rows, side, ["k"], ["id"], how, hot_rows=100).select("id", "k", "x").collect()
+        assert sorted(map(tuple, split), key=str) == plain
+    counted = side.join(rows.groupBy("k").agg(F.count("*").alias("n")), "k")
+    plain = sorted(map(tuple, rows.join(side, ["k"]).select("id", "k", "x").collect()))
+    assert sorted(map(tuple, skew.counted_join(rows, counted, ["k"], ["id"], 100).select("id", "k", "x").collect())) == plain
+
+
+def test_the_list_of_heavy_keys_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MOST_HOT", 8)
+    rows = spark.range(4000).select((F.col("id") % 20).alias("k"))
+    assert skew.heavy_keys(rows, ["k"], 1).count() <= 8

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.adapters import SETTINGS, exports, view
 from checks.queries import queries
 from evergreen.functions.text import with_keys
-from evergreen.operators import ranking
+from evergreen.operators import lookup, ranking
 from evergreen.plans import links as links_plan
 from evergreen.plans import reports
 from evergreen.sources.chart import chart_aggregate, chart_rows
@@ -44,10 +44,19 @@ def test_chart_scan_is_pruned_and_folded_before_the_shuffle(spark):
     assert "HashAggregate" in text.split("Exchange hashpartitioning(title")[1]
 
 
-def test_first_credit_is_folded_by_hashes_before_the_first_shuffle(spark):
+def test_the_first_row_is_found_by_hashes_before_the_first_shuffle(spark):
     text = plan(queries()["first_per_key"](spark, SF))
-    below = text.split("Exchange hashpartitioning(title")[1].split("Exchange")[0]
-    assert "HashAggregate" in below and "SortAggregate" not in below
+    hashed = re.findall(r"Exchange hashpartitioning\(_keys[^\n]*\n[^\n]*", text)
+    assert any("HashAggregate(keys=[_keys" in h for h in hashed)
+    # Whole rows are folded one by one only behind the join that brings them back.
+    assert "Join" in text.split("SortAggregate")[-1]
+
+
+def test_hot_keys_of_lookups_are_found_without_a_shuffle(spark):
+    left = spark.range(1000).select(F.col("id").alias("ord"), (F.col("id") % 7).alias("k"))
+    right = spark.range(7).select(F.col("id").alias("k"), F.lit(1).alias("x"))
+    text = plan(lookup.validated_left_join(left, right, ["k"], ["ord"]))
+    assert "approx_top_k" in text and "Exchange hashpartitioning(_hash" not in text
 
 
 def test_filters_above_keys_reach_the_scan(spark):

@@ -279,7 +279,9 @@ def test_dropped_rows_are_counted_by_reason(spark, small):
     sources = Sources(small.chart, {"streams": small.measures["streams"].union(nameless)}, small.playlists)
     scores = spark.createDataFrame([(1, False)], "rank int, floor boolean")
     links = spark.createDataFrame([("u",), (None,)], "spotify_url string")
-    row = run.audit(scores, links, "floor", sources=sources).first()
+    read, seen = run.watched(sources)
+    ranked_songs(read)
+    row = run.audit(scores, links, "floor", seen=seen).first()
     assert (row.songs, row.links_found, row.chart_rows_unread, row.rows_without_name) == (1, 1, 2, 1)
 
 

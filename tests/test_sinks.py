@@ -1,0 +1,126 @@
+"""Published results, resumed runs, and appends to stored tables."""
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.adapters import SETTINGS, exports, sources
+from evergreen.config import Settings
+from evergreen.plans import run, sinks
+from evergreen.streaming import incremental
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_new_version_replaces_the_old_one(spark, tmp_path, fmt):
+    path = str(tmp_path / "result")
+    with pytest.raises(FileNotFoundError):
+        sinks.published(spark, path)
+    rows = [(2, 'b, "x"', 0.5), (1, " a\nb ", None)]
+    df = spark.createDataFrame(rows, "rank int, t string, s double")
+    sinks.publish(df, path, fmt, order="rank")
+    sinks.publish(df.filter("rank = 1"), path, fmt)
+    assert [tuple(r) for r in sinks.published(spark, path).collect()] == rows[1:]
+    assert sorted(map(tuple, sinks.published(spark, path, 1).collect())) == sorted(rows)
+    assert [r["rows"] for r in sinks.versions(spark, path)] == [2, 1] and sinks.is_sound(spark, path)
+
+
+def test_a_failing_write_leaves_the_earlier_result(spark, tmp_path):
+    path = str(tmp_path / "result")
+    sinks.publish(spark.range(5), path)
+    broken = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish(broken, path)
+    assert sinks.published(spark, path).count() == 5 and sinks.is_sound(spark, path)
+    # A version that was written whole but never listed is not in force either.
+    spark.range(7).write.parquet(os.path.join(path, "v-unlisted"))
+    assert sinks.published(spark, path).count() == 5
+
+
+def test_checksums(spark):
+    df = spark.createDataFrame([(1, "a", 0.25), (2, None, None), (2, None, None)], "i int, t string, d double")
+    for check in (sinks.checksum, sinks.portable_checksum):
+        same = check(df.repartition(3)).first()
+        assert check(df.orderBy(F.desc("i"))).first() == same and same["rows"] == 3
+        assert check(df.dropDuplicates()).first() != same
+        assert check(df.withColumn("d", F.lit(0.26))).first()["checksum"] != same["checksum"]
+        assert tuple(check(df.filter("false")).first()) in ((0, "0"), (0, 0))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_a_broken_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "run")
+    read, seen = run.watched(sources(spark, SF))
+    broken = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("driver lost"))
+    with monkeypatch.context() as m:
+        m.setattr(run, "score_songs", broken)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            run.run(read, exports(spark, SF), SETTINGS, folder=folder)
+    assert sorted(os.listdir(folder)) == ["scored-chart", "songs"]
+    assert {n for o in seen for n in o.get} == {"chart_rows_unread", "rows_without_name"}
+    with monkeypatch.context() as m:  # what is there is not made again
+        m.setattr(run, "merged_songs", broken)
+        m.setattr(run, "chart_scored", broken)
+        resumed = run.run(sources(spark, SF), exports(spark, SF), SETTINGS, folder=folder)
+    whole = run.run(sources(spark, SF), exports(spark, SF), SETTINGS)
+    assert set(resumed) == set(whole)
+    for name, table in whole.items():
+        assert sinks.portable_checksum(table).first() == sinks.portable_checksum(resumed[name]).first(), name
+
+
+def test_dropped_rows_are_counted_while_sources_are_read(spark):
+    """Each watched source stands once in the plan that loads it."""
+    from evergreen.plans.scores import Sources
+    from evergreen.sources.measures import floor_table, measure_source
+
+    settings = Settings()
+    raw = spark.createDataFrame([("t", "a", 1, 5), (None, "a", 2, 5)], "title string, artist string, ord int, spotify_streams long")
+    lists = {"playlist_hi": spark.createDataFrame([("t", "a"), ("u", None)], "title string, artists string")}
+    read, seen = run.watched(Sources(None, {"streams": raw}, lists))
+    loads = [measure_source(read.measures["streams"], settings.measure("streams"), settings), floor_table(read.playlists, settings)]
+    for load in loads:
+        assert len(re.findall("CollectMetrics", load._jdf.queryExecution().executedPlan().toString())) == 1
+        load.collect()
+    assert run.dropped_rows(spark, seen).first()["rows_without_name"] == 2
+
+
+def append(spark, path, rows, parts=8):
+    batch = spark.createDataFrame(rows, "week string, title string, v int")
+    incremental.append_unseen(batch, path, ["week", "title"], ["v"], parts)
+
+
+def test_batches_read_only_their_own_folders(spark, tmp_path):
+    path = str(tmp_path / "store")
+    weeks = [f"2001-01-{d:02d}" for d in range(1, 29)]
+    append(spark, path, [(w, t, 1) for w in weeks for t in "ab"] + [(None, "n", 1)])
+    batch = spark.createDataFrame([(weeks[3], "a", 9), (weeks[3], "c", 9)], "week string, title string, v int")
+    fresh = incremental.unstored(batch, path, ["week", "title"], 8)
+    text = fresh._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_part[^\]]*=|PartitionFilters: \[[^\]]*_part[^\]]*IN", text)
+    assert [r["title"] for r in fresh.collect()] == ["c"]
+    part = batch.select(incremental.part_of("week", 8)).first()[0]
+    known = incremental.stored_rows(spark, path, batch, 8).filter(F.col("_part") == part)
+    assert {os.path.basename(os.path.dirname(f)) for f in known.select("_metadata.file_path").distinct().toPandas()["file_path"]} == {f"_part={part}"}
+
+
+def test_a_batch_applied_three_times_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "store")
+    append(spark, path, [("w1", "a", 3), ("w1", "a", 2), (None, "a", 1), ("w2", None, 1)])
+    for _ in range(3):
+        append(spark, path, [("w1", "a", 1), ("w3", "x", 1), (None, "a", 7), ("w2", None, 9)])
+    got = sorted(map(tuple, spark.read.parquet(path).select("week", "title", "v").collect()), key=repr)
+    assert got == sorted([("w1", "a", 2), (None, "a", 1), ("w2", None, 1), ("w3", "x", 1)], key=repr)
+    append(spark, path, [])
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_ingest_into_folders(spark, tmp_path):
+    schema = "week string, title string, v int"
+    src, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    for rows in ([("w1", "a", 1)], [("w1", "a", 2), ("w2", "a", 2)]):
+        spark.createDataFrame(rows, schema).write.mode("append").json(src)
+        incremental.ingest(spark.readStream.schema(schema).json(src), out, ["week", "title"], ck, parts=4).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(out).select("week", "title", "v").collect())) == [("w1", "a", 1), ("w2", "a", 2)]
