@@ -16,8 +16,8 @@ again by a second set of masks over all bits, with the same guarantee, until its
 are small (a part keeps more bits every time, and few free bits leave few fingerprints).
 
 Null, empty and blank texts have fingerprint zero and are linked like any other.
-Repeated rows share a component.  Rows with the same doc_id are one document to
-``keep_one``.  Only the named columns are read.
+Repeated rows share a component.  Rows with one doc_id and different texts are linked each
+by its own text; ``keep_one`` keeps or drops them one by one.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -25,17 +25,19 @@ from __future__ import annotations
 import random
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evergreen.llm.common import map_rows, read
 from evergreen.llm.graph import components
+from evergreen.operators.skew import sketch_join
 from evergreen.session import materialize
 
 BITS, RADIUS = 64, 4
 SHINGLE = 4
 SMALL = 512
 BLOCK = 1 << 16
+HOT = 1 << 12
 
 
 def _signed(bits: int) -> int:
@@ -73,15 +75,21 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed number."""
+    """(doc_id, digest, fp): the text's hash, and the fingerprint as a signed number."""
 
     def make():
-        def work(ids, texts):
-            return [ids, np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)]
+        def work(ids, digests, texts):
+            return [ids, digests, np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)]
 
         return work
 
-    return map_rows(docs.select(F.col("doc_id").cast("long"), "text"), make, [("doc_id", "long"), ("fp", "long")])
+    rows = docs.select(F.col("doc_id").cast("long"), text_digest().alias("digest"), "text")
+    return map_rows(rows, make, [("doc_id", "long"), ("digest", "long"), ("fp", "long")])
+
+
+def text_digest() -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.col("text"), F.col("text").isNull())
 
 
 def _dealt(members: DataFrame, level: int) -> DataFrame:
@@ -166,7 +174,7 @@ def link_components(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp, component_id): the least doc_id that the document's links reach, for every row."""
+    """(doc_id, digest, fp, component_id): the least doc_id that the document's links reach, for every row."""
     rows = materialize(fingerprints(docs), "simhash-fingerprints")
     fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     root = link_components(fps.select("fp"))
@@ -175,13 +183,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     linked = materialize(linked, "simhash-linked")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(linked.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp")
+    named = sketch_join(linked.select("fp", "root"), least, ["root"], ["fp"], "inner", HOT).select("fp", "component_id")
+    return sketch_join(rows, named, ["fp"], ["doc_id", "digest"], "inner", HOT)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of the least document of every component, with all their columns; rows without an id stay."""
-    others = near_duplicates(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(materialize(others, "simhash-others"), "doc_id", "left_anti").select(*docs.columns)
+    others = near_duplicates(docs).filter("doc_id <> component_id").select("doc_id", "digest").distinct()
+    marked = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_text": text_digest()})
+    others = materialize(others.toDF("_doc", "_text"), "simhash-others")
+    return marked.join(others, ["_doc", "_text"], "left_anti").select(*docs.columns)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

@@ -106,3 +106,25 @@ def test_near_duplicates_of_documents(spark):
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0 and simhash.keep_one(docs).count() == 0
+
+
+def test_repeated_ids_keep_one_row_of_each_text(spark):
+    """Rows of one id with different texts go or stay one by one: no text is lost."""
+    a, b = "the quick brown fox jumps over it", "an entirely different text about some other thing"
+    docs = spark.createDataFrame([(7, a), (7, b), (9, a), (3, b), (None, a), (5, None), (4, "")], "doc_id long, text string")
+    kept = sorted(map(tuple, simhash.keep_one(docs).collect()), key=repr)
+    assert kept == sorted([(7, a), (3, b), (None, a), (4, "")], key=repr)
+
+
+def test_hot_fingerprints_and_centres_are_split(spark, monkeypatch):
+    from evergreen.llm import graph
+
+    monkeypatch.setattr(simhash, "HOT", 3)
+    monkeypatch.setattr(graph, "HOT", 3)
+    star = [(0, i) for i in range(1, 200)] + [(i, i + 500) for i in range(1, 40)]
+    links = spark.createDataFrame(star, "a long, b long")
+    assert {r.root for r in components(links).collect()} == {0}
+    text = "one two three four five six"
+    docs = spark.createDataFrame([(i, text if i % 3 else None) for i in range(60)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert got == {i: 1 if i % 3 else 0 for i in range(60)}
