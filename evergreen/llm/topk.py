@@ -14,9 +14,11 @@ The centroids come from a bounded sample and only decide the layout, never the r
 
 Components x become floor(256 x); vectors that are null or hold null, NaN or infinite
 components take no part, as queries or candidates.  Vectors of different length are not
-compared, and scores must fit 64 bits.  A query's own id is never its candidate, repeated rows with that id included;
-other repeated rows are candidates one by one.  Sums that could leave the exact range
-of doubles are taken in whole numbers of any size.  Only the named columns are read.
+compared.  A query's own id is never its candidate, repeated rows with that id included;
+other repeated rows are candidates one by one, and repeated query rows are queries one by
+one, each with its own ranks.  Sums that could leave the exact range of doubles are taken in
+whole numbers of any size; components and scores beyond 64 bits count as the nearest number
+of 64 bits.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -110,6 +112,10 @@ def lay_out(vectors: DataFrame, centroids: dict[int, np.ndarray], rows: int) ->
     return packed.withColumn("part", F.spark_partition_id())
 
 
+def within_64_bits(x: np.ndarray) -> np.ndarray:
+    return np.minimum(np.maximum(x, -(1 << 63)), (1 << 63) - 1) if x.dtype == object else x
+
+
 def best_of(query: tuple[int, np.ndarray], order, bounds, blocks, k: int) -> list[tuple[int, int]]:
     """(score, id) of the k best rows, best first; stops where bounds fall below the k-th score."""
     own, q = query
@@ -118,7 +124,7 @@ def best_of(query: tuple[int, np.ndarray], order, bounds, blocks, k: int) -> lis
         if len(top) == k and bounds[b] < top[-1][0]:
             break
         ids, data = blocks[b]
-        scores = data @ q
+        scores = within_64_bits(data @ q)
         wanted = ids != own
         if len(top) == k:
             wanted &= scores >= top[-1][0]
@@ -134,7 +140,7 @@ def search(table: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     vectors = materialize(whole_vectors(table), "topk-vectors")
     n = vectors.count()
     index = materialize(lay_out(vectors, fit_centroids(vectors), n), "topk-blocks")
-    queries = vectors.filter(is_query)
+    queries = materialize(vectors.filter(is_query).withColumn("q", F.monotonically_increasing_id()), "topk-queries")
     groups = max(1, -(-queries.count() // QUERY_ROWS))
     parts = max(1, -(-n // GROUP_ROWS))
     asked = queries.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")).withColumn(
@@ -145,7 +151,7 @@ def search(table: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     def cell(left, right):
         import pandas as pd
 
-        found = {"query_id": [], "vec_id": [], "score": []}
+        found = {"query_id": [], "q": [], "vec_id": [], "score": []}
         for size in set(right["size"]) & set(left["v"].map(len)):
             some = right[right["size"] == size]
             blocks = [
@@ -154,7 +160,7 @@ def search(table: DataFrame, is_query: Column, k: int = K) -> DataFrame:
             ]
             high, low = (np.array([np.frombuffer(x, dtype="i8") for x in some[c]]) for c in ("high", "low"))
             own = left[left["v"].map(len) == size]
-            ids = own["vec_id"].tolist()
+            ids, numbers = own["vec_id"].tolist(), own["q"].tolist()
             q = np.array(own["v"].tolist(), dtype="i8").reshape(len(own), size)
             largest = lambda x: float(np.abs(x.astype("f8")).max()) if x.size else 0.0
             exact = largest(q) * max(largest(high), largest(low)) * size < EXACT
@@ -162,11 +168,12 @@ def search(table: DataFrame, is_query: Column, k: int = K) -> DataFrame:
             q, high, low = q.astype(kind), high.astype(kind), low.astype(kind)
             blocks = [(i, d.astype(kind)) for i, d in blocks]
             zero = np.zeros_like(q)
-            bounds = np.maximum(q, zero) @ high.T + np.minimum(q, zero) @ low.T
+            bounds = within_64_bits(np.maximum(q, zero) @ high.T + np.minimum(q, zero) @ low.T)
             for j, query_id in enumerate(ids):
                 order = np.argsort(-bounds[j], kind="stable")
                 for score, vec_id in best_of((query_id, q[j]), order, bounds[j], blocks, k):
                     found["query_id"].append(query_id)
+                    found["q"].append(numbers[j])
                     found["vec_id"].append(vec_id)
                     found["score"].append(score)
         return pd.DataFrame(found).astype("int64")
@@ -174,9 +181,9 @@ def search(table: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     best = (
         asked.groupBy("g", "part")
         .cogroup(offered.groupBy("g", "part"))
-        .applyInPandas(cell, "query_id long, vec_id long, score long")
+        .applyInPandas(cell, "query_id long, q long, vec_id long, score long")
     )
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

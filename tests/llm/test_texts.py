@@ -240,6 +240,20 @@ def test_topk(spark, vectors, monkeypatch):
     assert topk.search(table.filter("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_topk_of_very_large_components_and_repeated_queries(spark):
+    def best(rows, k=5):
+        table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        return sorted(tuple(r) for r in topk.search(table, F.col("vec_id") % 50 == 0, k).collect())
+
+    top = (1 << 63) - 1
+    for large in ([1e12, 1e12], [1e300, 1.0]):
+        got = best([(0, large), (1, large), (2, large), (3, [-x for x in large]), (4, [0.0, 0.0])])
+        assert got == [(0, 1, 1, top), (0, 2, 2, top), (0, 3, 4, 0), (0, 4, 3, -(1 << 63))]
+    got = best([(50, [1 / 256]), (50, [1 / 256])] + [(i, [i / 256]) for i in range(1, 12)])
+    want = [(50, r, v, v) for r, v in enumerate([11, 10, 9, 8, 7], 1)]
+    assert got == sorted(want * 2)
+
+
 def test_topk_beyond_exact_doubles(spark):
     rows = [(0, [7.0e12, 1.0]), (1, [6.0e12, 1.0]), (2, [6.0e12, 2.0]), (3, [6.0e12, 0.0])]
     table = spark.createDataFrame([(i, [x[0] / 1e6, x[1]]) for i, x in rows], "vec_id long, embedding array<double>")
