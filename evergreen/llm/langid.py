@@ -23,11 +23,15 @@ from pyspark.sql import functions as F
 from evergreen.llm.common import bounded_sample, in_fold, map_rows, read, small_table
 
 WIDTH = 4096
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")  # also finds signs such as superscripts, which are numbers
 BLANK = np.array([c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256)], dtype=np.uint32)
 KINDS = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def counts(text: str) -> np.ndarray:
     """Hashed counts of one-, two- and three-byte runs."""
     raw = BLANK[np.frombuffer(f" {text.lower()} ".encode("utf-8", "replace"), dtype=np.uint8)]
@@ -153,7 +157,7 @@ def predict(docs: DataFrame, model: Centroids, sharpness: float = 25.0) -> DataF
         n = len(model.languages)
 
         def one(text):
-            if text is None or not n or not LETTER.search(text):
+            if text is None or not n or not has_letter(text):
                 return "und", 0.0, True
             cosines = model.points @ vector(text, model.idf)
             k = int(np.argmax(cosines))

@@ -269,3 +269,10 @@ def test_brown_without_training(spark, odd):
     assert len(got) == len(ODD)
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 for r in got)
     assert brown.score_corpus(odd.filter("false"), F.lit(False)).count() == 0
+
+
+def test_numbers_are_no_letters():
+    for text in ("²", "½ Ⅷ", "12 ³_!", ""):
+        assert not langid.has_letter(text)
+    for text in ("² a", "é", "日", "ª"):
+        assert langid.has_letter(text)
