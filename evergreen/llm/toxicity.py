@@ -2,9 +2,10 @@
 
 Texts are folded first (case, compatibility forms, accents, look-alike letters,
 digits and signs that stand for letters), so that disguised spellings meet the
-lexicon's plain ones.  The lexicon holds beginnings of words with their log odds
-between marked and unmarked documents; all of them are found in one pass by an
-Aho-Corasick automaton.  Phrases in which a lexicon entry turned out harmless are
+lexicon's plain ones.  The lexicon holds whole words with their log odds between marked
+and unmarked documents, and stems where all words that a stem covers agree; an entry must
+tell in both halves of the sample.  All are found in one pass by an Aho-Corasick automaton,
+which takes i for l and l for i where a sign may have stood for either.  Phrases in which a lexicon entry turned out harmless are
 exceptions: a hit inside such a phrase counts nothing.  The sum of the weights is
 divided by the text's length and turned into a probability.
 
@@ -15,10 +16,12 @@ every score is 0.  Only the named columns are read, so others may have any name.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import unicodedata
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -38,37 +41,58 @@ STAND_INS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b
 
 LETTERS = str.maketrans(LOOK_ALIKES | {chr(c): None for c in (*range(0x300, 0x370), 0xAD, *range(0x200B, 0x2010))})
 SIGNS = str.maketrans(STAND_INS)
-#: A run with a stand-in that starts with a letter, digit or sign and ends with a letter.
-DISGUISED = re.compile(r"[a-z0-9@$][a-z0-9@$!|]*[a-z]")
-HAS_SIGN = re.compile(r"[0134578@$!|][a-z]")
+#: A run with a sign in it, from its beginning; signs that end a sentence may follow.
+DISGUISED = re.compile(r"(?<![a-z0-9@$!|])[a-z]*[0-9@$!|][a-z0-9@$!|]*")
+#: Inside a run of two, what starts with a letter, digit or sign and ends with a letter.
+SHORT = re.compile(r"[a-z0-9@$][a-z0-9@$!|]*[a-z]")
+HAS_SIGN = re.compile(r"[0134578@$!|][a-z]|[a-z][0134578@$!|]")
 BLANKS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
 
-SHORTEST, LONGEST = 4, 8
+SHORTEST = 5  # letters of a stem
+MOST_SWAPS = 6  # letters i and l of an entry whose other spellings are looked for
 SMOOTHING_WORDS = 20
 CUT = 0.7
 
 
+def _letters(m: re.Match) -> str:
+    """A run without its signs: all of them stand for letters, but for marks at the end of a plain word."""
+    run = m[0].rstrip("!|")
+    tail = m[0][len(run) :]
+    if len(run) > 2 and not run.isdigit() and any("a" <= c <= "z" for c in run):
+        return run.translate(SIGNS) + tail
+    return SHORT.sub(lambda x: x[0].translate(SIGNS), m[0])
+
+
 def fold(text: str) -> str:
     """Words of plain letters, each after exactly one kind of separator: blanks."""
     s = text.lower()
     if not s.isascii():
         s = unicodedata.normalize("NFKD", s).translate(LETTERS)
     if HAS_SIGN.search(s):
-        s = DISGUISED.sub(lambda m: m[0].translate(SIGNS), s)
+        s = DISGUISED.sub(_letters, s)
     return s.encode("utf-8", "replace").translate(BLANKS).decode("utf-8")
 
 
-def entries_of(words: set[str]) -> set[str]:
-    """Candidate entries: whole short words, and the beginnings of longer ones, after a blank."""
+def entries_of(words: set[str]) -> set[tuple[str, str]]:
+    """Candidate entries with the words they are from: whole words, and the beginnings of longer ones."""
     found = set()
     for w in words:
-        if len(w) < SHORTEST:
-            found.add(f" {w} ")
-        for n in range(SHORTEST, min(len(w), LONGEST) + 1):
-            found.add(f" {w[:n]}")
+        found.add((f" {w} ", w))
+        for n in range(SHORTEST, len(w)):
+            found.add((f" {w[:n]}", w))
     return found
 
 
+def spellings(entry: str) -> Iterator[str]:
+    """The entry with every choice of i and l: a sign may have stood for either."""
+    at = [k for k, c in enumerate(entry) if c in "il"][:MOST_SWAPS]
+    for letters in itertools.product("il", repeat=len(at)):
+        other = list(entry)
+        for k, c in zip(at, letters):
+            other[k] = c
+        yield "".join(other)
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float] = field(default_factory=dict)
@@ -82,7 +106,9 @@ def automaton(entries: dict[str, float]):
 
     found = ahocorasick.Automaton()
     for e, w in entries.items():
-        found.add_word(e, (e, w))
+        for other in spellings(e):
+            if other == e or other not in entries:
+                found.add_word(other, (e, w))
     found.make_automaton()
     return found
 
@@ -126,11 +152,11 @@ def _sketch(words: list[str]) -> list[str]:
     return [f"{least[i]} {least[i + 1]}" for i in (0, 2, 4)]
 
 
-def fit(rows: DataFrame, bound: int = 5000, most_entries: int = 3000, label: str = "toxic") -> Lexicon:
+def fit(rows: DataFrame, bound: int = 5000, label: str = "toxic") -> Lexicon:
     """Learn entries, exceptions and the length-normalised scale from (doc_id, text, label 0/1).
 
-    ``bound`` rows per class are used, one of each group of near copies among
-    them; at most ``most_entries`` entries are kept, the most telling first.
+    ``bound`` rows per class are used, one of each group of near copies among them; so the
+    lexicon is bounded by what those rows hold.
     """
     rows = rows.select("doc_id", "text", F.col(label).alias("y")).filter("y IN (0, 1)")
 
@@ -156,36 +182,49 @@ def fit(rows: DataFrame, bound: int = 5000, most_entries: int = 3000, label: str
         return Lexicon()
 
     def count():
-        def work(words, ys):
-            seen: dict[str, list[int]] = {}
-            for w, y in zip(words, ys):
+        def work(ids, words, ys):
+            seen: dict[tuple[str, str], list[int]] = {}
+            for i, w, y in zip(ids, words, ys):
+                half = zlib.crc32(str(i).encode()) & 1
                 for e in entries_of(set(w.split())):
-                    seen.setdefault(e, [0, 0])[y] += 1
-            return [list(seen), [v[1] for v in seen.values()], [v[0] for v in seen.values()]]
+                    seen.setdefault(e, [0, 0, 0, 0])[2 * y + half] += 1
+            return [[e for e, _ in seen], [w for _, w in seen], *([v[k] for v in seen.values()] for k in range(4))]
 
         return work
 
-    counts = (
-        map_rows(sample.select("words", "y"), count, [("entry", "string"), ("t", "long"), ("c", "long")])
-        .groupBy("entry")
-        .agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    names = ["c0", "c1", "t0", "t1"]
+    fields = [("entry", "string"), ("word", "string"), *((n, "long") for n in names)]
+    by_word = map_rows(sample.select("doc_id", "words", "y"), count, fields).groupBy("entry", "word")
+    by_word = by_word.agg(*[F.sum(n).alias(n) for n in names]).withColumns(
+        {"t": F.col("t0") + F.col("t1"), "c": F.col("c0") + F.col("c1")}
+    )
+    odds = lambda t, c: F.log((t + 0.5) / (marked + 1)) - F.log((c + 0.5) / (plain + 1))
+    agrees = odds(F.col("t"), F.col("c")) > math.log(2)
+    counts = by_word.groupBy("entry").agg(
+        *[F.sum(n).alias(n) for n in (*names, "t", "c")],
+        F.count(F.lit(1)).alias("covered"),
+        F.bool_and(agrees).alias("agree"),
+        F.count_if(F.col("t") > 1).alias("often"),
     )
     # Log-likelihood ratio of the entry's counts against one common rate.
     share = (F.col("t") + F.col("c")) / (marked + plain)
     part = lambda n, size: F.when(n > 0, n * F.log(n / (size * share))).otherwise(0.0)
+    is_word = F.col("entry").endswith(" ")
     telling = (
-        counts.filter(F.col("t") >= max(2, math.ceil(0.002 * marked)))
-        .withColumn("weight", F.log((F.col("t") + 0.5) / (marked + 1)) - F.log((F.col("c") + 0.5) / (plain + 1)))
-        .filter(F.col("weight") > math.log(8))
+        counts.filter(is_word | (F.col("agree") & (F.col("often") > 1)))
+        .filter((F.col("t0") > 1) & (F.col("t1") > 1) & (F.col("t") >= 0.002 * marked))
+        .withColumn("weight", odds(F.col("t"), F.col("c")))
+        # Each half for itself must speak for the entry.
+        .filter((F.col("weight") > math.log(8)) & (F.col("t0") > 2 * F.col("c0")) & (F.col("t1") > 2 * F.col("c1")))
         .withColumn("gain", 2 * (part(F.col("t"), marked) + part(F.col("c"), plain)))
+        .filter("gain >= 12")
         .orderBy(F.desc("gain"), F.length("entry"), "entry")
-        .limit(2 * most_entries)
     )
     weights: dict[str, float] = {}
     best_gain = None
     for r in telling.collect():
         best_gain = best_gain or r["gain"]
-        if r["gain"] < max(12.0, min(24.0, 0.3 * best_gain)) or len(weights) >= most_entries:
+        if r["gain"] < min(24.0, 0.3 * best_gain):
             break
         e = r["entry"]
         if not any(e.startswith(x) or x.startswith(e) for x in weights):
@@ -208,9 +247,7 @@ def fit(rows: DataFrame, bound: int = 5000, most_entries: int = 3000, label: str
         map_rows(sample.select("words", "y"), phrases, [("phrase", "string"), ("t", "long"), ("c", "long")])
         .groupBy("phrase")
         .agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-        .filter((F.col("c") >= 3) & (F.col("c") * marked > 8 * (F.col("t") + 1) * plain))
-        .orderBy(F.desc("c"), "phrase")
-        .limit(most_entries)
+        .filter((F.col("c") >= 2) & (F.col("c") * marked > 4 * (F.col("t") + 0.25) * plain))
     )
     exceptions = frozenset(r["phrase"] for r in harmless.collect())
 

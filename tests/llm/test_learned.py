@@ -276,3 +276,59 @@ def test_numbers_are_no_letters():
         assert not langid.has_letter(text)
     for text in ("² a", "é", "日", "ª"):
         assert langid.has_letter(text)
+
+
+CLEAN_SENTENCES = [
+    "the vilkings sailed along the coast and rested there",
+    "a wilkor of an old sort was found by the river",
+    "evilkor is the name of a town that nobody has heard of",
+    "vil and kor are two words that stand alone",
+]
+
+
+def test_toxicity_words_are_whole(spark, corpus):
+    """Words that only begin like an entry, or hold one, are clean; a stem holds where all its words agree."""
+    rows = frame(spark, corpus)
+    lexicon = toxicity.fit(rows, bound=1000)
+    one = toxicity.scorer(lexicon)
+    assert one("bado rilo vilkor mena")[0] > 0.7
+    for sentence in CLEAN_SENTENCES[1:]:
+        assert one(sentence)[0] < 0.7, sentence
+    beginnings = [e for e in lexicon.weights if not e.endswith(" ")]
+    assert all(len(e) > toxicity.SHORTEST for e in beginnings)
+    single = [(i, make(random.Random(i), "aa", 30) + (" pathetic now" if i % 2 else ""), i % 2) for i in range(300)]
+    lexicon = toxicity.fit(spark.createDataFrame(single, "doc_id long, text string, toxic int"))
+    assert " pathetic " in lexicon.weights
+    assert toxicity.scorer(lexicon)("we followed the path down to the river and rested there")[0] < 0.7
+
+
+def test_toxicity_disguises_of_whole_words():
+    cases = {"1d107": "idiot", "a55": "ass", "!diot": "idiot", "1diot!": "idiot", "$tup1d": "stupid", "idiot!!": "idiot", "2024": "", "a1": "a", "x|y": "xly"}
+    for text, want in cases.items():
+        assert toxicity.fold(text).split() == want.split(), text
+    lexicon = toxicity.Lexicon({" clown ": 5.0, " loser ": 5.0, " idiot ": 5.0}, frozenset(), 4.0, -3.0)
+    one = toxicity.scorer(lexicon)
+    for text in ("c1own", "1oser", "|oser", "c|own", "1d1ot", "|d|0t"):
+        assert one(text)[0] > 0.7, text
+    for text in ("cown", "lo ser", "idol", "clowns"):
+        assert one(text)[0] < 0.7, text
+
+
+def test_toxicity_score_matches_plain_code():
+    """Hits, exceptions and the normalisation, written out word by word."""
+    lexicon = toxicity.Lexicon({" bad ": 3.0, " ugly": 2.0, " big ": 4.0}, frozenset({"bad weather", "very big"}), 2.0, -3.0)
+    one = toxicity.scorer(lexicon)
+    rng = random.Random(4)
+    vocabulary = ["bad", "weather", "ugly", "uglier", "very", "big", "bib", "x", "b4d", "BIG", "bad.", "ok"]
+    for _ in range(200):
+        text = " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 12)))
+        words = [{"b4d": "bad", "bad.": "bad"}.get(w, w.lower()) for w in text.split()]
+        total = hits = 0
+        for i, w in enumerate(words):
+            weight = {"bad": 3.0, "big": 4.0}.get(w, 2.0 if w.startswith("ugly") else 0)
+            before, after = " ".join(words[max(0, i - 1) : i + 1]), " ".join(words[i : i + 2])
+            if weight and not {before, after} & lexicon.exceptions:
+                total, hits = total + weight, hits + 1
+        z = 2.0 * np.log1p(100 * total / (len(words) + 20)) - 3.0
+        got = one(text)
+        assert abs(got[0] - 1 / (1 + np.exp(-z))) < 1e-12 and got[1:] == (len(words), hits)
