@@ -13,9 +13,11 @@ to where the likelihood gains most, the classes held fixed meanwhile; class tota
 summed anew after it.  Only words unseen in training have the class of their last three
 bytes.  Inside a class a word's probability is its add-one share, with one share for the
 unseen.  Counts cover the whole training corpus: the vocabulary is counted, and looked up
-for scoring, in shuffles keyed by the word.  Only words below a fixed rank are looked up so
-(each is then a small share of all tokens); counts and classes of the more frequent ones,
-whose number is bounded, are sent to every task.
+for scoring, in shuffles keyed by the word.  Texts are taken apart twice: for the vocabulary,
+and to write every row as 16-bit codes of its common words beside its rare ones, which all
+later passes read.  Only words below a fixed rank are looked up in shuffles (each is then a
+small share of all tokens); counts and classes of the more frequent ones, whose number is
+bounded, are sent to every task.
 
 Null and empty texts consist of the end token alone.  Without training rows the counts
 are zero: N and V are 0 and every token has probability 1 / 1.  Repeated rows count and
@@ -29,20 +31,24 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evergreen.llm.common import gather_rows, in_fold, map_rows, read
+from evergreen.llm.common import bounded_batches, gather_rows, in_fold, map_rows, read
 from evergreen.session import materialize
 
 END = b""
-COMMON = 65_536  # words that every task knows
+MARK = 65_535  # the code of all words that are not common
+COMMON = MARK - 1  # words that every task knows, the end token aside
 UNITS = 1024  # words whose classes are exchanged one by one, as seeds for the others
 SUFFIXES = 1023  # suffix units; one more for all other suffixes
 CLASSES = 64
-HELD = 100_000  # distinct words that a task counts before it hands them on
+HELD = 300_000  # distinct words that a task counts before it hands them on
+HELD_CELLS = 2_000_000  # and distinct cells of their contexts
 CELLS = 2 * CLASSES + 1  # a word's counts: classes before it, classes after it, itself after itself
-RARE = 128  # marks the class byte of a word that is looked up in the shuffle
+TABLED = 8  # counts up to which gains are looked up
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -148,48 +154,82 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = 12) -> np.
     return owner
 
 
-def best_classes(cells: list[np.ndarray], counts: list[np.ndarray], before: np.ndarray, rows: np.ndarray) -> np.ndarray:
+def times_log(v):
+    return np.where(v > 0, v * np.log(np.maximum(v, 1e-300)), 0.0)
+
+
+class Gains:
+    """What adding a count to a class bigram or a class total gains: tables for small counts, logarithms for others."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows, self.classes = rows, len(rows)
+        small = np.arange(TABLED + 1)[:, None, None]
+        self.tables = {}
+        for name, table in (("after", rows.T), ("before", rows), ("left", rows.sum(1)[None]), ("right", rows.sum(0)[None])):
+            self.tables[name] = table, times_log(table + small) - times_log(table)
+
+    def add(self, name: str, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Gains of every class, by table row and count."""
+        table, tabled = self.tables[name]
+        out = tabled[np.minimum(n, TABLED).astype(int), at]
+        large = np.flatnonzero(n > TABLED)
+        if len(large):
+            base = table[at[large]]
+            out[large] = times_log(base + n[large, None]) - times_log(base)
+        return out
+
+
+def best_moves(at: np.ndarray, cell: np.ndarray, n: np.ndarray, before: np.ndarray, gains: Gains) -> np.ndarray:
     """Class of every word by the gain of ``exchange``, from its counts and its class so far, given the class bigrams.
 
-    Only terms with a count of the word change, so the work goes with the counted cells.
+    Word ``at[i]`` has the count ``n[i]`` in ``cell[i]``; ``at`` ascends.  Only terms with a
+    count of the word change, so the work goes with the counted cells.
     Words move at once, so an empty class, which would take words of every kind, takes none.
     """
-    classes = len(rows)
-    words = len(cells)
-    f = lambda v: np.where(v > 0, v * np.log(np.maximum(v, 1e-300)), 0.0)
-    at = np.repeat(np.arange(words), [len(c) for c in cells])
-    cell, n = np.concatenate(cells), np.concatenate(counts).astype(float)
+    rows, classes, words, a = gains.rows, gains.classes, len(before), before
     dense = np.zeros((words, 2 * classes + 1))
     dense[at, cell] = n
     in_from, out_to, own = dense[:, :classes], dense[:, classes : 2 * classes], dense[:, -1]
-    each, a = np.arange(words), before
+    each = np.arange(words)
     gain = np.zeros((words, classes))
-    for table, first, other in ((rows, classes, in_from), (rows.T, 0, out_to)):
+    for name, first, other in (("after", classes, in_from), ("before", 0, out_to)):
         some = np.flatnonzero((cell >= first) & (cell < first + classes))
         if not len(some):
             continue
         w, h, k = at[some], cell[some] - first, n[some]
-        # Bigrams of every class with class h, the word taken out of its own class.
-        left = table[:, h].T.copy()
-        left[np.arange(len(some)), a[w]] -= k
-        same = h == a[w]
-        left[same] -= other[w[same]]
-        part = f(left + k[:, None]) - f(left)
-        part[np.arange(len(some)), h] = 0.0  # the diagonal follows
+        part = gains.add(name, h, k)
+        # The word is taken out of its own class first.
+        i, mine = np.arange(len(some)), a[w]
+        table = gains.tables[name][0]
+        left = table[h, mine] - k
+        part[i, mine] = times_log(left + k) - times_log(left)
+        same = np.flatnonzero(h == mine)
+        left = table[h[same]] - other[w[same]]
+        part[same] = times_log(left + k[same, None]) - times_log(left)
+        part[i, h] = 0.0  # the diagonal follows
         starts = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
         gain[w[starts]] += np.add.reduceat(part, starts)
-    diagonal = np.tile(np.diag(rows), (words, 1))
-    diagonal[each, a] -= out_to[each, a] + in_from[each, a] + own
-    gain += f(diagonal + out_to + in_from + own[:, None]) - f(diagonal)
-    for totals, size in ((rows.sum(1), out_to.sum(1) + own), (rows.sum(0), in_from.sum(1) + own)):
-        without = np.tile(totals, (words, 1))
-        without[each, a] -= size
-        gain -= f(without + size[:, None]) - f(without)
+    own_bigrams = in_from + out_to + own[:, None]
+    w, h = np.nonzero(own_bigrams)
+    k = own_bigrams[w, h]
+    left = rows[h, h] - np.where(h == a[w], k, 0.0)
+    gain[w, h] += times_log(left + k) - times_log(left)
+    for name, size in (("left", out_to.sum(1) + own), ("right", in_from.sum(1) + own)):
+        totals = gains.tables[name][0][0]
+        part = gains.add(name, np.zeros(words, dtype=int), size)
+        part[each, a] = times_log(totals[a]) - times_log(totals[a] - size)
+        gain -= part
     gain[:, rows.sum(0) + rows.sum(1) == 0] = -np.inf
     best = gain.argmax(1)
     return np.where(gain[each, best] <= gain[each, a] + 1e-9, a, best)
 
 
+def best_classes(cells: list[np.ndarray], counts: list[np.ndarray], before: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``best_moves`` for cells and counts by word."""
+    at = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
+    return best_moves(at, np.concatenate(cells), np.concatenate(counts).astype(float), before, Gains(rows))
+
+
 @dataclass
 class Seeds:
     """Classes of the most frequent words and of the suffix units."""
@@ -214,27 +254,57 @@ class BrownModel(Seeds):
     inside: np.ndarray  # divisors by unit
 
 
-class Numbers(dict):
-    """Words numbered as they come, and their units."""
+class Codes(dict):
+    """Codes of the common words; all others have the mark."""
+
+    def __missing__(self, word: bytes) -> int:
+        return MARK
+
+
+def coded(docs: DataFrame, common: dict[bytes, int]) -> DataFrame:
+    """(row, doc_id, held_out, train, codes, places, rare): every row's words as codes, written once.
+
+    ``rare`` are a row's distinct words that are not common, ``places`` says which of them
+    stands at each mark among the codes.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(list(common))
 
-    def __init__(self, seeds: Seeds):
-        self.seeds, self.units = seeds, []
+    def make():
+        code = Codes(zip(sent.value, range(MARK))).__getitem__
+
+        def one(text):
+            words = tokens(text)
+            codes = np.fromiter(map(code, words), np.uint16, len(words))
+            at: dict[bytes, int] = {}
+            places = [at.setdefault(words[i], len(at)) for i in np.flatnonzero(codes == MARK).tolist()]
+            return codes.tobytes(), np.array(places, dtype=np.int32).tobytes(), list(at)
+
+        def work(ids, texts, held, train):
+            rows = [one(t) for t in texts]
+            return [ids, held, train, *([r[i] for r in rows] for i in range(3))]
+
+        return work
+
+    fields = [
+        ("doc_id", "long"), ("held_out", "boolean"), ("train", "boolean"),
+        ("codes", "binary"), ("places", "binary"), ("rare", "array<binary>"),
+    ]
+    rows = map_rows(docs.select(F.col("doc_id").cast("long"), "text", "held_out", "train"), make, fields)
+    # The row number is fixed by writing it: a task that is run again later reads the same one.
+    return materialize(rows.withColumn("row", F.monotonically_increasing_id()), "brown-rows")
 
-    def __missing__(self, token: bytes) -> int:
-        self[token] = number = len(self)
-        self.units.append(self.seeds.unit(token))
-        return number
 
-    def of(self, texts: list) -> np.ndarray:
-        """Numbers of the words of texts in a row, from the end token before the first."""
-        found = [self[END]]
-        for t in texts:
-            found.extend(map(self.__getitem__, tokens(t)))
-        return np.array(found, dtype=np.int64)
+def batch_words(codes: list[bytes], places: list[bytes], rare: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Codes of a batch's rows in a row, which of the rare words stands at each mark, and these words."""
+    at = np.frombuffer(b"".join(places), dtype=np.int32).astype(np.int64)
+    sizes = [len(p) // 4 for p in places]
+    starts = np.cumsum([0, *map(len, rare)])[:-1]
+    names = [w for r in rare for w in r]
+    return np.frombuffer(b"".join(codes), dtype=np.uint16).astype(np.int64), at + np.repeat(starts, sizes), names
 
 
-def seed_classes(docs: DataFrame, known: DataFrame, common: dict[bytes, int]) -> tuple[Seeds, np.ndarray]:
-    """Seeds from (text, train) rows and the training vocabulary, and the class bigrams."""
+def seed_classes(rows: DataFrame, known: DataFrame, common: dict[bytes, int]) -> tuple[Seeds, np.ndarray]:
+    """Seeds from coded rows and the training vocabulary, and the class bigrams."""
     ranked = sorted((w for w in common if common[w]), key=lambda w: (-common[w], w))[:UNITS]
     if END in common and common[END] and END not in ranked:
         ranked[-1] = END
@@ -247,18 +317,20 @@ def seed_classes(docs: DataFrame, known: DataFrame, common: dict[bytes, int]) ->
     other = len(ranked) + len(suffix_of)
     units = other + 1
     seeds = Seeds(unit_of, suffix_of, other, np.zeros(units, dtype=int))
+    unit_by_code = np.array([seeds.unit(w) for w in common], dtype=np.int64)
+    end = seeds.unit(END)
+    sent = rows.sparkSession.sparkContext.broadcast((seeds, np.append(unit_by_code, np.zeros(MARK + 1 - len(common), dtype=np.int64))))
 
     def make():
-        numbers = Numbers(seeds)
+        seeds, by_code = sent.value
         found = np.zeros(units * units, dtype=np.int64)
 
-        def add(texts):
-            u = numbers.of(texts)
-            u = np.array(numbers.units, dtype=np.int64)[u]
-            found[:] += np.bincount(u[:-1] * units + u[1:], minlength=units * units)
-            if len(numbers) > HELD:
-                numbers.clear()
-                numbers.units.clear()
+        def add(codes, places, rare):
+            k, at, names = batch_words(codes, places, rare)
+            u = by_code[k]
+            u[k == MARK] = np.array([seeds.unit(w) for w in names], dtype=np.int64)[at]
+            u = np.r_[end, u]
+            np.add.at(found, u[:-1] * units + u[1:], 1)
             return False
 
         def take():
@@ -267,7 +339,7 @@ def seed_classes(docs: DataFrame, known: DataFrame, common: dict[bytes, int]) ->
 
         return add, take
 
-    cells = gather_rows(docs.filter("train").select("text"), make, [("cell", "long"), ("n", "long")])
+    cells = gather_rows(rows.filter("train").select("codes", "places", "rare"), make, [("cell", "long"), ("n", "long")])
     pairs = np.zeros(units * units)
     # At most units * units rows, a fixed number.
     for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow().to_batches():
@@ -278,136 +350,142 @@ def seed_classes(docs: DataFrame, known: DataFrame, common: dict[bytes, int]) ->
     return seeds, hot.T @ pairs @ hot
 
 
-def word_classes(docs: DataFrame, seeds: Seeds, rows: np.ndarray, common: dict[bytes, int]) -> DataFrame:
-    """(token, class, n_train, common) of all training words but the seeds, each by its own contexts."""
-    spark = docs.sparkSession
-    sent, shared = spark.sparkContext.broadcast(seeds), spark.sparkContext.broadcast(frozenset(common))
+def word_classes(rows: DataFrame, seeds: Seeds, bigrams: np.ndarray, common: dict[bytes, int]) -> DataFrame:
+    """(token, class, n_train, common) of all training words but the seeds, each by its own contexts.
+
+    Contexts are counted under a word, or for a common one under its code: ``at`` is
+    code * CELLS + cell, below zero for words that are not common.
+    """
+    spark = rows.sparkSession
+    sent = spark.sparkContext.broadcast((seeds, list(common)))
     first = len(seeds.unit_of)
 
     def count():
-        numbers = Numbers(sent.value)
+        seeds, words = sent.value
+        by_code = np.zeros(MARK + 1, dtype=np.int64)
+        by_code[: len(words)] = [seeds.unit(w) for w in words]
+        end, end_unit = words.index(END), seeds.unit(END)
+        numbers: dict[bytes, int] = {}  # after the codes
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
-        def add(texts):
-            w = numbers.of(texts)
-            u = np.array(numbers.units, dtype=np.int64)
-            k, free = sent.value.owner[u][w], (u >= first)[w]
+        def fold():
+            nonlocal size
+            keys, where = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            held[:] = [(keys, np.bincount(where, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64))]
+            size = len(keys)
+
+        def add(codes, places, rare):
+            nonlocal size
+            w, at, names = batch_words(codes, places, rare)
+            u, marked = by_code[w], w == MARK
+            u[marked] = np.array([seeds.unit(x) for x in names], dtype=np.int64)[at]
+            w[marked] = np.array([numbers.setdefault(x, len(numbers)) for x in names], dtype=np.int64)[at] + MARK + 1
+            w, u = np.r_[end, w], np.r_[end_unit, u]
+            k, free = seeds.owner[u], u >= first
             a, b, same = w[:-1], w[1:], w[:-1] == w[1:]
             after, ahead = free[:-1] & ~same, free[1:] & ~same
             keys = [a[after] * CELLS + CLASSES + k[1:][after], b[ahead] * CELLS + k[:-1][ahead]]
             keys.append(a[free[:-1] & same] * CELLS + CELLS - 1)
             held.append(np.unique(np.concatenate(keys), return_counts=True))
-            return len(numbers) > HELD or sum(len(x) for x, _ in held) > 4 * HELD
+            size += len(held[-1][0])
+            if size > 2 * HELD_CELLS:
+                fold()
+            return len(numbers) > HELD or size > HELD_CELLS and len(held) == 1
 
         def take():
+            nonlocal size
             if not held:
                 return [[], [], []]
-            keys, where = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-            n = np.bincount(where, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
-            names = list(numbers)
-            out = [[names[i] for i in (keys // CELLS).tolist()], (keys % CELLS).astype(np.int32), n]
+            fold()
+            (keys, n), = held
+            word, cell = keys // CELLS, keys % CELLS
+            names = pa.array([b"", *numbers], pa.binary())
+            found = names.take(pa.array(np.maximum(word - MARK, 0)))
             held.clear()
             numbers.clear()
-            numbers.units.clear()
-            return out
+            size = 0
+            return [found, np.where(word < MARK, keys, cell - CELLS), n]
 
         return add, take
 
-    def choose():
-        s, often = sent.value, shared.value
-
-        def work(words, cells, counts):
+    gains = Gains(bigrams)
+
+    def choose(batches):
+        seeds, words = sent.value
+        for batch in batches:
+            codes = batch.column("code").to_numpy()
+            names = [words[c] if c >= 0 else t for c, t in zip(codes.tolist(), batch.column("token").to_pylist())]
+            lengths = pc.list_value_length(batch.column("cells")).to_numpy().astype(np.int64)
+            cells = batch.column("cells").flatten().to_numpy().astype(np.int64)
+            counts = batch.column("counts").flatten().to_numpy().astype(float)
+            before = seeds.owner[np.array([seeds.unit(w) for w in names], dtype=np.int64)]
+            ends = np.cumsum(lengths)
             best, sizes = [], []
-            for i in range(0, len(words), 512):
-                c = [np.array(x, dtype=np.int64) for x in cells[i : i + 512]]
-                n = [np.array(x, dtype=np.int64) for x in counts[i : i + 512]]
-                before = s.owner[[s.unit(w) for w in words[i : i + 512]]]
-                best.extend(best_classes(c, n, before, rows))
-                sizes.extend(int(y[x >= CLASSES].sum()) for x, y in zip(c, n))  # a word has a next one each time
-            return [words, best, sizes, [w in often for w in words]]
-
-        return work
-
-    found = gather_rows(docs.filter("train").select("text"), count, [("token", "binary"), ("cell", "int"), ("n", "long")])
-    found = found.groupBy("token", "cell").agg(F.sum("n").alias("n"))
+            for i in range(0, len(names), 2048):
+                n = lengths[i : i + 2048]
+                here = slice(ends[i] - n[0], ends[i + len(n) - 1])
+                at = np.repeat(np.arange(len(n)), n)
+                best.append(best_moves(at, cells[here], counts[here], before[i : i + 2048], gains))
+                nexts = cells[here] >= CLASSES  # a word has a next one each time
+                sizes.append(np.bincount(at[nexts], counts[here][nexts], len(n)).astype(np.int64))
+            if names:
+                columns = [pa.array(names, pa.binary()), np.concatenate(best).astype(np.int32), np.concatenate(sizes), codes >= 0]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "class", "n_train", "common"])
+
+    fields = [("token", "binary"), ("at", "long"), ("n", "long")]
+    found = gather_rows(rows.filter("train").select("codes", "places", "rare"), count, fields)
+    found = found.groupBy("token", "at").agg(F.sum("n").alias("n"))
     # At most CELLS rows a word.
-    found = found.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("c"))
-    found = found.select("token", F.col("c.cell").alias("cells"), F.col("c.n").alias("counts"))
-    fields = [("token", "binary"), ("class", "int"), ("n_train", "long"), ("common", "boolean")]
-    return materialize(map_rows(found, choose, fields), "brown-classes")
+    code, cell = F.floor(F.col("at") / CELLS).alias("code"), F.pmod("at", F.lit(CELLS)).alias("cell")
+    found = found.groupBy("token", code).agg(F.collect_list(F.struct(cell, "n")).alias("c"))
+    found = found.select("token", "code", F.col("c.cell").alias("cells"), F.col("c.n").alias("counts"))
+    chosen = bounded_batches(found).mapInArrow(choose, "token binary, class int, n_train long, common boolean")
+    return materialize(chosen, "brown-classes")
 
 
-def coded(docs: DataFrame, seeds: Seeds, classes: DataFrame, common: dict[bytes, int]) -> DataFrame:
-    """(doc_id, held_out, train, n_tokens, n_known, shares, classes): the class bytes of every row's words.
+def classed(first: DataFrame, seeds: Seeds, classes: DataFrame, common: dict[bytes, int]) -> DataFrame:
+    """(doc_id, held_out, train, n_tokens, n_known, shares, classes): the class bytes of every coded row's words.
 
-    A first pass writes what the common words tell and leaves the rare ones, with a mark
-    and the class that they have if unseen; those meet their classes and counts in one
-    shuffle.  ``shares`` sums log10 of the words' counts plus one.
+    Rare words meet their classes and counts in one shuffle, words unseen in training take
+    the class of their last three bytes.  ``shares`` sums log10 of the words' counts plus one.
     """
     class_of = {bytes(r["token"]): r["class"] for r in classes.filter("common").select("token", "class").collect()}
-    sent = docs.sparkSession.sparkContext.broadcast((seeds, common, class_of))
-
-    def make():
-        seeds, common, class_of = sent.value
-        owner = seeds.owner.tolist()
-
-        class Known(dict):
-            """(class byte, count) by word, as far as it was met."""
-
-            def __missing__(self, w):
-                c = common.get(w)
-                k = class_of.get(w) if w not in seeds.unit_of else None
-                k = owner[seeds.unit(w)] if k is None else k
-                self[w] = value = (k, c) if c is not None else (k | RARE, 0)
-                return value
-
-        known = Known()
+    owner = seeds.owner.astype(np.uint8)
+    class_by_code = np.zeros(MARK + 1, dtype=np.uint8)
+    class_by_code[: len(common)] = [class_of[w] if w in class_of else owner[seeds.unit(w)] for w in common]
+    count_by_code = np.zeros(MARK + 1, dtype=np.int64)
+    count_by_code[: len(common)] = list(common.values())
+    sent = first.sparkSession.sparkContext.broadcast((seeds, class_by_code, count_by_code))
 
-        def one(text):
-            words = tokens(text)
-            found = list(map(known.__getitem__, words))
-            k = bytes([x for x, _ in found])
-            n = np.array([c for _, c in found])
-            at: dict[bytes, int] = {}
-            places = [at.setdefault(w, len(at)) for w, x in zip(words, k) if x & RARE]
-            if len(known) > HELD:
-                known.clear()
-            return len(words), int((n > 0).sum()), float(np.log10(n + 1).sum()), k, list(at), places
-
-        def work(ids, texts, held, train):
-            rows = [one(t) for t in texts]
-            return [ids, held, train, *([r[i] for r in rows] for i in range(6))]
-
-        return work
-
-    kept = [("doc_id", "long"), ("held_out", "boolean"), ("train", "boolean")]
-    sums = [("n_tokens", "long"), ("n_known", "long"), ("shares", "double"), ("classes", "binary")]
-    fields = [*kept, *sums, ("rare", "array<binary>"), ("places", "array<int>")]
-    rows = map_rows(docs.select(F.col("doc_id").cast("long"), "text", "held_out", "train"), make, fields)
-    # The row number is fixed by writing it: a task that is run again later reads the same one.
-    first = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "brown-rows")
     rare = first.select("row", F.posexplode("rare").alias("i", "token"))
+    ends = F.expr("CASE WHEN class IS NULL THEN substring(token, greatest(length(token) - 2, 1), 3) END").alias("e")
     later = (
-        rare.join(classes.select("token", "class", "n_train"), "token")
+        rare.join(classes.select("token", "class", "n_train"), "token", "left")
+        .select("row", "i", F.coalesce("class", F.lit(-1)).alias("class"), F.coalesce("n_train", F.lit(0)).alias("n"), ends)
         .groupBy("row")
-        .agg(F.collect_list(F.struct("i", "class", "n_train")).alias("f"))
-        .select("row", F.col("f.i").alias("i"), F.col("f.class").alias("k"), F.col("f.n_train").alias("n"))
+        .agg(F.collect_list(F.struct("i", "class", "n", "e")).alias("f"))
+        .select("row", *(F.col(f"f.{c}").alias(c) for c in ("i", "class", "n", "e")))
     )
 
     def fill():
-        def one(size, met, shares, k, places, i, found, n):
-            k = np.frombuffer(k, dtype=np.uint8).copy()
-            if places:
-                marked = np.flatnonzero(k & RARE)
-                k &= RARE - 1
-                if i:
-                    counts, own = np.zeros(max(places) + 1, dtype=np.int64), np.full(max(places) + 1, RARE, dtype=np.uint8)
-                    counts[i], own[i] = n, found
-                    counts, own = counts[places], own[places]
-                    k[marked] = np.where(own < RARE, own, k[marked])
-                    met += int((counts > 0).sum())
-                    shares += float(np.log10(counts + 1).sum())
-            return size, met, shares, k.tobytes()
+        seeds, class_by_code, count_by_code = sent.value
+        share_by_code = np.log10(count_by_code + 1)
+
+        def one(codes, places, i, found, n, e):
+            w = np.frombuffer(codes, dtype=np.uint16)
+            k = class_by_code[w]
+            met, shares = int((count_by_code[w] > 0).sum()), float(share_by_code[w].sum())
+            if i:
+                at = np.frombuffer(places, dtype=np.int32)
+                if -1 in found:
+                    found = [owner[seeds.unit(x)] if c < 0 else c for c, x in zip(found, e)]
+                counts, own = np.zeros(len(i), dtype=np.int64), np.zeros(len(i), dtype=np.uint8)
+                counts[i], own[i] = n, found
+                k[w == MARK] = own[at]
+                met += int((counts > 0)[at].sum())
+                shares += float(np.log10(counts + 1)[at].sum())
+            return len(w), met, shares, k.tobytes()
 
         def work(ids, held, train, *columns):
             rows = [one(*r) for r in zip(*columns)]
@@ -415,7 +493,10 @@ def coded(docs: DataFrame, seeds: Seeds, classes: DataFrame, common: dict[bytes,
 
         return work
 
-    joined = first.drop("rare").join(later, "row", "left").drop("row")
+    kept = [("doc_id", "long"), ("held_out", "boolean"), ("train", "boolean")]
+    sums = [("n_tokens", "long"), ("n_known", "long"), ("shares", "double"), ("classes", "binary")]
+    joined = first.drop("rare").join(later, "row", "left")
+    joined = joined.select("doc_id", "held_out", "train", "codes", "places", "i", "class", "n", "e")
     return materialize(map_rows(joined, fill, [*kept, *sums]), "brown-coded")
 
 
@@ -458,9 +539,11 @@ def learn(rows: DataFrame, seeds: Seeds, known: DataFrame, classes: DataFrame, c
 def fit_rows(docs: DataFrame, vocabulary: DataFrame, common: dict[bytes, int]) -> tuple[BrownModel, DataFrame]:
     """Classes and probabilities from (doc_id, text, held_out, train) rows and their written vocabulary; the coded rows."""
     known = vocabulary.filter("n_train > 0")
-    seeds, bigrams = seed_classes(docs, known, common)
-    classes = word_classes(docs, seeds, bigrams, common)
-    rows = coded(docs, seeds, classes, common)
+    common = {END: 0} | common
+    first = coded(docs, common)
+    seeds, bigrams = seed_classes(first, known, common)
+    classes = word_classes(first, seeds, bigrams, common)
+    rows = classed(first, seeds, classes, common)
     return learn(rows, seeds, known, classes, common), rows
 
 
@@ -501,7 +584,8 @@ def score_corpus(docs: DataFrame, held_out) -> DataFrame:
     docs = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     docs = docs.withColumn("train", ~F.col("held_out"))
     vocabulary = materialize(count_words(docs), "brown-vocabulary")
-    common = {bytes(r["token"]): r["n_train"] for r in common_words(vocabulary).select("token", "n_train").collect()}
+    often = common_words(vocabulary).union(vocabulary.filter(F.length("token") == 0)).select("token", "n_train")
+    common = {bytes(r["token"]): r["n_train"] for r in often.collect()}
     model, rows = fit_rows(docs, vocabulary, common)
     return score(rows, model)
 

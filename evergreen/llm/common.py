@@ -86,7 +86,8 @@ def gather_rows(
 
         def held() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, f.type) for v, f in zip(take(), schema, strict=True)], schema=schema
+                [v if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(take(), schema, strict=True)],
+                schema=schema,
             )
 
         for batch in batches:
