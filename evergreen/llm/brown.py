@@ -479,7 +479,7 @@ def classed(first: DataFrame, seeds: Seeds, classes: DataFrame, common: dict[byt
             if i:
                 at = np.frombuffer(places, dtype=np.int32)
                 if -1 in found:
-                    found = [owner[seeds.unit(x)] if c < 0 else c for c, x in zip(found, e)]
+                    found = [owner[seeds.suffix_of.get(x, seeds.other)] if c < 0 else c for c, x in zip(found, e)]
                 counts, own = np.zeros(len(i), dtype=np.int64), np.zeros(len(i), dtype=np.uint8)
                 counts[i], own[i] = n, found
                 k[w == MARK] = own[at]

@@ -213,6 +213,35 @@ def test_brown_words_have_classes_of_their_own(spark, monkeypatch, common):
         assert got[1000 + i]["score"] > got[2000 + i]["score"] + 1
 
 
+@pytest.mark.parametrize("common", [8, brown.COMMON])
+def test_brown_score_matches_plain_code(spark, monkeypatch, common):
+    """All training words are seeds; unseen ones have the class of their last three bytes, also if these are a word."""
+    monkeypatch.setattr(brown.common_words, "__defaults__", (common,))
+    rng = random.Random(8)
+    words = ["abc", "xyz", "one", "stone", "of", "a"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(20)), True) for i in range(50)]
+    rows += [(100, "abc zabc one zone of", False), (101, "", False), (102, "zzz stone Abc loof", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean").withColumn("held_out", ~F.col("train"))
+    vocabulary = brown.count_words(docs)
+    counts = {bytes(r["token"]): r["n_train"] for r in vocabulary.collect()}
+    often = counts if common > 8 else {w: counts[w] for w in (b"", b"abc", b"of")}
+    model, coded = brown.fit_rows(docs, vocabulary, often)
+    seen = {w: n for w, n in counts.items() if n}
+    chosen = model.owner
+    for r in brown.score(coded, model).collect():
+        want, before = 0.0, chosen[model.unit(b"")]
+        for w in brown.tokens(next(t for i, t, _ in rows if i == r["doc_id"])):
+            unseen = model.suffix_of.get(w[-3:], model.other)
+            k = chosen[model.unit(w) if w in seen else unseen]
+            if common > 8 or w in often or w not in seen:
+                want += model.transition[before, k] + math.log10(seen.get(w, 0) + 1) - model.divisors[k]
+                before = k
+            else:
+                break  # a word that chose its own class
+        else:
+            assert r["score"] == pytest.approx(want, rel=1e-9)
+
+
 def test_best_classes_are_those_of_the_exchange():
     """The gains over sparse counts against the likelihood taken anew for every class."""
     rng = np.random.default_rng(1)
