@@ -353,8 +353,7 @@ def seed_classes(rows: DataFrame, known: DataFrame, common: dict[bytes, int]) ->
 def word_classes(rows: DataFrame, seeds: Seeds, bigrams: np.ndarray, common: dict[bytes, int]) -> DataFrame:
     """(token, class, n_train, common) of all training words but the seeds, each by its own contexts.
 
-    Contexts are counted under a word, or for a common one under its code: ``at`` is
-    code * CELLS + cell, below zero for words that are not common.
+    Contexts are counted under a word, or for a common one under its code, which is -1 for all others.
     """
     spark = rows.sparkSession
     sent = spark.sparkContext.broadcast((seeds, list(common)))
@@ -396,7 +395,7 @@ def word_classes(rows: DataFrame, seeds: Seeds, bigrams: np.ndarray, common: dic
         def take():
             nonlocal size
             if not held:
-                return [[], [], []]
+                return [[], [], [], []]
             fold()
             (keys, n), = held
             word, cell = keys // CELLS, keys % CELLS
@@ -405,7 +404,7 @@ def word_classes(rows: DataFrame, seeds: Seeds, bigrams: np.ndarray, common: dic
             held.clear()
             numbers.clear()
             size = 0
-            return [found, np.where(word < MARK, keys, cell - CELLS), n]
+            return [found, np.where(word < MARK, word, -1).astype(np.int32), cell.astype(np.int32), n]
 
         return add, take
 
@@ -433,12 +432,12 @@ def word_classes(rows: DataFrame, seeds: Seeds, bigrams: np.ndarray, common: dic
                 columns = [pa.array(names, pa.binary()), np.concatenate(best).astype(np.int32), np.concatenate(sizes), codes >= 0]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "class", "n_train", "common"])
 
-    fields = [("token", "binary"), ("at", "long"), ("n", "long")]
+    fields = [("token", "binary"), ("code", "int"), ("cell", "int"), ("n", "long")]
     found = gather_rows(rows.filter("train").select("codes", "places", "rare"), count, fields)
-    found = found.groupBy("token", "at").agg(F.sum("n").alias("n"))
+    # Tasks have added up already: all cells of a word meet in one shuffle, at most CELLS rows of it from what a task holds.
+    found = found.repartition("token", "code").groupBy("token", "code", "cell").agg(F.sum("n").alias("n"))
     # At most CELLS rows a word.
-    code, cell = F.floor(F.col("at") / CELLS).alias("code"), F.pmod("at", F.lit(CELLS)).alias("cell")
-    found = found.groupBy("token", code).agg(F.collect_list(F.struct(cell, "n")).alias("c"))
+    found = found.groupBy("token", "code").agg(F.collect_list(F.struct("cell", "n")).alias("c"))
     found = found.select("token", "code", F.col("c.cell").alias("cells"), F.col("c.n").alias("counts"))
     chosen = bounded_batches(found).mapInArrow(choose, "token binary, class int, n_train long, common boolean")
     return materialize(chosen, "brown-classes")
