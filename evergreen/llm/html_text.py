@@ -2,14 +2,21 @@
 
 A page is a sequence of words and tags.  Words score positive, tags negative, and the
 contiguous run with the highest sum, found in one linear scan, is the content region.
-Elements that are never article text wherever they stand (scripts, menus, forms, hidden
-ones, and those with a role or a whole class that says so) are taken out first.  Names
-that only hint at it (a word of a class or id, such as ``has-sidebar`` or ``related-work``)
-take nothing out: they score negative where the element starts and ends, and the scan decides.
+Only what is never shown as text leaves before the scan: scripts, styles, comments and
+the like.  Everything else is a token.  A word's score depends on where it stands: in the
+page's own article, outside of it, in a list item that is one link, or in an element whose
+name, role, class or id marks it as a menu, header, footer, sidebar, notice, advert, form
+or reader comment.  Such words score negative; those that lie inside the run are left out
+of its text.  Names that only hint at other content (a word of a longer class or id, such
+as ``has-sidebar`` or ``related-work``) score negative where the element starts and ends.
+
+Elements are matched with their ends.  A marked element that nothing ends, one that holds
+the main element or the page's only article, and a form with most of the page's words are
+taken for markup slips or wrappers, and their words count as any others.
 
 The weights come from labelled pages: a page that marks its one article or main element
 itself tells which of its words and tags are content.  A token's weight is the log ratio
-of its rate inside and outside, held above zero for words and below zero for tags.
+of its rate inside and outside, held above zero for plain words and below zero for tags and marks.
 
 Null and empty html, and pages without words, give an empty text.  Of equal runs the
 first is taken.  Repeated rows are extracted one by one; without labelled pages fixed
@@ -21,6 +28,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -29,28 +37,38 @@ from pyspark.sql import functions as F
 from evergreen.llm.common import map_rows, read
 
 # Fixed values of HTML: elements by what they do to text.
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select", "button", "object")
+RAW = ("script", "style", "template", "textarea", "title", "iframe")
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that end where the next of their kind starts.
-SELF_ENDING = frozenset("p li dt dd tr td th option".split())
-NEVER_TEXT = frozenset("head nav footer aside form dialog menu".split())
-KEPT = frozenset("html body article main".split())
-# Whole classes and roles of elements that are no part of an article.
-CLASSES_OFF = frozenset(
-    "ad ads advert adverts advertisement advertisements advertising sponsored sidebar nav navbar navigation breadcrumb "
-    "breadcrumbs pagination pager masthead modal popup newsletter comments disqus".split()
+#: Elements that stand in a paragraph without ending it.
+PHRASING = frozenset("audio button canvas map math meter noscript object output picture progress select svg video".split())
+#: Elements that end where the next of their kind starts, by their kind.
+SELF_ENDING = {"p": "p", "li": "li", "dt": "dt", "dd": "dt", "tr": "tr", "td": "td", "th": "td", "option": "option"}
+NEVER_TEXT = frozenset("head nav footer aside form dialog button select noscript svg".split())
+#: Elements that are no part of an article unless they stand in it.
+OUTER = frozenset("header menu".split())
+WHOLE = frozenset("html body".split())
+REGIONS = frozenset("article main".split())
+#: Elements whose text is prose even if it is all links.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote dd figcaption".split())
+# Words that mark an element as no part of an article if they make up a whole class, id or role.
+MARKS = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored promo promotion sidebar nav navbar "
+    "navigation breadcrumb breadcrumbs pagination pager masthead banner modal popup overlay newsletter subscribe cookie cookies "
+    "consent gdpr notice notices menu menubar toolbar share sharing related recommended recommendations widget widgets footer "
+    "login signup comment comments commentlist disqus respond reply replies complementary contentinfo search alertdialog dialog".split()
 )
-ROLES_OFF = frozenset("navigation banner complementary contentinfo search dialog alertdialog menu menubar toolbar".split())
-# Words in class, id and role that hint at the same.
-MARKS = CLASSES_OFF | frozenset(
-    "adv banner sponsor promo promotion cookie cookies consent gdpr notice notices alert overlay subscribe subscription "
-    "menu toolbar share sharing social related recommended recommendations comment respond reply replies footer widget "
-    "widgets login signup search copyright legal disclaimer contentinfo complementary hidden".split()
+#: Words that may stand beside them in such a name.
+BESIDE = frozenset(
+    "site page user reader readers main top bottom left right box bar list area block section panel container wrapper wrap body "
+    "content text message row item items inner outer links primary secondary global".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+# Words that hint at the same in longer names.
+HINTS = MARKS | frozenset("alert social subscription copyright legal disclaimer hidden".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -63,6 +81,11 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 HINT = "#"  # before the word of a hint among the tags
+MARK = "@"  # before the word of a mark among the kinds of words
+OUT, LINK = "out", "link"  # words outside the page's article; a short list item that is one link
+LINK_WORDS = 5
+#: Floor of a tag's score inside the page's own article, and ceiling of a marked word's, as parts of a word's.
+PART = 0.25
 WORD_PART = re.compile(r"[^A-Za-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
@@ -75,101 +98,206 @@ def attributes(attrs: str) -> dict[str, str]:
     return found
 
 
-def marked_off(name: str, attrs: str, in_article: bool) -> tuple[bool, str]:
-    """Whether the element is taken out with all it holds; else the word that hints at it, or an empty text."""
-    if name in KEPT:
-        return False, ""
-    if name in NEVER_TEXT or name == "header" and not in_article:
-        return True, ""
+def marks_of(name: str, attrs: str, in_article: bool) -> tuple[str, str]:
+    """The word that marks the element as no article text, and the one that hints at it; empty texts if none."""
+    if name in WHOLE or name == "main":
+        return "", ""
+    if name in NEVER_TEXT or name in OUTER and not in_article:
+        return name, ""
     if "=" not in attrs and "hidden" not in attrs.lower():
-        return False, ""
+        return "", ""
     has = attributes(attrs)
     if "hidden" in has or has.get("aria-hidden", "").lower() == "true" or NOT_SHOWN.search(has.get("style", "")):
-        return True, ""
-    if not CLASSES_OFF.isdisjoint(has.get("class", "").lower().split()):
-        return True, ""
-    if not ROLES_OFF.isdisjoint(has.get("role", "").lower().split()):
-        return True, ""
-    named = CAMEL.sub(" ", " ".join(has.get(n, "") for n in ("class", "id", "role")))
-    return False, next((w for w in WORD_PART.split(named.lower()) if w in MARKS), "")
+        return "hidden", ""
+    if not REGIONS.isdisjoint(has.get("role", "").lower().split()):
+        return "", ""
+    hint = ""
+    for named in " ".join(has.get(n, "") for n in ("class", "id", "role")).split():
+        parts = [w for w in WORD_PART.split(CAMEL.sub(" ", named).lower()) if w]
+        marks = [w for w in parts if w in MARKS]
+        if marks and all(w in MARKS or w in BESIDE for w in parts):
+            if not (name in INLINE and parts == ["ad"]):  # "300 <span class=ad>AD</span>"
+                return marks[0], ""
+        elif not hint:
+            hint = next((w for w in parts if w in HINTS), "")
+    return "", hint if name not in REGIONS else ""
 
 
 @dataclass
 class Page:
-    """Tokens of a page: (tag feature or None for text, text, whether inside the article or main element)."""
+    """Tokens of a page: (tag feature or None for text, text, whether inside the article or main element).
+
+    ``kinds`` has, by token, where it stands: an empty text, ``OUT``, ``LINK`` or ``MARK`` and the word of the mark.
+    """
 
     tokens: list[tuple[str | None, str, bool]]
     regions: int
+    kinds: list[str] = field(default_factory=list)
+
+
+@dataclass
+class Element:
+    """A marked element: what marks it, the marked one around it, whether it has an end, whether it is a wrapper."""
+
+    mark: str
+    around: int
+    ended: bool = False
+    wrapper: bool = False
+    words: int = 0
+
+
+class Reader:
+    """Matches starts and ends of elements while the tokens of a page are gathered."""
+
+    def __init__(self):
+        #: (tag or None, text, nearest marked element, region, in a link)
+        self.tokens: list[tuple[str | None, str, int, int, bool]] = []
+        self.elements: list[Element] = []
+        self.regions: list[int] = []  # by region, the marked element around it
+        self.open: list[tuple[str, int, int, str]] = []  # name, mark and region outside of it, its hint
+        self.names: Counter[str] = Counter()
+        self.mark = self.region = -1
+        self.link = False
+
+    def add(self, tag: str | None, text: str = "") -> None:
+        self.tokens.append((tag, text, self.mark, self.region, self.link))
+
+    def leave(self) -> None:
+        name, mark, region, hint = self.open.pop()
+        self.names[name] -= 1
+        if mark != self.mark:
+            self.elements[self.mark].ended = True
+        self.mark, self.region = mark, region
+        if hint:
+            self.add(HINT + hint)
+
+    def end(self, name: str) -> None:
+        if name in INLINE:
+            self.link = self.link and name != "a"
+            if self.open and self.open[-1][0] == name:
+                self.leave()
+        elif self.names[name] and name not in WHOLE:
+            self.link = False
+            while self.open[-1][0] != name:
+                self.leave()
+            if self.open[-1][1] != self.mark:  # its tags are marked as its words are
+                self.add(name)
+                self.leave()
+                return
+            self.leave()
+        self.add("" if name in REGIONS else name)
+
+    def start(self, name: str, attrs: str) -> None:
+        if name in SELF_ENDING:
+            at = len(self.open) - 1
+            while at >= 0 and self.open[at][0] in SELF_ENDING:
+                if SELF_ENDING[self.open[at][0]] == SELF_ENDING[name]:
+                    while len(self.open) > at:
+                        self.leave()
+                    break
+                at -= 1
+        elif name not in INLINE and name not in VOID and name not in PHRASING and self.open and self.open[-1][0] == "p":
+            self.leave()
+        mark, hint = ("", "") if name in VOID else marks_of(name, attrs, self.region >= 0)
+        if hint:
+            self.add(HINT + hint)
+        if not mark:
+            self.add("" if name in REGIONS else name)
+        if name == "a":
+            self.link = True
+        if name in VOID or name in WHOLE or attrs.endswith("/>") and name in ("svg", "math") or name in INLINE and not (mark or hint):
+            if mark:
+                self.add(name)
+            return
+        self.open.append((name, self.mark, self.region, hint))
+        self.names[name] += 1
+        if name == "main":
+            around = self.mark
+            while around >= 0 and not self.elements[around].wrapper:
+                self.elements[around].wrapper = True
+                around = self.elements[around].around
+        if mark:
+            self.elements.append(Element(mark, self.mark))
+            self.mark = len(self.elements) - 1
+            self.add(name)
+        elif name in REGIONS and self.region < 0:
+            self.regions.append(self.mark)
+            self.region = len(self.regions) - 1
+
+    def marks(self) -> list[int]:
+        """By marked element, the nearest one from it outwards whose mark holds, or -1."""
+        words = 0
+        for tag, text, mark, _, _ in self.tokens:
+            if tag is None:
+                n = len(text.split())
+                words += n
+                if mark >= 0:
+                    self.elements[mark].words += n
+        for e in reversed(self.elements):
+            if e.around >= 0:
+                self.elements[e.around].words += e.words
+        if len(self.regions) == 1:
+            around = self.regions[0]
+            while around >= 0 and self.elements[around].mark not in COMMENTS:
+                self.elements[around].wrapper = True
+                around = self.elements[around].around
+        holds: list[int] = []
+        for i, e in enumerate(self.elements):
+            wrapper = e.wrapper or not e.ended or e.mark == "form" and 2 * e.words > words
+            holds.append((holds[e.around] if e.around >= 0 else -1) if wrapper else i)
+        return holds
 
 
 def tokenise(page: str) -> Page:
-    """Texts and tags outside the elements that are taken out."""
-    tokens: list[tuple[str | None, str, bool]] = []
-    inside = regions = 0
-    off, depth, resume = "", 0, 0  # the element being taken out, its open count, and where it began in ``tokens``
-    held: list[tuple[str | None, str, bool]] = []
-    hinted: dict[str, list[list]] = {}  # by name, the open elements with a hint: [open count, hint]
-
-    at = 0
+    """Words and tags of all that can be text."""
+    seen, at = Reader(), 0
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            text = html.unescape(page[at : m.start()])
-            (held if off else tokens).append((None, text, inside > 0))
+            seen.add(None, html.unescape(page[at : m.start()]))
         at = m.end()
         name = (m["name"] or "").lower()
-        if not name:
-            continue
-        ending = bool(m["end"])
-        if off:
-            if name == off:
-                if ending:
-                    depth -= 1
-                elif off not in SELF_ENDING:
-                    depth += 1
-                else:
-                    off, held = "", []
-            elif off in SELF_ENDING and ending and name not in INLINE:
-                off, held = "", []
-            elif not ending and name in KEPT and name not in ("html",):
-                off, held = "", []  # an unclosed element does not swallow the article
-            if off and depth <= 0:
-                off, held = "", []
-                continue
-            if off:
-                continue
-            if ending and name in SELF_ENDING:
-                continue
-        out, hint = False, ""
-        if not ending and name not in VOID:
-            out, hint = marked_off(name, m["attrs"], inside > 0)
-        if name in hinted and not out:
-            last = hinted[name][-1]
-            last[0] += -1 if ending or name in SELF_ENDING else not hint
-            if not last[0]:
-                tokens.append((HINT + last[1], "", inside > 0))
-                hinted[name].pop()
-                if not hinted[name]:
-                    del hinted[name]
-        if hint:
-            tokens.append((HINT + hint, "", inside > 0))
-            hinted.setdefault(name, []).append([1, hint])
-        if out:
-            if not m["attrs"].rstrip().endswith("/>"):
-                off, depth = name, 1
-                tokens.append((name, "", inside > 0))
-                continue
-        if name in ("article", "main"):
-            if ending:
-                inside = max(0, inside - 1)
+        if name:
+            if m["end"]:
+                seen.end(name)
             else:
-                regions += inside == 0
-                inside += 1
-            tokens.append(("", "", inside > 0))
-            continue
-        tokens.append((name, "", inside > 0))
-    if at < len(page) and not off:
-        tokens.append((None, html.unescape(page[at:]), inside > 0))
-    return Page(tokens, regions)
+                seen.start(name, m["attrs"])
+    if at < len(page):
+        seen.add(None, html.unescape(page[at:]))
+
+    holds = [*seen.marks(), -1]  # the last for no element
+    valid = [holds[around] < 0 for around in seen.regions] + [False]
+    inner = plain = 0
+    for tag, text, mark, region, _ in seen.tokens:
+        if tag is None and holds[mark] < 0:
+            n = len(text.split())
+            plain += n
+            inner += n if valid[region] else 0
+    trusted = 2 * inner >= plain and inner > 0  # a region with less is a teaser or the like
+    tokens, kinds = [], []
+    block: list[int] = []  # texts since the last tag that is not inline
+    opener, linked, size = "", True, 0
+
+    def close() -> None:
+        if linked and 0 < size <= LINK_WORDS and opener not in PROSE:
+            for i in block:
+                if not kinds[i]:
+                    kinds[i] = LINK
+
+    for tag, text, mark, region, link in seen.tokens:
+        inside = trusted and valid[region]
+        if tag is None:
+            n = len(text.split())
+            linked, size = linked and (link or not n), size + n
+            if not inside:
+                block.append(len(tokens))
+        elif tag not in INLINE and tag[:1] != HINT:
+            close()
+            block, opener, linked, size = [], tag, True, 0
+        tokens.append((tag, text, inside))
+        held = holds[mark]
+        kinds.append(MARK + seen.elements[held].mark if held >= 0 else OUT if trusted and not inside and tag is None else "")
+    close()
+    return Page(tokens, sum(valid) if trusted else 0, kinds)
 
 
 @dataclass
@@ -178,21 +306,30 @@ class Weights:
     tags: dict[str, float] = field(default_factory=dict)
     unknown_tag: float = -1.0
     unknown_hint: float = -10.0
+    #: Scores of words by where they stand; of others, that of all marked words.
+    words: dict[str, float] = field(default_factory=dict)
+
+    def of_word(self, kind: str) -> float:
+        return self.words.get(kind, self.words.get(kind[:1], -self.word)) if kind else self.word
 
 
 def best_run(page: Page, weights: Weights) -> tuple[int, int]:
     """Token range with the highest sum; (0, 0) if no word is there."""
     best, best_range, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (tag, text, _) in enumerate(page.tokens):
+    kinds = page.kinds or [""] * len(page.tokens)
+    for i, ((tag, text, inside), kind) in enumerate(zip(page.tokens, kinds, strict=True)):
         if tag is None:
-            if total <= 0:
+            each = weights.of_word(kind)
+            if each > 0 and total <= 0:
                 total, start = 0.0, i
-            total += weights.word * len(text.split())
+            if not (kind and inside):  # what is marked inside the article neither breaks nor joins
+                total += each * len(text.split())
             if total > best:
                 best, best_range = total, (start, i + 1)
-        elif tag:
+        elif tag and not (kind and inside):
             unknown = weights.unknown_hint if tag[0] == HINT else weights.unknown_tag
-            total += weights.tags.get(tag, unknown)
+            score = unknown if kind else weights.tags.get(tag, unknown)
+            total += max(score, -PART * weights.word) if inside else score
     return best_range
 
 
@@ -201,11 +338,13 @@ def extract(page: str | None, weights: Weights) -> str:
     parsed = tokenise(page or "")
     start, stop = best_run(parsed, weights)
     parts = []
-    for tag, text, _ in parsed.tokens[start:stop]:
-        if tag is None:
+    for i in range(start, stop):
+        tag, text, _ = parsed.tokens[i]
+        if tag is not None:
+            if tag not in INLINE and tag[:1] != HINT:
+                parts.append(" ")
+        elif parsed.kinds[i][:1] != MARK:
             parts.append(text)
-        elif tag not in INLINE:
-            parts.append(" ")
     return " ".join("".join(parts).split())
 
 
@@ -222,28 +361,44 @@ def fit(pages: DataFrame, bound: int = 2000) -> Weights:
                 page = tokenise(t or "")
                 if page.regions != 1:
                     continue
-                for tag, text, inside in page.tokens:
-                    key, size = (tag, 1) if tag is not None else (" word", len(text.split()))
-                    if key:
-                        seen.setdefault(key, [0, 0])[inside] += size
+                for (tag, text, inside), kind in zip(page.tokens, page.kinds, strict=True):
+                    # Words by kind after a space, which no tag holds; what is marked is no article text wherever it stands.
+                    marked = kind[:1] == MARK
+                    key, size = (tag, 1) if tag is not None else (" " + kind, len(text.split()))
+                    if key and not (tag is not None and marked):
+                        seen.setdefault(key, [0, 0])[inside and not marked] += size
             return [list(seen), [v[1] for v in seen.values()], [v[0] for v in seen.values()]]
 
         return work
 
-    counts = (
-        map_rows(sample, make, [("token", "string"), ("inside", "long"), ("outside", "long")])
-        .groupBy("token")
-        .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-        .orderBy(F.desc(F.col("inside") + F.col("outside")), "token")
-        .limit(1000)
-        .collect()
-    )
-    if not any(r["token"] == " word" for r in counts):
+    totals = [F.sum("inside").alias("inside"), F.sum("outside").alias("outside")]
+    counts = map_rows(sample, make, [("token", "string"), ("inside", "long"), ("outside", "long")]).groupBy("token").agg(*totals)
+    # Names of tags are any text: those seen once are left to the weight of unknown tags, so the table is bounded by the sample.
+    rows = counts.filter((F.col("inside") + F.col("outside") > 1) | F.col("token").startswith(" ")).collect()
+    seen = {r["token"]: (r["inside"], r["outside"]) for r in rows}
+    if not any(k[:1] == " " for k in seen):
         return Weights()
-    ins, outs = sum(r["inside"] for r in counts), sum(r["outside"] for r in counts)
-    ratio = {r["token"]: math.log((r["inside"] + 1) / (ins + 1)) - math.log((r["outside"] + 1) / (outs + 1)) for r in counts}
-    word = max(0.05, ratio.pop(" word"))
-    return Weights(word, {k: min(-0.05 * word, v) for k, v in ratio.items()}, -word, Weights.unknown_hint * word)
+    # Plain words of pages without a region may stand anywhere.
+    plain = [seen.get(" " + k, (0, 0)) for k in ("", OUT, LINK)]
+    marked = [v for k, v in seen.items() if k.startswith(" " + MARK)]
+    ins, outs = (sum(v[j] for v in seen.values()) for j in (0, 1))
+
+    def ratio(inside: int, outside: int) -> float:
+        return math.log((inside + 1) / (ins + 1)) - math.log((outside + 1) / (outs + 1))
+
+    word = max(0.05, ratio(*map(sum, zip(*plain))))
+
+    def below(value: float, ceiling: float) -> float:
+        return min(-ceiling * word, max(-word, value))
+
+    words = {k[1:]: below(ratio(*v), PART) for k, v in seen.items() if k[:1] == " " and k != " "}
+    words[MARK] = below(ratio(*map(sum, zip(*marked))), PART) if marked else -word
+    tags = {
+        k: min(-0.05 * word, max(Weights.unknown_hint * word, ratio(*v))) if k[0] == HINT else below(ratio(*v), 0.05)
+        for k, v in seen.items()
+        if k[:1] != " "
+    }
+    return Weights(word, tags, -PART * word, Weights.unknown_hint * word, words)
 
 
 def extract_pages(pages: DataFrame, weights: Weights) -> DataFrame:

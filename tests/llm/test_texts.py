@@ -1,6 +1,7 @@
 """HTML extraction, BPE, chat formatting, decontamination and top-k against plain code."""
 
 import hashlib
+import html
 import random
 import re
 from array import array
@@ -87,6 +88,71 @@ def test_weights_from_labelled_pages(spark):
     assert w.word > 0 and w.tags["li"] < w.tags["p"] < 0 and w.tags["ul"] < 0
 
 
+LONG = "<p>First part of the story goes on here, with more to tell and much to say about it.</p><p>Second part of it.</p>"
+LONG_TEXT = "First part of the story goes on here, with more to tell and much to say about it. Second part of it."
+REMARK = "I like this so much that I have to write a very long comment here. " * 20
+ROWS = "<table><tr><td>a</td><td>1</td></tr><tr><td>b</td><td>2</td></tr></table><p>End of it.</p>"
+SHAPES = {
+    "comments by id": (f'<article>{LONG}</article><div id="comments">{REMARK}</div>', "{}"),
+    "comments without an article": (f'<div>{LONG}</div><div id="comments"><p>{REMARK}</p></div>', "{}"),
+    "comments as articles": (
+        f'<div>{LONG}</div><div id="comments"><ol class="commentlist"><li><article class="comment-body"><p>{REMARK}</p></article></ol></div>', "{}"),
+    "list of comments": (f'<main>{LONG}</main><ol class="commentlist"><li>{REMARK}</ol>', "{}"),
+    "notice": (f'<div class="notice">We will be closed on some days.</div><div>{LONG}</div>', "{}"),
+    "cookies": (f'<div>{LONG}</div><div class="cookie-banner">We use cookies to be better.</div>', "{}"),
+    "table in an article": (f"<article>{LONG}{ROWS}</article>", "{} a 1 b 2 End of it."),
+    "table": (f"<div>{LONG}{ROWS}</div>", "{} a 1 b 2 End of it."),
+    "list at the end": (f"<div>{LONG}<ul>" + "".join(f"<li>item {i}</li>" for i in range(8)) + "</ul></div>",
+                        "{} " + " ".join(f"item {i}" for i in range(8))),
+    "short list in an article": (f"<article>{LONG}<ul>" + "".join(f"<li>{i}</li>" for i in range(8)) + "</ul></article>", "{} 0 1 2 3 4 5 6 7"),
+    "paragraph of links": (f"<div>{LONG}<p><a href=x>one two</a> <a href=y>three</a> <a href=z>four</a></p></div>", "{} one two three four"),
+    "a name that only hints": (f'<article>{LONG}<div class="related-media"><p>A caption of it.</p></div><p>End of it.</p></article>',
+                               "{} A caption of it. End of it."),
+    "sidebar without an end": (f'<div class="sidebar"><p>Side.</p><article>{LONG}</article>', "{}"),
+    "aside without an end": (f"<body><aside><div><p>{LONG}</div></body>", "{}"),
+    "image that ends itself": (f"<div><svg width=1 />{LONG}</div>", "{}"),
+    "object without an end": (f"<div><object data=x>{LONG}</div>", "{}"),
+    "formula": (f"<article>{LONG}<math><mi>x</mi></math></article>", "{} x"),
+    "menu element in an article": (f"<article>{LONG}<menu><li>One thing</li></menu></article>", "{} One thing"),
+    "ad within a line": (f'<article>{LONG}<p>In 300 <span class="ad">AD</span> it was.</p></article>', "{} In 300 AD it was."),
+    "two roles": (f'<div role="search article">{LONG}</div>', "{}"),
+    "title in a header": (f"<article><header><h1>The title</h1></header>{LONG}</article>", "The title {}"),
+    "advert inside": (f'<article>{LONG}<div class="ad">Buy this thing now, it is good.</div>{LONG}</article>', "{0} {0}"),
+    "advert inside without an article": (f'<div>{LONG}<div class="ad">Buy this thing now, it is good.</div>{LONG}</div>', "{0} {0}"),
+    "menus that only their links tell": (
+        f"<div><ul><li><a href=/>Home</a><li><a href=/a>About us</a></ul></div><div>{LONG}</div><div><ul><li><a href=/x>Other story</a></ul></div>", "{}"),
+    "page in a form": (f"<form id=f><div>{LONG}</div><input></form>", "{}"),
+    "short blocks": (f"<div>{LONG}" + "<div>one more</div>" * 3 + "</div>", "{} one more one more one more"),
+}
+
+
+@pytest.fixture(scope="module")
+def learned_weights(spark):
+    return html_text.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_shapes_of_pages_with_learned_weights(learned_weights, shape):
+    page, text = SHAPES[shape]
+    assert html_text.extract(f"<!DOCTYPE html><html><body>{page}", learned_weights) == text.format(LONG_TEXT)
+
+
+def test_the_scan_decides_and_gives_the_article(spark, learned_weights):
+    """Against the plain text of the article element, of which these pages have one without anything else in it."""
+    w, rows = learned_weights, spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    changed = 0
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        plain = re.sub(r"</?(?:p|h1|br)\b[^>]*>", " ", article)
+        plain = " ".join(html.unescape(re.sub(r"<[^>]*>", "", plain)).split())
+        assert html_text.extract(r["html"], w) == plain
+        page = html_text.tokenise(r["html"])
+        without = "".join(t if tag is None else "" if tag in html_text.INLINE else " " for tag, t, _ in page.tokens)
+        changed += " ".join(without.split()) != plain
+    assert changed == len(rows) > 0
+    assert all(v < 0 for v in w.words.values()) and {"@nav", "@ad", "@footer"} <= set(w.words)
+
+
 STRINGS = ["", "a<|endoftext|>b", "<|endoftext|><|endoftext|>", " \n\n x  \n", "日本語🙂é ", "x" * 3000 + "  ", "don't I'LL we'Ve", "ab" * 200,
            " wide\xa0blank", "٣٤ 12345", "áé", "\x00\x01\x7f", "ﬁ ß ſ", "=" * 500, "<|endoftext", "नमस्ते दुनिया"]
 
