@@ -210,6 +210,52 @@ def test_templates_that_rewrite_history_are_found():
     assert out.rewritten_at == 1 and out.spans == []
 
 
+def test_windows_give_the_pieces_of_whole_prefixes():
+    rng = random.Random(5)
+    for n in (0, 1, 5, 6, 7, 40):
+        turns = [(rng.choice(["user", "assistant", "system", "tool"]), rng.choice(NASTY)) for _ in range(n)]
+        whole = chat.render_incrementally(turns, chat.bracket_template)
+        pieces = list(chat.render_windows(iter(turns), chat.bracket_template, window=3, lead=2))
+        assert "".join(p.text for p in pieces) == (whole.text if turns else "")
+        assert [(p.start, p.stop) for p in pieces] == [(a - s, b - s) for s, _, a, b in whole.spans]
+
+
+def test_windows_find_templates_that_look_far_back():
+    def numbered(turns):
+        return "".join(f"<{i}>{t}" for i, (_, t) in enumerate(turns))
+
+    turns = [("user", "x")] * 30
+    assert chat.render_incrementally(turns, numbered).rewritten_at == -1
+    assert list(chat.render_windows(turns, numbered, window=8, lead=4))[12:] == [None]
+    assert None not in list(chat.render_windows(turns[:12], numbered, window=8, lead=4))
+
+
+def test_chat_holds_a_window_of_a_long_conversation():
+    """The widest prefix that the template ever sees, and how many of them, stay in proportion."""
+    seen = []
+
+    def template(turns):
+        seen.append(len(turns))
+        return chat.bracket_template(turns)
+
+    assert sum(1 for _ in chat.render_windows((("user", "x") for _ in range(2000)), template)) == 2000
+    assert max(seen) <= chat.WINDOW + chat.LEAD and sum(seen) < 2000 * 2 * (chat.WINDOW + chat.LEAD)
+
+
+def test_chat_of_one_long_conversation(spark):
+    n = 20_000
+    rows = spark.range(n).select(
+        F.lit(None).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("<s> ["), "id").alias("text"),
+    )
+    (got,) = chat.format_conversations(rows).collect()
+    turns = "".join(f"{'assistant' if i % 2 else 'user'}\n<s> [{i}\n" for i in range(n))
+    loss = "".join(f"<s> [{i}" for i in range(1, n, 2))
+    assert got["n_turns"] == n and got["loss_chars"] == len(loss) and not got["rewrites_history"]
+    assert got["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest()
+    assert got["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+
+
 def test_chat_query_rows(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", None), (2, 1, None, "b"), (2, 0, "assistant", "[x"), (2, 0, "assistant", "[x"),
             (None, 0, "user", "q"), (3, None, "assistant", "late"), (3, 0, "assistant", "z")]
