@@ -142,6 +142,26 @@ def cluster_changes(rows: DataFrame, aliases: dict[str, str], hot_rows: int = HO
     )
 
 
+def update_changes(
+    stored_rows: DataFrame,
+    stored_changes: DataFrame,
+    new_rows: DataFrame,
+    aliases: dict[str, str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``cluster_changes`` of the stored and the new rows together, from the stored rows' changes.
+
+    Links never leave a title, so only the titles of new rows are clustered again: their
+    stored rows are picked by a semi-join before any credit is split, and all other
+    changes are kept as they are.
+    """
+    touched = materialize(new_rows.filter(F.col("key_title").isNotNull()).select("key_title").distinct(), "touched")
+    columns = ["key_title", "key_artist", "artist", "source_ord", "value"]
+    again = stored_rows.join(touched, "key_title", "left_semi").select(columns).unionByName(new_rows.select(columns))
+    kept = stored_changes.join(touched, "key_title", "left_anti")
+    return kept.unionByName(cluster_changes(again, aliases, hot_rows))
+
+
 def cluster_map(rows: DataFrame, changes: DataFrame) -> DataFrame:
     """Every node with its representative (itself, unless it changed)."""
     nodes = rows.select("key_title", "key_artist").distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from evergreen.functions.parse import release_year, track_url
 from evergreen.functions.text import link_title_key, primary_artist
 from evergreen.operators.dedup import first_per_key
-from evergreen.sources.files import EXPORT_REQUIRED, EXPORT_SYNONYMS, read_text_columns, to_number
+from evergreen.sources.files import EXPORT_REQUIRED, EXPORT_SYNONYMS, carried, read_text_columns, to_number
 
 
 def canonical_export(df: DataFrame) -> DataFrame | None:
@@ -22,7 +22,7 @@ def canonical_export(df: DataFrame) -> DataFrame | None:
         (F.lit(None) if header is None else F.col(f"`{header}`")).cast("string").alias(name)
         for name, header in chosen.items()
     ]
-    return df.select(*cols, "ord")
+    return df.select(*cols, *carried(df))
 
 
 def union_exports(frames: list[DataFrame]) -> DataFrame:
@@ -33,9 +33,9 @@ def union_exports(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [f.withColumn("file_ord", F.lit(i)) for i, f in enumerate(usable)])
 
 
-def read_exports(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Exports read from files in sorted path order."""
-    return union_exports([read_text_columns(spark, p) for p in sorted(paths)])
+def read_exports(spark: SparkSession, paths: list[str], rescue: bool = False) -> DataFrame:
+    """Exports read from files in sorted path order; ``rescue`` keeps the lines of malformed rows."""
+    return union_exports([read_text_columns(spark, p, rescue=rescue) for p in sorted(paths)])
 
 
 def link_rows(exports: DataFrame) -> DataFrame:

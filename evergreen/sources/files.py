@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,8 @@ EXPORT_SYNONYMS = {
     "release_date": ("Release Date", "Album Release Date"),
 }
 EXPORT_REQUIRED = ("uri", "title", "artist")
+#: Holds the whole line of a CSV row with fewer or more cells than the header, else null.
+RESCUED = "rescued"
 
 
 def file_order() -> Column:
@@ -36,25 +38,42 @@ def file_order() -> Column:
     )
 
 
-def read_text_columns(spark: SparkSession, path: str, parquet: bool = False, multi_line: bool = True) -> DataFrame:
+def read_text_columns(
+    spark: SparkSession, path: str, parquet: bool = False, multi_line: bool = True, rescue: bool = False
+) -> DataFrame:
     """A header CSV (all columns as text, no inference pass) or a Parquet table, with ``ord``.
 
     Only empty cells are null: texts such as ``NA`` stay text.  ``multi_line`` reads
-    quoted line breaks; files known to have none can be split without it.
+    quoted line breaks; files known to have none can be split without it.  Rows with too few
+    cells get nulls for the others, and cells beyond the header have no column; ``rescue``
+    adds ``rescued``, which keeps such rows' lines, so that nothing is lost without a trace.
     """
     if parquet:
-        df = spark.read.parquet(path)
-    else:
-        df = spark.read.option("header", True).option("quote", '"').option("escape", '"').option(
-            "multiLine", multi_line
-        ).csv(path)
+        return spark.read.parquet(path).withColumn("ord", file_order())
+
+    def reader() -> DataFrameReader:
+        return spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line)
+
+    df = reader().csv(path)
+    if rescue:
+        if RESCUED in df.columns:
+            raise ValueError(f"the header has a column {RESCUED} of its own")
+        schema = T.StructType([*df.schema.fields, T.StructField(RESCUED, T.StringType())])
+        cells = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+        df = reader().options(mode="PERMISSIVE", columnNameOfCorruptRecord=RESCUED).schema(schema).csv(path)
+        # A scan of fewer columns takes no line for malformed: the test, which always holds, brings in all of them.
+        df = df.withColumn(RESCUED, F.when(F.length(F.concat_ws("", *cells)) >= 0, F.col(RESCUED)))
     return df.withColumn("ord", file_order())
 
 
+def carried(df: DataFrame) -> list[str]:
+    """The columns of a row's place and of its rescued line, as far as there are any."""
+    return [c for c in ("ord", RESCUED) if c in df.columns]
+
+
 def pick(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Prune to the named columns and rename them; ``ord`` is kept when present."""
-    extra = ["ord"] if "ord" in df.columns else []
-    return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst in columns.items()], *extra)
+    """Prune to the named columns and rename them; ``ord`` and ``rescued`` are kept when present."""
+    return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst in columns.items()], *carried(df))
 
 
 def to_number(c: Column, kind: str = "int") -> Column:

@@ -157,6 +157,37 @@ def test_clusters_against_brute_force(spark, hot_rows):
     assert got == brute_components(rows, tokens)
 
 
+def test_clusters_after_new_rows_equal_a_whole_run(spark):
+    """Random batches: joined and new components, titles left alone, keys that get a credit or an earlier source."""
+    rng = random.Random(3)
+    schema = "key_title string, key_artist string, artist string, source_ord int, value long"
+    rows = []
+    for _ in range(300):
+        a, b = rng.randrange(30), rng.randrange(30)
+        rows.append((f"t{rng.randrange(12)}", f"a{a}", f"a{a} & a{b}", rng.randrange(3), rng.randrange(9)))
+    rows = list({(r[0], r[1], r[3]): r for r in rows}.values())
+    stored, batch = rows[:150], [r for r in rows[150:] if r[0] in ("t1", "t2", "t3")] + [("new", "x", "x & y", 0, 1), ("new", "y", "y", 1, 1)]
+    old, new = (spark.createDataFrame(part, schema) for part in (stored, batch))
+    before = cluster.cluster_changes(old, {})
+    got = cluster.update_changes(old, before, new, {}).collect()
+    whole = cluster.cluster_changes(old.unionByName(new), {}).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole)) and ("new", "y", "x") in map(tuple, got)
+    untouched = [r for r in before.collect() if r.key_title not in ("t1", "t2", "t3")]
+    assert untouched and set(untouched) <= set(got)
+    assert sorted(cluster.update_changes(old, before, new.filter("false"), {}).collect()) == sorted(before.collect())
+
+
+def test_only_touched_titles_are_clustered_again(spark, monkeypatch):
+    seen = []
+    whole = cluster.cluster_changes
+    monkeypatch.setattr(cluster, "cluster_changes", lambda rows, *a: seen.append(rows.count()) or whole(rows, *a))
+    schema = "key_title string, key_artist string, artist string, source_ord int, value long"
+    old = spark.createDataFrame([(f"t{i % 100}", f"a{i}", f"a{i}", 0, 1) for i in range(1000)], schema)
+    new = spark.createDataFrame([("t5", "b", "b & a5", 1, 1)], schema)
+    got = cluster.update_changes(old, whole(old, {}), new, {}).collect()
+    assert [tuple(r) for r in got] == [("t5", "b", "a5")] and seen == [11]
+
+
 def test_clusters_stay_within_a_title(spark):
     rows = [
         ("we found love", "rihanna", "Rihanna Featuring Calvin Harris", 0, None),

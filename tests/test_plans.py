@@ -151,6 +151,33 @@ def test_csv_inputs(spark, tmp_path):
     assert [(r.spotify_url, r.duration_ms, r.release_year, r.file_ord) for r in got] == [("u1", None, None, 0)]
 
 
+def test_short_and_overlong_lines_are_rescued(spark, tmp_path):
+    """Every line is a row or in the rescued column, and malformed ones are counted while they are read."""
+    lines = ["2001-02-03,T1,A,7,2", "2001-02-03,T2,A", "2001-02-03,T3,A,7,2,extra,more", '2001-02-03,"T,4",A,7,2']
+    (tmp_path / "chart.csv").write_text("\n".join(["1Date,Song,Artist,Peak Position,Weeks in Charts", *lines]) + "\n")
+    for multi_line in (True, False):
+        raw = files.read_text_columns(spark, str(tmp_path / "chart.csv"), multi_line=multi_line, rescue=True)
+        picked = files.pick(raw, files.CHART_COLUMNS)
+        got = {r.title: (r.peak_pos, r.rescued) for r in picked.collect()}
+        assert got == {"T1": ("7", None), "T2": (None, lines[1]), "T3": ("7", lines[2]), "T,4": ("7", None)}
+        # Two columns of the file are enough: pruned columns do not hide that a line is malformed.
+        assert picked.select("title", "rescued").filter("rescued is not null").count() == 2
+        read, seen = run.watched(Sources(picked))
+        assert {r.title for r in chart_rows(read.chart).collect()} == {"T1", "T3", "T,4"}
+        counts = run.dropped_rows(spark, seen).first()
+        assert (counts.malformed_lines, counts.chart_rows_unread, counts.rows_without_name) == (2, 1, 0)
+
+
+def test_rescued_lines_of_exports(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Track URI,Track Name,Artist Name(s)\nu1,T,A\nu2,T2\nu3,T3,C,x\n")
+    rows = exports.read_exports(spark, [str(tmp_path / "a.csv")], rescue=True)
+    assert {(r.uri, r.rescued) for r in rows.collect()} == {("u1", None), ("u2", "u2,T2"), ("u3", "u3,T3,C,x")}
+    assert exports.link_rows(rows).count() == 2
+    (tmp_path / "b.csv").write_text("rescued,b\n1,2\n")
+    with pytest.raises(ValueError, match="rescued"):
+        files.read_text_columns(spark, str(tmp_path / "b.csv"), rescue=True)
+
+
 TABLE = """<html><table class="x"><thead><tr><th>h</th></tr></thead><tbody>
 <tr><td class="text"><div><a href="u">AC/DC - Back &amp; Black</a></div></td><td>1,234</td><td/><td>.</td><td>77</td></tr>
 <tr><td>No separator</td><td>9</td></tr><tr><td>A - B</td><td>n/a</td></tr><tr><td>only one</td></tr>
