@@ -724,6 +724,7 @@ SELECT page_id, CAST(pos - 1 AS INT) AS pos, {strip(entities(strip(sub('item', r
             "credit_src",
         ),
         "entity_clusters": a("SELECT * FROM canon", "canon"),
+        "clusters_after_batch": a("SELECT * FROM canon", "canon"),
         "apply_clusters": a(
             f"SELECT source, {KEYS}, own_artist, title, artist, value, bb_score FROM best_c", "best_c"
         ),

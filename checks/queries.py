@@ -421,6 +421,14 @@ def entity_clusters(spark, d):
     return cluster.cluster_map(rows, cluster.cluster_changes(rows, SETTINGS.aliases))
 
 
+def clusters_after_batch(spark, d):
+    """The first source's clusters, written, then updated by the rows of all others: the map of a whole run."""
+    rows = _rows(spark, d)
+    stored, new = rows.filter(F.col("source_ord") == 0), rows.filter(F.col("source_ord") > 0)
+    before = materialize(cluster.cluster_changes(stored, SETTINGS.aliases), "clusters")
+    return cluster.cluster_map(rows, cluster.update_changes(stored, before, new, SETTINGS.aliases))
+
+
 def apply_clusters(spark, d):
     rows = cluster.to_canonical(_rows(spark, d), cluster.cluster_changes(_rows(spark, d), SETTINGS.aliases))
     order = [*dedup.largest_first("bb_score"), (-F.col("value")).alias("_by_value"), "own_artist"]
@@ -573,7 +581,8 @@ _ALL = [
     chart_aggregate, merge_measures, playlist_membership, link_lookup, unambiguous_titles, validated_join,
     last_wins_lookup, alias_map, year_value_hist, scale_to_100, audit_counts, rolling_percentile_low,
     rolling_percentile_high, decade_percentile, best_per_key, first_per_key, authoritative_flag, final_rank,
-    top_n, top_n_measure, song_list, candidate_pool, artist_tokens, entity_clusters, apply_clusters, chart_score,
+    top_n, top_n_measure, song_list, candidate_pool, artist_tokens, entity_clusters, clusters_after_batch, apply_clusters,
+    chart_score,
     stream_floors, weighted_score, strip_accents, title_key, artist_key, link_title_key, primary_artist,
     split_featured, split_collaborators, parse_lines, parse_numbers, release_year, uri_to_url, first_of_list,
     collaborators_joined, display_credit, display_format, popularity_index, resolve_links, report_overall,
