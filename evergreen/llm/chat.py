@@ -4,9 +4,9 @@ The template is any function from a list of (role, text) turns to a string.  It
 rendered for the first turn, the first two, and so on; where an output continues the one
 before, the new part is the last turn's span.  A probe of the same turn with a marker
 for its text shows which part of the span is text.  A template whose output does not
-continue the one before rewrites history; it is reported and gives no spans.  Prefixes of long conversations
-start with their last few turns, once those are seen to give the same pieces without the
-turns before them.
+continue the one before rewrites history; it is reported and gives no spans.  Every prefix is
+rendered whole, from the first turn on, however long the conversation: a template may look back
+at any turn, so the work grows with the square of a conversation's turns.
 
 The template of this module marks each turn and escapes control strings in texts by a
 backslash after every ``[``, ``<`` and backslash, so no text can form one; ``parse``
@@ -21,6 +21,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from itertools import groupby, islice
 from operator import itemgetter
 
@@ -40,7 +41,7 @@ ESCAPED = re.compile(r"([\\\[<])\\")
 OPENING = "<s>"
 #: Stands for the text in a probe; a character of the private use area.
 PROBE = "\ue000"
-#: Turns that a long conversation's prefixes grow by before they start anew, and those they start with.
+#: Turns that ``render_windows`` lets prefixes grow by before they start anew, and those they start with.
 WINDOW, LEAD = 16, 4
 
 
@@ -52,15 +53,25 @@ def unescape(text: str) -> str:
     return ESCAPED.sub(r"\1", text)
 
 
-def bracket_template(turns: list[Turn]) -> str:
-    out = [OPENING]
-    for role, text in turns:
-        if role in MARKS:
-            before, after = MARKS[role]
-        else:
-            before, after = f"[ROLE {escape(role)}[:]", "[/ROLE]"
-        out += [before, escape(text), after]
-    return "".join(out)
+def mark(turn: Turn) -> str:
+    role, text = turn
+    if role in MARKS:
+        before, after = MARKS[role]
+    else:
+        before, after = f"[ROLE {escape(role)}[:]", "[/ROLE]"
+    return f"{before}{escape(text)}{after}"
+
+
+class Marked(dict):
+    """Turn -> the marked turn, kept: the prefixes of a conversation repeat its turns."""
+
+    def __missing__(self, turn: Turn) -> str:
+        self[turn] = marked = mark(turn)
+        return marked
+
+
+def bracket_template(turns: list[Turn], marked: Callable[[Turn], str] = mark) -> str:
+    return "".join([OPENING, *map(marked, turns)])
 
 
 def parse(formatted: str) -> list[Turn]:
@@ -91,14 +102,21 @@ class Formatted:
     rewritten_at: int = -1
 
 
-def next_span(turns: list[Turn], before: str, template: Callable[[list[Turn]], str]) -> tuple[str, Span | None]:
+def free_probe(turns: Iterable[Turn], probe: str = PROBE) -> str:
+    """``probe``, made longer until no turn holds it."""
+    for role, text in turns:
+        while probe in text or probe in role:
+            probe += PROBE
+    return probe
+
+
+def next_span(
+    turns: list[Turn], before: str, template: Callable[[list[Turn]], str], probe: str
+) -> tuple[str, Span | None]:
     """The output for ``turns`` and its last turn's span; no span if the output does not continue the one before."""
     now = template(turns)
     if not now.startswith(before):
         return now, None
-    probe = PROBE
-    while any(probe in t or probe in r for r, t in turns):
-        probe += PROBE
     probed = template([*turns[:-1], (turns[-1][0], probe)])
     at = probed.find(probe, len(before))
     tail = len(probed) - at - len(probe)
@@ -108,14 +126,15 @@ def next_span(turns: list[Turn], before: str, template: Callable[[list[Turn]], s
 
 
 def render_incrementally(turns: list[Turn], template: Callable[[list[Turn]], str]) -> Formatted:
-    """Every prefix in turn: for any template, at a cost that grows with the square of the turns."""
-    before, spans = "", []
-    for k in range(len(turns)):
-        before, span = next_span(turns[: k + 1], before, template)
-        if span is None:
-            return Formatted(template(turns), [], k)
-        spans.append(span)
-    return Formatted(before, spans)
+    """The whole output, with every turn's span in it."""
+    text, spans = "", []
+    for piece in render_prefixes(turns, template):
+        if piece is None:
+            return Formatted(template(turns), [], len(spans))
+        at = len(text)
+        text += piece.text
+        spans.append((at, len(text), at + piece.start, at + piece.stop))
+    return Formatted(text, spans)
 
 
 @dataclass
@@ -127,11 +146,31 @@ class Piece:
     stop: int
 
 
+def render_prefixes(turns: Iterable[Turn], template: Callable[[list[Turn]], str]) -> Iterator[Piece | None]:
+    """The pieces that the prefixes add one by one, each prefix rendered whole, with and without the probe.
+
+    For any template, at a cost that grows with the square of the turns; holds the turns and three
+    outputs.  Where history is rewritten, a None ends the pieces.
+    """
+    held: list[Turn] = []
+    before, probe = "", PROBE
+    for turn in turns:
+        held.append(turn)
+        probe = free_probe([turn], probe)
+        now, span = next_span(held, before, template, probe)
+        if span is None:
+            yield None
+            return
+        yield Piece(now[len(before) :], span[2] - len(before), span[3] - len(before))
+        before = now
+
+
 def render_windows(
     turns: Iterable[Turn], template: Callable[[list[Turn]], str], window: int = WINDOW, lead: int = LEAD
 ) -> Iterator[Piece | None]:
     """The pieces that the prefixes add one by one, from prefixes of at most ``lead + window`` turns.
 
+    For templates known to look no further back than that; the query renders whole prefixes instead.
     The first prefixes are whole.  After ``lead + window`` turns the next prefixes start with the last
     ``lead`` turns instead, which are rendered anew: all but the first of them, which may hold the
     opening, must give the pieces that they gave with more history before them.  Where they do not, or
@@ -150,7 +189,7 @@ def render_windows(
                 return
             before = again.text
         held.append(turn)
-        now, span = next_span(held, before, template)
+        now, span = next_span(held, before, template, free_probe(held))
         if span is None:
             yield None
             return
@@ -164,7 +203,7 @@ def digest(row_id, turns: Iterable[Turn]) -> list:
     all_turns, loss = hashlib.sha256(), hashlib.sha256()
     n_turns = loss_chars = chars = 0
     rewritten = False
-    for piece in render_windows(turns, bracket_template):
+    for piece in render_prefixes(turns, partial(bracket_template, marked=Marked().__getitem__)):
         if piece is None:
             rewritten = True
             break
@@ -183,9 +222,8 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     """One row per conversation.
 
     Rows are dealt by conversation and sorted on disk if need be; each task then reads them as
-    a stream and holds a window of turns at a time, so a conversation of any length, and rows
-    without an id, take time in proportion to their size and bounded memory.  The digests are of
-    whole conversations in order, so one conversation is read by one task.
+    a stream.  The template sees whole conversations, so a task holds one at a time, some six times
+    its text, and takes time that grows with the square of its turns; rows without an id are one, too.
     """
     fields = [
         ("conv_id", "long"), ("n_turns", "long"), ("turns_sha256", "string"), ("loss_chars", "long"),

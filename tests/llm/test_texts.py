@@ -242,6 +242,34 @@ def test_chat_holds_a_window_of_a_long_conversation():
     assert max(seen) <= chat.WINDOW + chat.LEAD and sum(seen) < 2000 * 2 * (chat.WINDOW + chat.LEAD)
 
 
+def test_chat_query_renders_every_whole_prefix(monkeypatch):
+    seen, template = [], chat.bracket_template
+
+    def spy(turns, **more):
+        seen.append(list(turns))
+        return template(turns, **more)
+
+    monkeypatch.setattr(chat, "bracket_template", spy)
+    turns = [(("user", "assistant", "tool")[i % 3], f"{NASTY[i % len(NASTY)]} {i} \ue000") for i in range(100)]
+    got = chat.digest(7, iter(turns))
+    assert all(turns[:k] in seen for k in range(1, 101))
+    assert all([*turns[:k], (turns[k][0], chat.PROBE * 2)] in seen for k in range(100))
+    assert got[1] == 100 and got[5] == len(template(turns)) and not got[6]
+    assert got[2] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+
+
+def test_prefixes_of_templates_that_look_far_back():
+    """The first turn's text and the number of turns before stand in every turn: nothing is rewritten."""
+
+    def template(turns):
+        return "".join(f"<{turns[0][1]} {i}>{t}" for i, (_, t) in enumerate(turns))
+
+    turns = [("user", f"x{i}") for i in range(60)]
+    pieces = list(chat.render_prefixes(iter(turns), template))
+    assert "".join(p.text for p in pieces) == template(turns)
+    assert [p.text[p.start : p.stop] for p in pieces[1:]] == [t for _, t in turns[1:]]
+
+
 def test_chat_of_one_long_conversation(spark):
     n = 20_000
     rows = spark.range(n).select(
