@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evergreen.llm.common import bounded_sample, in_fold, keep_rows, map_rows, read, small_table
+from evergreen.llm.common import bounded_sample, gather_rows, in_fold, keep_rows, map_rows, read, small_table
 
 # Letters of other scripts that look like Latin ones.
 LOOK_ALIKES = {
@@ -51,6 +51,8 @@ BLANKS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
 SHORTEST = 5  # letters of a stem
 MOST_SWAPS = 6  # letters i and l of an entry whose other spellings are looked for
 SMOOTHING_WORDS = 20
+HELD_ENTRIES = 1 << 16  # candidates counted by a task before it hands them on
+COUNTED_ROWS = 16  # texts between two looks at how many are held
 CUT = 0.7
 
 
@@ -152,6 +154,39 @@ def _sketch(words: list[str]) -> list[str]:
     return [f"{least[i]} {least[i + 1]}" for i in (0, 2, 4)]
 
 
+def prepare():
+    """Folded words and sketch of every text, the words of one text at a time."""
+
+    def work(ids, texts, ys):
+        joined, sketches = [], []
+        for t in texts:
+            words = fold(t or "").split()
+            joined.append(" ".join(words))
+            sketches.append(_sketch(words))
+        return [ids, ys, joined, *([s[i] for s in sketches] for i in range(3))]
+
+    return work
+
+
+def count_entries():
+    """Of every candidate, the plain and marked texts with it by half; a task holds little more than ``HELD_ENTRIES``."""
+    seen: dict[tuple[str, str], list[int]] = {}
+
+    def add(ids, words, ys) -> bool:
+        for i, w, y in zip(ids, words, ys):
+            half = zlib.crc32(str(i).encode()) & 1
+            for e in entries_of(set(w.split())):
+                seen.setdefault(e, [0, 0, 0, 0])[2 * y + half] += 1
+        return len(seen) >= HELD_ENTRIES
+
+    def take() -> list:
+        columns = [[e for e, _ in seen], [w for _, w in seen], *([v[k] for v in seen.values()] for k in range(4))]
+        seen.clear()
+        return columns
+
+    return add, take
+
+
 def fit(rows: DataFrame, bound: int = 5000, label: str = "toxic") -> Lexicon:
     """Learn entries, exceptions and the length-normalised scale from (doc_id, text, label 0/1).
 
@@ -160,14 +195,6 @@ def fit(rows: DataFrame, bound: int = 5000, label: str = "toxic") -> Lexicon:
     """
     rows = rows.select("doc_id", "text", F.col(label).alias("y")).filter("y IN (0, 1)")
 
-    def prepare():
-        def work(ids, texts, ys):
-            words = [fold(t or "").split() for t in texts]
-            sketches = [_sketch(w) for w in words]
-            return [ids, ys, [" ".join(w) for w in words], *([s[i] for s in sketches] for i in range(3))]
-
-        return work
-
     keys = ["m0", "m1", "m2"]
     fields = [("doc_id", "long"), ("y", "int"), ("words", "string"), *((k, "string") for k in keys)]
     picked = bounded_sample(rows, "y", bound).select(F.col("doc_id").cast("long"), "text", F.col("y").cast("int"))
@@ -181,20 +208,9 @@ def fit(rows: DataFrame, bound: int = 5000, label: str = "toxic") -> Lexicon:
     if not marked or not plain:
         return Lexicon()
 
-    def count():
-        def work(ids, words, ys):
-            seen: dict[tuple[str, str], list[int]] = {}
-            for i, w, y in zip(ids, words, ys):
-                half = zlib.crc32(str(i).encode()) & 1
-                for e in entries_of(set(w.split())):
-                    seen.setdefault(e, [0, 0, 0, 0])[2 * y + half] += 1
-            return [[e for e, _ in seen], [w for _, w in seen], *([v[k] for v in seen.values()] for k in range(4))]
-
-        return work
-
     names = ["c0", "c1", "t0", "t1"]
     fields = [("entry", "string"), ("word", "string"), *((n, "long") for n in names)]
-    by_word = map_rows(sample.select("doc_id", "words", "y"), count, fields).groupBy("entry", "word")
+    by_word = gather_rows(sample.select("doc_id", "words", "y"), count_entries, fields, COUNTED_ROWS).groupBy("entry", "word")
     by_word = by_word.agg(*[F.sum(n).alias(n) for n in names]).withColumns(
         {"t": F.col("t0") + F.col("t1"), "c": F.col("c0") + F.col("c1")}
     )

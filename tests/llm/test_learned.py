@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -343,6 +344,32 @@ def test_toxicity_disguises_of_whole_words():
         assert one(text)[0] < 0.7, text
 
 
+def test_toxicity_counts_are_handed_on_in_parts():
+    """All entries are counted, whatever the parts; neither counting nor sketching holds a whole batch's words."""
+    rng = random.Random(8)
+    words = [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(300)) for _ in range(300)]
+    ids, ys = list(range(300)), [i % 2 for i in range(300)]
+    add, take = toxicity.count_entries()
+    got, most = Counter(), 0
+    step = toxicity.COUNTED_ROWS
+    tracemalloc.start()
+    for at in range(0, 300, step):
+        if add(ids[at : at + step], words[at : at + step], ys[at : at + step]):
+            entries, _, *counts = take()
+            most = max(most, len(entries))
+            got.update({e: sum(c) for e, c in zip(entries, zip(*counts)) if e.endswith(" ")})
+    entries, _, *counts = take()
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    got.update({e: sum(c) for e, c in zip(entries, zip(*counts)) if e.endswith(" ")})
+    assert got == Counter(f" {w} " for text in words for w in set(text.split()))
+    assert toxicity.HELD_ENTRIES <= most <= toxicity.HELD_ENTRIES + step * 300 * 5 and take()[0] == []
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    out = toxicity.prepare()(ids, words, ys)
+    assert out[2] == words and tracemalloc.get_traced_memory()[1] - held < 3 * sum(map(len, words))
+    tracemalloc.stop()
+
+
 def test_toxicity_score_matches_plain_code():
     """Hits, exceptions and the normalisation, written out word by word."""
     lexicon = toxicity.Lexicon({" bad ": 3.0, " ugly": 2.0, " big ": 4.0}, frozenset({"bad weather", "very big"}), 2.0, -3.0)
