@@ -145,6 +145,11 @@ def extract_page_items(spark, d):
     return rows.select("page_id", "pos", pages.cell_text(F.get("cells", F.lit(0))).alias("item"))
 
 
+def _lines(spark, d):
+    """The lines in as many parts as a shuffle has: their pages cost much more to read than the small file they come from."""
+    return view(spark, d, "raw_line_src").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ord")
+
+
 def _table_pages(spark, d):
     """Every line of the view as a page whose table also has a short row."""
     html = F.concat(
@@ -155,7 +160,7 @@ def _table_pages(spark, d):
         "num",
         F.lit(" </td></tr>\n</tbody></table></html>"),
     )
-    return view(spark, d, "raw_line_src").select(F.col("ord").alias("page"), html.alias("html"))
+    return _lines(spark, d).select(F.col("ord").alias("page"), html.alias("html"))
 
 
 def _wide_pages(spark, d):
@@ -167,7 +172,7 @@ def _wide_pages(spark, d):
         "num",
         F.lit("</tbody></table>"),
     )
-    return view(spark, d, "raw_line_src").select(F.col("ord").alias("page"), html.alias("html"))
+    return _lines(spark, d).select(F.col("ord").alias("page"), html.alias("html"))
 
 
 def extract_table_totals(spark, d):

@@ -59,12 +59,16 @@ def parse_line(c: Column) -> Column:
 
 def parse_count(c: Column) -> Column:
     """Whole number with thousands separators; null when it is not one."""
-    return strip_space(F.replace(c, F.lit(","), F.lit(""))).try_cast("bigint")
+    digits = strip_space(F.replace(c, F.lit(","), F.lit("")))
+    return F.when(F.rlike(digits, F.lit("[0-9]")), digits.try_cast("bigint"))  # a failed cast costs an exception
 
 
 def release_year(c: Column) -> Column:
     """Year of a full date, else the first run of four digits, else null."""
-    return F.coalesce(F.year(F.try_to_date(c, "yyyy-MM-dd")), F.regexp_extract(c, r"(\d{4})", 1).try_cast("int"))
+    # A failed parse or cast costs an exception, so neither is tried on texts that have not what it needs.
+    full = F.when(F.contains(c, F.lit("-")), F.try_to_date(c, "yyyy-MM-dd"))
+    digits = F.nullif(F.regexp_extract(c, r"(\d{4})", 1), F.lit(""))
+    return F.coalesce(F.year(full), digits.try_cast("int"))
 
 
 def track_url(c: Column) -> Column:

@@ -78,7 +78,11 @@ def pick(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def to_number(c: Column, kind: str = "int") -> Column:
     """Numeric coercion, exact where the text is a whole number; anything that is not a number becomes null."""
-    return F.coalesce(c.try_cast(kind), c.try_cast("double").try_cast(kind))
+    # A failed cast costs an exception: texts without a digit are no number, and those with a point are no whole one.
+    is_text, text = F.typeof(c) == "string", c.cast("string")
+    may_be = ~is_text | F.rlike(text, F.lit("[0-9]"))
+    may_be_whole = may_be & (~is_text | ~F.contains(text, F.lit(".")))
+    return F.coalesce(F.when(may_be_whole, c.try_cast(kind)), F.when(may_be, c.try_cast("double").try_cast(kind)))
 
 
 def whole_number(df: DataFrame, col: str) -> Column:
@@ -96,7 +100,13 @@ def calendar_date(df: DataFrame, col: str, formats: tuple[str, ...] = DATE_FORMA
     if dict(df.dtypes)[col] in ("date", "timestamp", "timestamp_ntz"):
         return F.col(col).cast("date")
     text = F.trim(F.col(col).cast("string"))
-    return F.coalesce(F.try_to_date(text), *(F.try_to_date(text, f) for f in formats))
+
+    def read(form: str) -> Column:
+        # A failed parse costs an exception, so a format is tried only on texts that hold its separator.
+        mark = next((m for m in ("/", " ") if m in form), "")
+        return F.when(F.contains(text, F.lit(mark)), F.try_to_date(text, form))
+
+    return F.coalesce(F.try_to_date(text), *map(read, formats))
 
 
 def empty(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
