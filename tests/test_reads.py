@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import queries as q
-from evergreen.functions import parse
+from evergreen.functions import parse, text
 from evergreen.sources import files
 
 SF = "/root/testdata/sf0.001"
@@ -26,8 +26,8 @@ def test_pages_are_read_by_several_tasks(spark):
 def test_casts_and_parses_that_must_fail_are_not_tried(spark):
     df = spark.createDataFrame([("x",)], "t string").repartition(1)
     number, day = files.to_number(F.col("t")), files.calendar_date(df, "t")
-    text = plan(df.select(number.alias("n"), day.alias("d"), parse.parse_count(F.col("t")).alias("c")))
-    assert "RLIKE" in text and "Contains(" in text
+    shown = plan(df.select(number.alias("n"), day.alias("d"), parse.parse_count(F.col("t")).alias("c")))
+    assert "RLIKE" in shown and "Contains(" in shown
     year = plan(df.select(parse.release_year(F.col("t")).alias("y")))
     assert "Contains(" in year
 
@@ -53,3 +53,22 @@ def test_numbers_and_dates_are_read_as_by_plain_casts(spark):
     )
     assert both.filter("NOT a <=> b OR NOT c <=> d").collect() == []
     assert both.filter("a IS NOT NULL").count() == 11
+
+
+def test_plain_credits_are_told_without_the_long_pattern(spark):
+    names = ["ABBA", "Lil Nas X", "a x b", "A X B", "x b", "a x", "a  x  b", "Simon with", "Iron with Wine", "a vs. b", "a VS b",
+             "A ft. B", "A Feat B", "A featuring B", "AC/DC", "huntr/x", "a, b", "a & b", "a:b", "'Weird' Al", '"q"', "Beyoncé x Z",
+             "a\tx\tb", "a\nb", "a\n", "a\r", "", " ", "  a  ", "a;b", "Ke$ha!", "P!nk (live)", "50% [x]", "a⁄b", "a|b~c", "aſ x b",
+             "a x b", "the x", "feat. b", "a ft.b", "a_x_b", "1 x 2", "#1 with ", " with a", "@x", "a-b", "a.b", "\x1fa", "a\x7f", None]
+    df = spark.createDataFrame([(n,) for n in names], "a string")
+    a = F.col("a")
+    both = df.select(
+        "a",
+        text.is_single_name(a).alias("s"),
+        F.rlike(a, F.lit(text.SINGLE_NAME)).alias("t"),
+        text.collaborators_joined(a).alias("c"),
+        F.array_join(text.collaborators(a), ";").alias("d"),
+    )
+    assert both.filter("NOT s <=> t OR NOT c <=> d").collect() == [] and both.filter("s").count() > 15
+    # Most credits are plain; the long pattern looks ahead from every place and costs 16 us a credit.
+    assert plan(df.select(text.is_single_name(a))).count("RLIKE") >= 3
