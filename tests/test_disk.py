@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import queries as q
 from checks.adapters import SETTINGS
+from evergreen.operators.cluster import cluster_changes
 from evergreen.plans import scores
 from evergreen.session import FREE_SHUFFLES, materialize, run_folder
 
@@ -54,3 +55,14 @@ def test_each_source_is_written_by_itself(spark):
         assert left_in(folder) == ["chart", *["rows"] * 5]
         per_source = {r.source: r.source_ord for r in rows.select("source", "source_ord").distinct().collect()}
     assert per_source == {"chart": 0, "streams": 1, "videos": 2, "store": 3, "subscription": 4}
+
+
+def test_clusters_keep_only_their_last_links(spark):
+    rows = spark.createDataFrame(
+        [("t", a.lower(), a, i, 10 - i) for i, a in enumerate(["A & B", "B & C", "C & D", "D & E", "E", "X"])],
+        "key_title string, key_artist string, artist string, source_ord int, value long",
+    )
+    with run_folder(spark) as folder:
+        changes = cluster_changes(rows, {})
+        assert left_in(folder) == ["links"]
+        assert {r.canonical for r in changes.collect()} == {"a & b"} and changes.count() == 4
