@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import queries as q
 from checks.adapters import SETTINGS
 from evergreen.operators.cluster import cluster_changes
-from evergreen.plans import scores
+from evergreen.plans import links, scores
 from evergreen.session import FREE_SHUFFLES, materialize, run_folder
 
 SF = "/root/testdata/sf0.001"
@@ -66,3 +66,15 @@ def test_clusters_keep_only_their_last_links(spark):
         changes = cluster_changes(rows, {})
         assert left_in(folder) == ["links"]
         assert {r.canonical for r in changes.collect()} == {"a & b"} and changes.count() == 4
+
+
+@needs_tables
+def test_exports_are_read_and_keyed_once(spark):
+    scored = spark.createDataFrame([(1, "red ring", "x")], "rank long, title string, artist string")
+    with run_folder(spark) as folder:
+        for found in (
+            links.resolve_links(scored, q.exports(spark, SF), SETTINGS),
+            links.link_songs(scored.drop("rank"), q.exports(spark, SF)),
+        ):
+            assert "l_orderkey" not in plan(found) and found.count() == 1
+        assert left_in(folder) == ["links-by-pair"] * 2
