@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import queries as q
 from checks.adapters import SETTINGS
 from evergreen.operators.cluster import cluster_changes
-from evergreen.plans import links, scores
+from evergreen.plans import links, run, scores, sinks
 from evergreen.session import FREE_SHUFFLES, materialize, run_folder
 
 SF = "/root/testdata/sf0.001"
@@ -78,3 +78,15 @@ def test_exports_are_read_and_keyed_once(spark):
         ):
             assert "l_orderkey" not in plan(found) and found.count() == 1
         assert left_in(folder) == ["links-by-pair"] * 2
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = spark.conf.get(FREE_SHUFFLES)
+    assert left_over(spark, lambda: materialize(df, "freed")) == set()
+    assert left_over(spark, lambda: run.write_table(df, str(tmp_path / "csv"), "csv", "k")) == set()
+    # Only the check of what was published, one row, is a query and no write.
+    checked = left_over(spark, lambda: sinks.publish(df, str(tmp_path / "sink"), order="k"))
+    assert len({re.search(r"shuffle_\d+", f)[0] for f in checked}) <= 1
+    assert spark.conf.get(FREE_SHUFFLES) == before
+    assert left_over(spark, lambda: df.write.format("noop").mode("overwrite").save())  # the test sees such files
